@@ -1,0 +1,64 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 64
+SKETCH_ITEMS = 8192
+SALTS = 32
+
+
+@dataclass(frozen=True)
+class KeyProfile:
+    hot: tuple
+    nulls: int
+
+    @property
+    def balanced(self) -> bool:
+        return not self.hot and not self.nulls
+
+
+def key_profile(df: DataFrame, key: str, share: float = 0.01) -> KeyProfile:
+    """Keys that hold at least ``share`` of the rows, and the number of null keys.
+
+    One pass over the key column with a frequent-items sketch: the keys are not
+    shuffled and at most ``HOT_KEYS`` come back.  A missed key is slower, never wrong.
+    """
+    row = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+        F.count(F.lit(1)).alias("n"),
+        F.count(key).alias("keyed"),
+    ).first()
+    floor = max(2, row["n"] * share)
+    hot = tuple(e["item"] for e in row["top"] or [] if e["item"] is not None and e["count"] >= floor)
+    return KeyProfile(hot, row["n"] - row["keyed"])
+
+
+def left_join(left: DataFrame, right: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """Left outer join that spreads hot and null keys of ``left`` over ``salts`` tasks.
+
+    ``right`` is copied for the hot keys only.  The salt is a hash of the row, so a
+    retried task sends every row where it went before; exact copies of one row share
+    a salt and are left to adaptive skew splitting.
+    """
+    profile = key_profile(left, key)
+    if profile.balanced:
+        return left.join(right, key, "left")
+    hot = F.coalesce(F.col(key).isin(list(profile.hot)), F.lit(False))
+    spread = F.pmod(F.xxhash64(*_hashable(left)), F.lit(salts)).cast("int")
+    salted_left = left.withColumn(
+        "_salt", F.when(F.col(key).isNull() | hot, spread).otherwise(F.lit(0))
+    )
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.where(F.col(key).isNotNull()).withColumn("_salt", F.explode(copies))
+    return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    return [
+        F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+    ]
