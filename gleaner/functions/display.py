@@ -63,6 +63,18 @@ def json_map(text: Column) -> Column:
     return F.from_json(text, "map<string,string>")
 
 
+def compact_nested(entries: Column) -> Column:
+    """Map whose nested JSON values are written without blanks between their parts."""
+
+    def compact(value: Column) -> Column:
+        wrapped = F.concat(F.lit('{"v":'), value, F.lit("}"))
+        return F.when(
+            value.rlike(r"^[\[{]"), F.coalesce(F.from_json(wrapped, "v string")["v"], value)
+        ).otherwise(value)
+
+    return F.transform_values(entries, lambda _, value: compact(value))
+
+
 def type_name(value: Column) -> Column:
     return F.typeof(value)
 

@@ -81,8 +81,8 @@ def knn(
     per query: the corpus is scanned once and never shuffled.  Larger query sets are
     compared block by block (see :func:`_knn_blocks`).
     """
-    asked = queries.where(F.col(vector_col).isNotNull()).select("query_id", vector_col)
-    stored = corpus.where(F.col(vector_col).isNotNull()).select("chunk_id", vector_col)
+    asked = queries.select("query_id", vector_col)
+    stored = corpus.select("chunk_id", vector_col)
     schema = StructType(
         [asked.schema["query_id"], stored.schema["chunk_id"], StructField("distance", DoubleType())]
     )
@@ -98,8 +98,7 @@ def knn(
 
 
 def _knn_scan(rows: pa.Table, stored: DataFrame, k: int, metric: str, schema: StructType) -> DataFrame:
-    query_ids = np.asarray(rows.column(0).to_pylist(), dtype=object)
-    query_vectors = _matrix(rows.column(1))
+    query_ids, query_vectors = _vectors(rows.column(0), rows.column(1))
     arrow_schema = _arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,17 +127,23 @@ def _knn_blocks(
     def every(blocks: int):
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    left = asked.withColumn("qb", block("query_id", query_blocks)).withColumn("cb", every(corpus_blocks))
-    right = stored.withColumn("cb", block("chunk_id", corpus_blocks)).withColumn("qb", every(query_blocks))
+    # Fresh column names: a vector column common to both sides would be lost in the cogroup.
+    left = (
+        asked.toDF("query_id", "asked_vector")
+        .withColumn("qb", block("query_id", query_blocks))
+        .withColumn("cb", every(corpus_blocks))
+    )
+    right = (
+        stored.toDF("chunk_id", "stored_vector")
+        .withColumn("cb", block("chunk_id", corpus_blocks))
+        .withColumn("qb", every(query_blocks))
+    )
     arrow_schema = _arrow_schema(schema)
-    vector_col = asked.columns[1]
 
     def compare(queries: pa.Table, chunks: pa.Table) -> pa.Table:
-        if not queries.num_rows or not chunks.num_rows:
-            return arrow_schema.empty_table()
-        best = _Best(_matrix(queries.column(vector_col)), k, metric)
-        best.add(chunks.column("chunk_id"), chunks.column(vector_col))
-        ids = np.asarray(queries.column("query_id").to_pylist(), dtype=object)
+        ids, asked_vectors = _vectors(queries.column("query_id"), queries.column("asked_vector"))
+        best = _Best(asked_vectors, k, metric)
+        best.add(chunks.column("chunk_id"), chunks.column("stored_vector"))
         return pa.Table.from_batches(best.batches(ids, arrow_schema), arrow_schema)
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(compare, schema)
@@ -148,11 +153,21 @@ def _arrow_schema(schema: StructType) -> pa.Schema:
     return pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+def _vectors(
+    ids: pa.Array | pa.ChunkedArray, vectors: pa.Array | pa.ChunkedArray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and a matrix of the rows that have a vector.
+
+    Missing vectors go here and not in a filter before: a filter on a column made by
+    an embedder would run the embedder twice.
+    """
+    present = vectors.is_valid()
+    ids, vectors = ids.filter(present), vectors.filter(present)
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    width = len(flat) // len(vectors) if len(vectors) else 0
+    return np.asarray(ids.to_pylist(), dtype=object), flat.reshape(len(vectors), width)
 
 
 class _Best:
@@ -169,10 +184,11 @@ class _Best:
         self.ids = np.full((len(queries), k), None, dtype=object)
 
     def add(self, ids: pa.Array, vectors: pa.Array) -> None:
-        if not len(ids):
+        new_ids, rows = _vectors(ids, vectors)
+        if not len(rows) or not len(self.queries):
             return
-        rows = _unit(_matrix(vectors)) if self.cosine else _matrix(vectors)
-        new_ids = np.asarray(ids.to_pylist(), dtype=object)
+        if self.cosine:
+            rows = _unit(rows)
         square = (rows**2).sum(axis=1)
         # Strips of queries bound the distance matrix held at any time.
         for start in range(0, len(self.queries), QUERY_STRIP):

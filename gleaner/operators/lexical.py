@@ -93,14 +93,38 @@ def build_index(chunks: DataFrame, tokeniser: Tokeniser = tokenise) -> LexicalIn
     return LexicalIndex.from_terms(postings, terms, chunks)
 
 
+def _floored_idf(idf0: Column, avg_idf: Column) -> Column:
+    """A term in more than half the chunks gets a fraction of the average instead."""
+    return F.when(idf0 < 0, avg_idf * EPSILON).otherwise(idf0)
+
+
 def term_weights(index: LexicalIndex) -> DataFrame:
-    """``(term, df, idf)``; a term in more than half the chunks gets the epsilon floor."""
+    """``(term, df, idf)`` of the whole vocabulary."""
     n = index.corpus.select("n").scalar()
-    floor = index.corpus.select(F.col("avg_idf") * EPSILON).scalar()
-    plain = index.terms.select("term", "df", _plain_idf(n, F.col("df")).alias("idf0"))
-    return plain.select(
-        "term", "df", F.when(F.col("idf0") < 0, floor).otherwise(F.col("idf0")).alias("idf")
+    avg_idf = index.corpus.select("avg_idf").scalar()
+    return index.terms.select(
+        "term", "df", _floored_idf(_plain_idf(n, F.col("df")), avg_idf).alias("idf")
+    )
+
+
+def asked_weights(index: LexicalIndex, asked: DataFrame, small: bool) -> DataFrame:
+    """``(term, idf, avgdl)`` of the terms in ``asked(term)`` that the corpus holds."""
+    if index.stored or not small:
+        weights = term_weights(index).join(broadcast_if(asked, small), "term", "left_semi")
+        return weights.select("term", "idf", index.corpus.select("avgdl").scalar().alias("avgdl"))
+    # Unstored: one pass over the terms yields the corpus figures and, for the few
+    # asked terms, their frequencies.
+    n = index.chunks.agg(F.count(F.lit(1)).alias("n")).scalar()
+    marked = index.terms.join(F.broadcast(asked.withColumn("asked", F.lit(True))), "term", "left").select(
+        "ctf", "asked", "term", _plain_idf(n, F.col("df")).alias("idf0"), n.alias("n")
+    )
+    figures = marked.agg(
+        (F.sum("ctf") / F.max("n")).alias("avgdl"),
+        F.avg("idf0").alias("avg_idf"),
+        F.collect_list(F.when(F.col("asked"), F.struct("term", "idf0"))).alias("found"),
     )
+    found = figures.select("avgdl", "avg_idf", F.inline("found"))
+    return found.select("term", _floored_idf(F.col("idf0"), F.col("avg_idf")).alias("idf"), "avgdl")
 
 
 def query_terms(queries: DataFrame, tokeniser: Tokeniser = tokenise) -> DataFrame:
@@ -132,11 +156,9 @@ def bm25_scores(
     wanted = query_terms(queries, tokeniser)
     if small and index.stored:
         index = only_buckets_of(index, wanted)
-    distinct = broadcast_if(wanted.select("term").distinct(), small)
-    idf = term_weights(index).join(distinct, "term", "left_semi").select("term", "idf")
-    avgdl = index.corpus.select("avgdl").scalar()
+    idf = asked_weights(index, wanted.select("term").distinct(), small)
     tf, dl = F.col("tf"), F.col("dl")
-    part = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
+    part = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / F.col("avgdl")))
 
     if small:
         # The postings of the queried terms, shuffled once by chunk and before they

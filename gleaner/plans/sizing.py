@@ -33,3 +33,18 @@ def text_size(df: DataFrame, column: str) -> Size:
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     """Hint a broadcast only for a side whose size has been checked."""
     return F.broadcast(df) if small else df
+
+
+FAN_OUT = 8
+
+
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Redistribute a plain scan that has fewer splits than cores.
+
+    One gzip file or one big row group is one task, however much work follows.  A
+    table of many splits passes unchanged.  For scans only: counting the partitions
+    of a plan with shuffles would run them.
+    """
+    splits = scan.rdd.getNumPartitions()
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if splits >= cores else scan.repartition(min(cores, FAN_OUT * max(splits, 1)))

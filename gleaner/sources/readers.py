@@ -17,6 +17,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from gleaner.functions.display import compact_nested
+
 _TEXT = StringType()
 _LINKS = ArrayType(MapType(_TEXT, _TEXT))
 
@@ -68,18 +70,25 @@ def read_json_lines(
     """JSON lines, plain or gzipped, with a declared (narrow) schema.
 
     A malformed line becomes a row of nulls (``null``), is left out (``drop``), or
-    is kept beside the nulls in ``_bad_record`` (``keep``).  A gzip file cannot be
-    split: one task reads it, so deliver many files of moderate size.
+    is kept beside the nulls in ``_bad_record`` (``keep``).  A value of the wrong
+    type is null by itself.  A gzip file cannot be split: one task reads it, so
+    deliver many files of moderate size.
     """
-    reader = spark.read
     if malformed == "drop":
-        return reader.option("mode", "DROPMALFORMED").schema(schema).json(path)
-    if malformed == "keep":
-        schema = StructType([*schema.fields, StructField(BAD_RECORD, _TEXT)])
-        reader = reader.option("columnNameOfCorruptRecord", BAD_RECORD)
-    elif malformed != "null":
+        return spark.read.option("mode", "DROPMALFORMED").schema(schema).json(path)
+    if malformed not in ("null", "keep"):
         raise ValueError(f"unknown malformed mode {malformed!r}")
-    return reader.option("mode", "PERMISSIVE").schema(schema).json(path)
+    read = (
+        spark.read.option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_RECORD)
+        .schema(StructType([*schema.fields, StructField(BAD_RECORD, _TEXT)]))
+        .json(path)
+    )
+    # The reader keeps the fields before a syntax error; such a line should hold nothing.
+    bad = F.col(BAD_RECORD)
+    whole = bad.isNull() | F.get_json_object(bad, "$").isNotNull()
+    columns = [F.when(whole, F.col(name)).alias(name) for name in schema.names]
+    return read.select(*columns, *([bad] if malformed == "keep" else []))
 
 
 def read_reviews(
@@ -92,9 +101,12 @@ def read_reviews(
 def read_meta(
     spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, malformed: str = "null"
 ) -> DataFrame:
-    """Product metadata; ``details`` is a map, nested values stay as JSON text."""
+    """Product metadata; ``details`` is a map, nested values stay as compact JSON text."""
     schema = META if columns is None else _pick(META, columns)
-    return read_json_lines(spark, path, schema, malformed)
+    rows = read_json_lines(spark, path, schema, malformed)
+    if "details" not in schema.names:
+        return rows
+    return rows.withColumn("details", compact_nested(F.col("details")))
 
 
 def category_files(root: str, subsets: Sequence[str], meta: bool = True, reviews: bool = True) -> dict[str, list[str]]:

@@ -23,6 +23,7 @@ from gleaner.operators import (
     ranking,
 )
 from gleaner.plans import search as plan
+from gleaner.plans.sizing import spread_scan
 from gleaner.session import work_dir
 from gleaner.sources import index_store, readers, writers
 from gleaner.streaming.refresh import rebuild_changed, refresh
@@ -317,7 +318,7 @@ def after_assistant(spark, sf):
 
 
 def _documents(spark, sf):
-    return t.table(spark, sf, "documents").select("doc_id", "source", "text")
+    return spread_scan(t.table(spark, sf, "documents").select("doc_id", "source", "text"))
 
 
 @query

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.operators.lexical import LexicalIndex, build_index
 from gleaner.operators.dense import embed, hashing_embedder
+from gleaner.operators.lexical import LexicalIndex, build_index
 from gleaner.plans.search import Corpus
+from gleaner.plans.sizing import spread_scan
 
 KEY = "parent_asin"
 TIES = ["l_orderkey", "l_linenumber"]
@@ -45,7 +46,7 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
+    return spread_scan(table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text"))
 
 
 def described_rows(spark: SparkSession, sf: str) -> DataFrame:
