@@ -69,13 +69,17 @@ def build_postings(chunks: DataFrame, tokeniser: Tokeniser = tokenise) -> DataFr
         F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.col("w")[i] != F.col("w")[i - 1])
     )
     no_starts = F.array().cast("array<int>")
-    cut = words.select("chunk_id", "w", F.when(size > 0, starts).otherwise(no_starts).alias("s"))
-    ends = F.concat(F.slice("s", F.lit(2), F.size("s")), F.array(size))
-    runs = cut.select("chunk_id", "w", "s", ends.alias("e"))
+    cut = words.select(
+        "chunk_id", "w", size.alias("dl"), F.when(size > 0, starts).otherwise(no_starts).alias("s")
+    )
+    ends = F.concat(F.slice("s", F.lit(2), F.size("s")), F.array("dl"))
+    runs = cut.select("chunk_id", "dl", "w", "s", ends.alias("e"))
     entries = F.transform(
         "s", lambda start, i: F.struct(F.col("w")[start].alias("term"), (F.col("e")[i] - start).alias("tf"))
     )
-    return runs.select("chunk_id", size.alias("dl"), F.explode(entries).alias("p")).select(
+    # Only the id and the length go beside the exploded runs; the token array must not
+    # be copied to every posting.
+    return runs.select("chunk_id", "dl", F.explode(entries).alias("p")).select(
         "chunk_id", "dl", "p.term", "p.tf"
     )
 

@@ -284,7 +284,7 @@ def tokenise_terms(spark, sf):
 
 @query
 def tokenise_lowercase(spark, sf):
-    tokens = t.table(spark, sf, "documents").select(F.explode(tokenise_lower(F.col("text"))).alias("term"))
+    tokens = t.corpus_rows(spark, sf).select(F.explode(tokenise_lower(F.col("text"))).alias("term"))
     return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
