@@ -16,7 +16,9 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 TOP_K = 5
 # Scores closer than this many decimals count as tied; the chunk id then decides.
 TIE_DECIMALS = 9
-QUERY_SALTS = 16
+# For query sets too large to broadcast: terms treated as common, and slices of each.
+HOT_TERMS = 10_000
+HOT_SLICES = 64
 
 
 @dataclass(frozen=True)
@@ -137,6 +139,14 @@ def query_terms(queries: DataFrame, tokeniser: Tokeniser = tokenise) -> DataFram
     return tokens.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
+def hot_terms(index: LexicalIndex) -> DataFrame:
+    """Terms that hold at least one in ``HOT_TERMS`` of all postings: no more than that many."""
+    total = index.terms.agg(F.sum("df").alias("n")).scalar()
+    return F.broadcast(
+        index.terms.where(F.col("df") * HOT_TERMS >= total).select("term", F.lit(True).alias("hot"))
+    )
+
+
 def term_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
 
@@ -174,12 +184,19 @@ def bm25_scores(
         )
         pairs = matched.join(F.broadcast(wanted), "term")
     else:
-        # Too many queries to broadcast: join on the term, each term cut into slices
-        # by chunk so that a common one is spread over several tasks.
-        slices = F.sequence(F.lit(0), F.lit(QUERY_SALTS - 1))
-        weighted = wanted.join(idf, "term").withColumn("slice", F.explode(slices))
-        sliced = index.postings.withColumn(
-            "slice", F.pmod(F.xxhash64("chunk_id"), F.lit(QUERY_SALTS)).cast("int")
+        # Too many queries to broadcast: join on the term, common terms cut into slices
+        # by chunk so that none of them ends up in one task.
+        hot = hot_terms(index)
+        by_chunk = F.pmod(F.xxhash64("chunk_id"), F.lit(HOT_SLICES)).cast("int")
+        sliced = index.postings.join(hot, "term", "left").withColumn(
+            "slice", F.when(F.col("hot"), by_chunk).otherwise(F.lit(0))
+        )
+        every = F.sequence(F.lit(0), F.lit(HOT_SLICES - 1))
+        weighted = (
+            wanted.join(idf, "term")
+            .join(hot, "term", "left")
+            .withColumn("slice", F.explode(F.when(F.col("hot"), every).otherwise(F.array(F.lit(0)))))
+            .drop("hot")
         )
         pairs = sliced.join(weighted, ["term", "slice"]).withColumn("part", part)
     return pairs.groupBy("query_id", "chunk_id").agg(

@@ -14,7 +14,7 @@ LARGE = Size(10**9, 10**15)
 
 def frames(spark, texts, queries):
     chunks = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string")
-    asked = spark.createDataFrame(list(enumerate(queries)), "query_id long, query string")
+    asked = spark.createDataFrame(list(enumerate(queries or [""])), "query_id long, query string")
     return chunks, asked
 
 
@@ -61,8 +61,10 @@ def ids(hits):
     return [tuple(r) for r in hits.select("query_id", "rank", "chunk_id").orderBy("query_id", "rank").collect()]
 
 
-@pytest.mark.parametrize("large", [False, True])
-def test_scores_match_brute_force(spark, large):
+@pytest.mark.parametrize("large,hot", [(False, 0), (True, 10_000), (True, 20), (True, 1)])
+def test_scores_match_brute_force(spark, monkeypatch, large, hot):
+    """Broadcast, and sliced with every, some or no term taken as common."""
+    monkeypatch.setattr(lexical, "HOT_TERMS", hot)
     texts, queries = corpus()
     chunks, asked = frames(spark, texts, queries)
     got = bm25_scores(asked, build_index(chunks), size=LARGE if large else None).collect()
@@ -147,6 +149,14 @@ def test_one_term_in_a_third_of_the_postings(spark):
         assert all(got[p] == pytest.approx(expected[p], abs=1e-9) for p in got)
 
 
+def test_common_terms_are_few_by_construction(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "HOT_TERMS", 20)
+    texts, _ = corpus()
+    chunks, _ = frames(spark, texts, [])
+    hot = [r["term"] for r in lexical.hot_terms(build_index(chunks)).collect()]
+    assert "the" in hot and len(hot) <= 20
+
+
 def test_collapse_keeps_the_best_chunk(spark, rows):
     hits = spark.createDataFrame(
         [(0, 1, "a#1", "a"), (0, 2, "b#1", "b"), (0, 3, "a#2", "a"), (1, 1, "b#2", "b")],
