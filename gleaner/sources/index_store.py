@@ -17,7 +17,6 @@ from gleaner.operators.lexical import LexicalIndex, term_bucket
 from gleaner.sources.writers import write_parquet
 
 TERM_BUCKETS = 64
-CHUNK_SLICES = 4
 
 
 def latest_build(spark: SparkSession, root: str) -> str | None:
@@ -51,16 +50,16 @@ def build_if_absent(
     return folder
 
 
-def save_lexical(index: LexicalIndex, folder: str, buckets: int = TERM_BUCKETS, slices: int = CHUNK_SLICES) -> None:
+def save_lexical(index: LexicalIndex, folder: str, buckets: int = TERM_BUCKETS) -> None:
     """Write the four tables, postings and terms in folders by term bucket.
 
-    A search reads only the buckets of its terms.  A bucket is written by ``slices``
-    tasks, cut by chunk, so a term found in every chunk does not end up in one task.
+    A search reads only the buckets of its terms.  The rebalance lets adaptive
+    execution split an oversized bucket over several tasks, so a term found in every
+    chunk does not end up in one of them.
     """
     postings = index.postings.withColumn("bucket", term_bucket(buckets))
-    part = F.pmod(F.xxhash64("chunk_id"), F.lit(slices))
     (
-        postings.repartition(buckets * slices, "bucket", part)
+        postings.hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", "term", "chunk_id")
         .write.mode("overwrite")
         .option("compression", "zstd")
@@ -105,11 +104,10 @@ def lexical_index(
     make_index: Callable[[], LexicalIndex],
     rewrite: bool = False,
     buckets: int = TERM_BUCKETS,
-    slices: int = CHUNK_SLICES,
 ) -> LexicalIndex:
     """The stored index under ``root``, built first when it is missing."""
     folder = build_if_absent(
-        spark, root, lambda path: save_lexical(make_index(), path, buckets, slices), rewrite
+        spark, root, lambda path: save_lexical(make_index(), path, buckets), rewrite
     )
     return load_lexical(spark, folder)
 

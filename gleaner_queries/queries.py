@@ -410,7 +410,7 @@ def bm25_stored_index(spark, sf):
     """Build the index tables when absent, reload them, search."""
     root = work_dir(spark)
     for _ in range(2):
-        stored = index_store.lexical_index(spark, root, lambda: t.index(spark, sf), buckets=8, slices=2)
+        stored = index_store.lexical_index(spark, root, lambda: t.index(spark, sf), buckets=8)
     return _rounded(lexical.bm25_search(t.query_set(spark, sf), stored))
 
 

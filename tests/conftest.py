@@ -11,6 +11,7 @@ from gleaner.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, memory="8g", app="tests")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 

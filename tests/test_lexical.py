@@ -121,7 +121,7 @@ def test_stored_index_gives_the_same_scores(spark, tmp_path, monkeypatch, large)
     texts, queries = corpus(4)
     chunks, asked = frames(spark, texts, queries)
     index = build_index(chunks)
-    stored = lexical_index(spark, str(tmp_path), lambda: index, buckets=4, slices=2)
+    stored = lexical_index(spark, str(tmp_path), lambda: index, buckets=4)
     if large:
         monkeypatch.setattr(lexical, "text_size", lambda *_: LARGE)
     assert ids(bm25_search(asked, stored)) == expected_top(brute_force(texts, queries), 5)
@@ -130,7 +130,7 @@ def test_stored_index_gives_the_same_scores(spark, tmp_path, monkeypatch, large)
 def test_stored_search_reads_only_the_asked_buckets(spark, tmp_path):
     texts, _ = corpus(5)
     chunks, asked = frames(spark, texts, ["w1"])
-    stored = lexical_index(spark, str(tmp_path), lambda: build_index(chunks), buckets=8, slices=1)
+    stored = lexical_index(spark, str(tmp_path), lambda: build_index(chunks), buckets=8)
     cut = lexical.only_buckets_of(stored, lexical.query_terms(asked))
     assert cut.postings.select("bucket").distinct().count() == 1
     assert cut.terms.where(F.col("term") == "w1").count() == 1

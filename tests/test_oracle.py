@@ -15,7 +15,11 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, con, name):
-    got = queries()[name](spark, SF).toPandas()
+    frame = queries()[name](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    # No query multiplies two tables.
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    got = frame.toPandas()
     sql = oracle_sql().get(name)
     if sql is None:
         assert name == "chunk_recursive"  # compared with worked cases in test_chunking

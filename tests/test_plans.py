@@ -11,13 +11,6 @@ def plan(spark, name):
     return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"category_files", "csv_answers", "bm25_stored_index"}))
-def test_no_query_multiplies_two_tables(spark, name):
-    text = plan(spark, name)
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-
-
 @pytest.mark.parametrize("name", ["top_k_reviews", "bm25_search", "knn_l2", "hybrid_rrf"])
 def test_top_k_is_cut_before_the_shuffle(spark, name):
     text = plan(spark, name)
