@@ -60,7 +60,8 @@ REVIEW_COLUMNS = ("parent_asin", "title", "helpful_vote")
 BAD_RECORD = "_bad_record"
 
 
-def _pick(schema: StructType, columns: Sequence[str]) -> StructType:
+def narrow(schema: StructType, columns: Sequence[str]) -> StructType:
+    """The named fields only; for JSON a narrow schema is the column pruning."""
     return StructType([schema[c] for c in columns])
 
 
@@ -95,14 +96,14 @@ def read_reviews(
     spark: SparkSession, path: str | list[str], columns: Sequence[str] = REVIEW_COLUMNS, malformed: str = "null"
 ) -> DataFrame:
     """Reviews; only the named columns are parsed."""
-    return read_json_lines(spark, path, _pick(REVIEWS, columns), malformed)
+    return read_json_lines(spark, path, narrow(REVIEWS, columns), malformed)
 
 
 def read_meta(
     spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, malformed: str = "null"
 ) -> DataFrame:
     """Product metadata; ``details`` is a map, nested values stay as compact JSON text."""
-    schema = META if columns is None else _pick(META, columns)
+    schema = META if columns is None else narrow(META, columns)
     rows = read_json_lines(spark, path, schema, malformed)
     if "details" not in schema.names:
         return rows

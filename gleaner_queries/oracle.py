@@ -181,7 +181,8 @@ def quoted(text: str) -> str:
 
 
 BREAK = "chr(10) || chr(10)"
-PROMPT_LENGTH = f"length('Answer.') + length(query) * 2 + {len(chr(10) * 6 + answers.CONTEXT_HEADING + answers.QUESTION_HEADING + answers.CLOSING)}"
+FIXED_PARTS = "\n" * 6 + answers.CONTEXT_HEADING + answers.QUESTION_HEADING + answers.CLOSING
+PROMPT_LENGTH = f"length('Answer.') + length(query) * 2 + {len(FIXED_PARTS)}"
 GENERATED = f"""generated AS (
   SELECT item_id AS query_id, query, model, CASE WHEN size > 700 THEN 'Error: prompt too long'
          ELSE '<think>' || model || chr(10) || '</think> ' || size || ' characters, ' || model END AS answer,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from gleaner.functions import display
 from gleaner.functions.text import after_marker, strip_think, tokenise, tokenise_lower, tokeniser_without
@@ -15,7 +15,6 @@ from gleaner.operators import (
     chunking,
     dense,
     evaluate,
-    fusion,
     guards,
     lexical,
     products,

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from gleaner.operators.products import combine_reviews, documents_from_sources
-from gleaner.sources.readers import REVIEW_COLUMNS, REVIEWS, _pick
+from gleaner.sources.readers import REVIEW_COLUMNS, REVIEWS, narrow
 from gleaner.streaming.refresh import follow_reviews, latest_documents, rebuild_changed, refresh
 
 COLUMNS = ["title", "average_rating"]
@@ -15,11 +15,14 @@ def drop(folder, name, records):
 
 
 def test_documents_follow_the_drops(spark, tmp_path, rows):
-    meta = spark.createDataFrame([("p", "P", 1.0), ("q", "Q", 2.0)], "parent_asin string, title string, average_rating double")
+    meta = spark.createDataFrame(
+        [("p", "P", 1.0), ("q", "Q", 2.0)], "parent_asin string, title string, average_rating double"
+    )
     drops, root = tmp_path / "drops", str(tmp_path / "store")
 
     def run():
-        follow_reviews(spark, str(drops), _pick(REVIEWS, REVIEW_COLUMNS), meta, root, columns=COLUMNS).awaitTermination()
+        schema = narrow(REVIEWS, REVIEW_COLUMNS)
+        follow_reviews(spark, str(drops), schema, meta, root, columns=COLUMNS).awaitTermination()
         return rows(latest_documents(spark, root), "parent_asin", "document")
 
     drop(drops, "1.json", [{"parent_asin": "p", "title": "good", "helpful_vote": 1},
