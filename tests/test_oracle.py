@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import connect, normal
+from gleaner_queries.oracle import ORACLE
+from gleaner_queries.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,14 +15,14 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    frame = queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     # No query multiplies two tables.
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     got = frame.toPandas()
-    sql = oracle_sql().get(name)
+    sql = ORACLE.get(name)
     if sql is None:
         assert name == "chunk_recursive"  # compared with worked cases in test_chunking
         assert len(got)
