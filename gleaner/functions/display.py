@@ -75,8 +75,9 @@ def compact_nested(entries: Column) -> Column:
     return F.transform_values(entries, lambda _, value: compact(value))
 
 
-def type_name(value: Column) -> Column:
-    return F.typeof(value)
+def value_type(value: Column) -> Column:
+    """The type that a variant value has in its row."""
+    return F.schema_of_variant(value)
 
 
 def hit_block(key: Column, title: Column, rating: Column, content: Column) -> Column:

@@ -17,39 +17,12 @@ Generator = Callable[[list[str]], list[str]]
 CONTEXT_HEADING = "context:\n"
 QUESTION_HEADING = "question:\n"
 ERROR_PREFIX = "Error: "
+MAX_PROMPTS = 1000
+# Prompts sent to a generator at a time; halved when they fail together.
+REQUEST_ROWS = 64
 
-CLOSING = "Answer from the product data given in the context: "
-
-SYSTEM_PROMPTS = {
-    "default": (
-        "You help people choose products. Use nothing but the context below, which holds product "
-        "data and real reviews. Name the product key where you can, and say when the context "
-        "does not hold the answer."
-    ),
-    "brief": (
-        "You help people choose products. Rely on the context alone, quote product keys, and "
-        "admit it when the answer is not there."
-    ),
-    "cited": (
-        "You help people choose electronic products from the context alone. Each entry gives a "
-        "product key, a title, an average rating, and a text made of product data and review "
-        "titles.\n"
-        "- Give the key and title of every product you mention, with its rating if there is one.\n"
-        "- Back summaries of opinions with the rating.\n"
-        "- If the context is too thin, say that there is not enough review data for a confident "
-        "answer.\n"
-        "- Be short, and never suggest a product that the context does not list."
-    ),
-    "ranked": (
-        "You find electronic products that fit the request, using the context alone. Each entry "
-        "gives a product key, a title, an average rating, and a text made of product data and "
-        "review titles.\n"
-        "- Give the key, title and average rating of every product, best rated first.\n"
-        "- If the context is too thin, say so, then offer clearly marked guesses and ask for a "
-        "narrower request.\n"
-        "- Be short, and never suggest a product that the context does not list."
-    ),
-}
+# The one prompt that comes with the engine; others are rows of a user's table.
+SYSTEM_TEXT = "Answer the question from the numbered facts you are given. If they do not settle it, say so."
 
 
 def context_by_query(
@@ -75,10 +48,18 @@ def with_context(queries: DataFrame, contexts: DataFrame) -> DataFrame:
     return queries.join(contexts, "query_id", "left").na.fill("", ["context"])
 
 
-def prompt_table(queries: DataFrame, prompts: dict[str, str] = SYSTEM_PROMPTS) -> DataFrame:
-    """Each query with every system prompt, from a fixed list of prompts."""
+def prompt_table(queries: DataFrame, prompts: DataFrame) -> DataFrame:
+    """Each query with every prompt of a table ``(prompt_id, system_text)``.
+
+    The prompts are a hand-written list: at most ``MAX_PROMPTS`` of them, else an error.
+    """
+    rows = prompts.select("prompt_id", "system_text").orderBy("prompt_id").limit(MAX_PROMPTS + 1).collect()
+    if len(rows) > MAX_PROMPTS:
+        raise ValueError(f"more than {MAX_PROMPTS} prompts")
+    if not rows:
+        return queries.select("*", F.lit("").alias("prompt_id"), F.lit("").alias("system_text")).limit(0)
     variants = F.array(
-        *[F.struct(F.lit(i).alias("prompt_id"), F.lit(t).alias("system_text")) for i, t in prompts.items()]
+        *[F.struct(F.lit(i).alias("prompt_id"), F.lit(t).alias("system_text")) for i, t in rows]
     )
     return queries.select("*", F.inline(variants))
 
@@ -88,9 +69,10 @@ def chat_message(context: Column, query: Column) -> Column:
     return F.concat(F.lit(CONTEXT_HEADING), context, F.lit("\n\n" + QUESTION_HEADING), query)
 
 
-def full_prompt(system: Column, context: Column, query: Column, closing: str = CLOSING) -> Column:
-    """Single-text form: instructions, context, question and the closing line."""
-    return F.concat(system, F.lit("\n\n"), chat_message(context, query), F.lit("\n\n" + closing))
+def full_prompt(system: Column, context: Column, query: Column, closing: str = "") -> Column:
+    """Single-text form: instructions, context, question and, if there is one, a closing line."""
+    end = [F.lit("\n\n" + closing)] if closing else []
+    return F.concat(system, F.lit("\n\n"), chat_message(context, query), *end)
 
 
 def chat_prompt(system: Column, context: Column, query: Column) -> Column:
@@ -108,31 +90,52 @@ def generate(
 ) -> DataFrame:
     """Add ``answer`` and ``error`` to rows of ``(*columns, model, prompt)``.
 
-    ``make_generator(model)`` is called once per task and model.  When a batch
-    fails its prompts are tried one by one, so one bad request costs one answer:
-    that row's answer is the error text and the job goes on.
+    ``make_generator(model)`` is called once per task and model.  Prompts go to it in
+    small batches; one that fails, or brings another number of answers than prompts, is
+    halved until the bad request is alone: that row's answer is the error text and the
+    job goes on.  A model that cannot be made, a null one included if its factory
+    refuses it, gives an error for each of its rows.
     """
     kept = [*dict.fromkeys([*columns, "model", "prompt"])]
     source = prompts.select(*kept)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields]
     schema = ", ".join([*fields, "answer string", "error string"])
 
+    def failed(error: Exception, texts: list[str]) -> list[tuple[str, str]]:
+        return [(f"{ERROR_PREFIX}{error}", str(error))] * len(texts)
+
     def answer_batch(generator: Generator, texts: list[str]) -> list[tuple[str | None, str | None]]:
         try:
-            return [(answer, None) for answer in generator(texts)]
+            answers = list(generator(texts))
+            if len(answers) != len(texts):
+                raise ValueError(f"{len(answers)} answers for {len(texts)} prompts")
+            return [(answer, None) for answer in answers]
         except Exception as error:  # noqa: BLE001 - any failure becomes that row's text
             if len(texts) == 1:
-                return [(f"{ERROR_PREFIX}{error}", str(error))]
-            return [answer_batch(generator, [text])[0] for text in texts]
+                return failed(error, texts)
+            half = len(texts) // 2
+            return answer_batch(generator, texts[:half]) + answer_batch(generator, texts[half:])
+
+    def refuse(error: Exception) -> Generator:
+        def raise_it(texts: list[str]) -> list[str]:
+            raise error
+
+        return raise_it
 
     def answer_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generators: dict[str, Generator] = {}
+        generators: dict[str | None, Generator] = {}
         for batch in batches:
-            for model, rows in batch.groupby("model", sort=False):
+            for value, rows in batch.groupby("model", sort=False, dropna=False):
+                model = None if pd.isna(value) else value
                 if model not in generators:
-                    generators[model] = make_generator(model)
-                answers = answer_batch(generators[model], rows["prompt"].tolist())
-                yield rows.assign(answer=[a for a, _ in answers], error=[e for _, e in answers])
+                    try:
+                        generators[model] = make_generator(model)
+                    except Exception as error:  # noqa: BLE001 - the model's rows carry it
+                        generators[model] = refuse(error)
+                for start in range(0, len(rows), REQUEST_ROWS):
+                    part = rows.iloc[start : start + REQUEST_ROWS]
+                    answers = answer_batch(generators[model], part["prompt"].tolist())
+                    yield part.assign(answer=[a for a, _ in answers], error=[e for _, e in answers])
 
     return source.mapInPandas(answer_all, schema)
 

@@ -2,34 +2,75 @@
 
 from __future__ import annotations
 
-import hashlib
-import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from gleaner.functions.text import tokenise
 from gleaner.operators.ranking import top_k_per_group
+from gleaner.sources.writers import saved
 
 Embedder = Callable[[list[str]], np.ndarray]
 
 TOP_K = 5
 TIE_DECIMALS = 9
-# Queries a task may hold, queries compared at a time, and corpus rows per block.
+# Queries a task may hold (rows, and bytes as doubles), and queries compared at a time.
 QUERY_ROWS = 20_000
+QUERY_BYTES = 64 << 20
 QUERY_STRIP = 256
-BLOCK_ROWS = 50_000
+
+
+@dataclass(frozen=True)
+class HashingEmbedder:
+    """Model-free embedder: unit-length counts of hashed white-space tokens, as a native expression."""
+
+    dim: int = 64
+
+    def column(self, text: Column) -> Column:
+        # One letter a token names its bucket; a bucket's count is what its letter's removal takes away.
+        letters = [chr(0x4E00 + b) for b in range(self.dim)]
+        alphabet = F.array(*map(F.lit, letters))
+
+        def letter(token: Column) -> Column:
+            number = F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long")
+            return F.get(alphabet, (number % self.dim).cast("int"))
+
+        line = F.array_join(F.transform(tokenise(F.coalesce(text, F.lit(""))), letter), "")
+        # Through a lambda's argument, so that the line is made once for all letters.
+        counts = F.transform(
+            F.array(line),
+            lambda s: F.transform(alphabet, lambda c: (F.length(s) - F.length(F.replace(s, c, F.lit("")))).cast("double")),
+        )
+        unit = F.transform(counts, lambda v: F.transform(v, lambda c: (c / _norm(v)).cast("float")))
+        return F.get(unit, F.lit(0))
+
+
+def _norm(counts: Column) -> Column:
+    length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda total, c: total + c * c))
+    return F.when(length == 0, F.lit(1.0)).otherwise(length)
 
 
 def embed(
-    df: DataFrame, text_col: str, make_embedder: Callable[[], Embedder], vector_col: str = "embedding"
+    df: DataFrame,
+    text_col: str,
+    make_embedder: HashingEmbedder | Callable[[], Embedder],
+    vector_col: str = "embedding",
 ) -> DataFrame:
-    """Add an ``array<float>`` column; the model is made once per task, texts go in Arrow batches."""
+    """Add an ``array<float>`` column.
+
+    The hashing embedder is an expression.  Any other is made once per task and gets the
+    texts in Arrow batches.
+    """
+    if isinstance(make_embedder, HashingEmbedder):
+        return df.withColumn(vector_col, make_embedder.column(F.col(text_col)))
 
     def embed_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         embedder = make_embedder()
@@ -40,30 +81,8 @@ def embed(
     return df.withColumn(vector_col, F.pandas_udf(embed_batches, "array<float>")(text_col))
 
 
-def hashing_embedder(dim: int = 64) -> Callable[[], Embedder]:
-    """Model-free embedder: unit-length counts of hashed white-space tokens."""
-
-    def make() -> Embedder:
-        buckets: dict[str, int] = {}
-
-        def bucket(token: str) -> int:
-            if token not in buckets:
-                if len(buckets) >= 1_000_000:
-                    buckets.clear()
-                buckets[token] = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
-            return buckets[token]
-
-        def vectors(texts: list[str]) -> np.ndarray:
-            counts = np.zeros((len(texts), dim))
-            for row, text in enumerate(texts):
-                found = [bucket(token) for token in text.split()]
-                counts[row] = np.bincount(found, minlength=dim) if found else 0
-            norms = np.sqrt((counts**2).sum(axis=1, keepdims=True))
-            return (counts / np.where(norms == 0, 1, norms)).astype(np.float32)
-
-        return vectors
-
-    return make
+def hashing_embedder(dim: int = 64) -> HashingEmbedder:
+    return HashingEmbedder(dim)
 
 
 def knn(
@@ -76,27 +95,37 @@ def knn(
 ) -> DataFrame:
     """Exact top-k as ``(query_id, rank, chunk_id, distance)``, nearest first.
 
-    ``l2`` is the squared distance, ``cosine`` one minus the cosine.  Up to
-    ``max_query_rows`` queries travel to every corpus task, which returns its k best
-    per query: the corpus is scanned once and never shuffled.  Larger query sets are
-    compared block by block (see :func:`_knn_blocks`).
+    ``l2`` is the squared distance, ``cosine`` one minus the cosine.  Queries travel to
+    every corpus task in blocks of bounded rows and bytes; a task returns its k best per
+    query, so the corpus is scanned once a block and never shuffled.  A vector with a
+    component that is not finite is an error.
     """
     asked = queries.select("query_id", vector_col)
     stored = corpus.select("chunk_id", vector_col)
     schema = StructType(
         [asked.schema["query_id"], stored.schema["chunk_id"], StructField("distance", DoubleType())]
     )
-    head = asked.limit(max_query_rows + 1).toArrow()
-    if head.num_rows <= max_query_rows:
-        best = _knn_scan(head, stored, k, metric, schema)
-    else:
-        best = _knn_blocks(asked, stored, k, metric, schema, max_query_rows)
+    found = [_knn_scan(rows, stored, k, metric, schema) for rows in _query_blocks(asked, max_query_rows)]
+    best = reduce(DataFrame.unionByName, found)
     order = [F.round("distance", TIE_DECIMALS).asc(), F.asc("chunk_id")]
     return top_k_per_group(best, ["query_id"], order, k).select(
         "query_id", "rank", "chunk_id", "distance"
     )
 
 
+def _query_blocks(asked: DataFrame, most: int) -> Iterator[pa.Table]:
+    """The query set in tables of about ``most`` rows and ``QUERY_BYTES``."""
+    head = asked.limit(most + 1).toArrow()
+    if head.num_rows <= most and 2 * head.nbytes <= QUERY_BYTES:
+        yield head
+        return
+    stored = saved(asked)
+    wide = stored.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(asked.columns[1])).alias("cells")).first()
+    blocks = max(-(-wide["n"] // most), -(-8 * (wide["cells"] or 0) // QUERY_BYTES))
+    for block in range(blocks):
+        yield stored.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toArrow()
+
+
 def _knn_scan(rows: pa.Table, stored: DataFrame, k: int, metric: str, schema: StructType) -> DataFrame:
     query_ids, query_vectors = _vectors(rows.column(0), rows.column(1))
     arrow_schema = _arrow_schema(schema)
@@ -110,45 +139,6 @@ def _knn_scan(rows: pa.Table, stored: DataFrame, k: int, metric: str, schema: St
     return stored.mapInArrow(scan, schema)
 
 
-def _knn_blocks(
-    asked: DataFrame, stored: DataFrame, k: int, metric: str, schema: StructType, block_rows: int
-) -> DataFrame:
-    """Every query block meets every corpus block in one bounded task.
-
-    Blocks are cut by a hash of the id, so their size does not depend on the data;
-    a task returns k rows per query, never the pairs.
-    """
-    query_blocks = math.ceil(asked.count() / block_rows)
-    corpus_blocks = max(1, math.ceil(stored.count() / BLOCK_ROWS))
-
-    def block(id_col: str, blocks: int):
-        return F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")
-
-    def every(blocks: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    # Fresh column names: a vector column common to both sides would be lost in the cogroup.
-    left = (
-        asked.toDF("query_id", "asked_vector")
-        .withColumn("qb", block("query_id", query_blocks))
-        .withColumn("cb", every(corpus_blocks))
-    )
-    right = (
-        stored.toDF("chunk_id", "stored_vector")
-        .withColumn("cb", block("chunk_id", corpus_blocks))
-        .withColumn("qb", every(query_blocks))
-    )
-    arrow_schema = _arrow_schema(schema)
-
-    def compare(queries: pa.Table, chunks: pa.Table) -> pa.Table:
-        ids, asked_vectors = _vectors(queries.column("query_id"), queries.column("asked_vector"))
-        best = _Best(asked_vectors, k, metric)
-        best.add(chunks.column("chunk_id"), chunks.column("stored_vector"))
-        return pa.Table.from_batches(best.batches(ids, arrow_schema), arrow_schema)
-
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(compare, schema)
-
-
 def _arrow_schema(schema: StructType) -> pa.Schema:
     return pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
 
@@ -166,6 +156,8 @@ def _vectors(
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if not np.isfinite(flat).all():
+        raise ValueError("a vector holds a component that is not finite")
     width = len(flat) // len(vectors) if len(vectors) else 0
     return np.asarray(ids.to_pylist(), dtype=object), flat.reshape(len(vectors), width)
 

@@ -23,10 +23,6 @@ def side_by_side(
     )
 
 
-def titles(hits: DataFrame, title: str = "product_title") -> DataFrame:
-    return hits.select("query_id", "rank", title)
-
-
 def overlap_at_k(a: DataFrame, b: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
     """Per query, the number of items that both top-k lists hold, and its share of k."""
     marked = (

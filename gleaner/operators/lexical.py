@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import Tokeniser, tokenise
 from gleaner.operators.ranking import top_k_per_group, with_rank
-from gleaner.plans.sizing import Size, broadcast_if, text_size
+from gleaner.sources.writers import saved, with_row_index
 
 # The usual Okapi constants, and the default number of hits.
 K1, B, EPSILON = 1.5, 0.75, 0.25
 TOP_K = 5
 # Scores closer than this many decimals count as tied; the chunk id then decides.
 TIE_DECIMALS = 9
-# For query sets too large to broadcast: terms treated as common, and slices of each.
-HOT_TERMS = 10_000
-HOT_SLICES = 64
+# Rows of query terms that are scored (and broadcast) at a time.
+BLOCK_TERMS = 200_000
 
 
 @dataclass(frozen=True)
@@ -113,24 +113,10 @@ def term_weights(index: LexicalIndex) -> DataFrame:
     )
 
 
-def asked_weights(index: LexicalIndex, asked: DataFrame, small: bool) -> DataFrame:
-    """``(term, idf, avgdl)`` of the terms in ``asked(term)`` that the corpus holds."""
-    if index.stored or not small:
-        weights = term_weights(index).join(broadcast_if(asked, small), "term", "left_semi")
-        return weights.select("term", "idf", index.corpus.select("avgdl").scalar().alias("avgdl"))
-    # Unstored: one pass over the terms yields the corpus figures and, for the few
-    # asked terms, their frequencies.
-    n = index.chunks.agg(F.count(F.lit(1)).alias("n")).scalar()
-    marked = index.terms.join(F.broadcast(asked.withColumn("asked", F.lit(True))), "term", "left").select(
-        "ctf", "asked", "term", _plain_idf(n, F.col("df")).alias("idf0"), n.alias("n")
-    )
-    figures = marked.agg(
-        (F.sum("ctf") / F.max("n")).alias("avgdl"),
-        F.avg("idf0").alias("avg_idf"),
-        F.collect_list(F.when(F.col("asked"), F.struct("term", "idf0"))).alias("found"),
-    )
-    found = figures.select("avgdl", "avg_idf", F.inline("found"))
-    return found.select("term", _floored_idf(F.col("idf0"), F.col("avg_idf")).alias("idf"), "avgdl")
+def asked_weights(index: LexicalIndex, asked: DataFrame) -> DataFrame:
+    """``(term, idf, avgdl)`` of the terms in ``asked(term)``, a set of bounded size, that the corpus holds."""
+    weights = term_weights(index).join(F.broadcast(asked), "term", "left_semi")
+    return weights.select("term", "idf", index.corpus.select("avgdl").scalar().alias("avgdl"))
 
 
 def query_terms(queries: DataFrame, tokeniser: Tokeniser = tokenise) -> DataFrame:
@@ -139,14 +125,6 @@ def query_terms(queries: DataFrame, tokeniser: Tokeniser = tokenise) -> DataFram
     return tokens.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def hot_terms(index: LexicalIndex) -> DataFrame:
-    """Terms that hold at least one in ``HOT_TERMS`` of all postings: no more than that many."""
-    total = index.terms.agg(F.sum("df").alias("n")).scalar()
-    return F.broadcast(
-        index.terms.where(F.col("df") * HOT_TERMS >= total).select("term", F.lit(True).alias("hot"))
-    )
-
-
 def term_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
 
@@ -159,49 +137,38 @@ def only_buckets_of(index: LexicalIndex, wanted: DataFrame) -> LexicalIndex:
     return replace(index, postings=index.postings.where(inside), terms=index.terms.where(inside))
 
 
-def bm25_scores(
-    queries: DataFrame,
-    index: LexicalIndex,
-    tokeniser: Tokeniser = tokenise,
-    size: Size | None = None,
-) -> DataFrame:
-    """``(query_id, chunk_id, score)`` for each pair that shares a term."""
-    small = (size or text_size(queries, "query")).fits()
-    wanted = query_terms(queries, tokeniser)
-    if small and index.stored:
+def query_blocks(wanted: DataFrame, rows: int | None = None) -> list[DataFrame]:
+    """The query terms cut by query into blocks of about ``rows`` rows, so that a block can be broadcast."""
+    blocks = -(-wanted.count() // (rows or BLOCK_TERMS))
+    if blocks <= 1:
+        return [wanted]
+    return [wanted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) for b in range(blocks)]
+
+
+def bm25_scores(queries: DataFrame, index: LexicalIndex, tokeniser: Tokeniser = tokenise) -> DataFrame:
+    """``(query_id, chunk_id, score)`` for each pair that shares a term.
+
+    Queries are taken block by block.  The postings of a block's terms are shuffled once
+    by chunk, before they multiply with the queries; scoring and the first top-k cut
+    then stay local, so a query's pairs with all chunks never move.
+    """
+    found = [_block_scores(block, index) for block in query_blocks(query_terms(queries, tokeniser))]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _block_scores(wanted: DataFrame, index: LexicalIndex) -> DataFrame:
+    if index.stored:
         index = only_buckets_of(index, wanted)
-    idf = asked_weights(index, wanted.select("term").distinct(), small)
+    idf = asked_weights(index, wanted.select("term").distinct())
     tf, dl = F.col("tf"), F.col("dl")
     part = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / F.col("avgdl")))
-
-    if small:
-        # The postings of the queried terms, shuffled once by chunk and before they
-        # multiply with the queries.  Scoring and the first top-k cut then stay local.
-        matched = (
-            index.postings.join(F.broadcast(idf), "term")
-            .select("chunk_id", "term", part.alias("part"))
-            .repartition("chunk_id")
-        )
-        pairs = matched.join(F.broadcast(wanted), "term")
-    else:
-        # Too many queries to broadcast: join on the term, common terms cut into slices
-        # by chunk so that none of them ends up in one task.
-        hot = hot_terms(index)
-        by_chunk = F.pmod(F.xxhash64("chunk_id"), F.lit(HOT_SLICES)).cast("int")
-        sliced = index.postings.join(hot, "term", "left").withColumn(
-            "slice", F.when(F.col("hot"), by_chunk).otherwise(F.lit(0))
-        )
-        every = F.sequence(F.lit(0), F.lit(HOT_SLICES - 1))
-        weighted = (
-            wanted.join(idf, "term")
-            .join(hot, "term", "left")
-            .withColumn("slice", F.explode(F.when(F.col("hot"), every).otherwise(F.array(F.lit(0)))))
-            .drop("hot")
-        )
-        pairs = sliced.join(weighted, ["term", "slice"]).withColumn("part", part)
-    return pairs.groupBy("query_id", "chunk_id").agg(
-        F.sum(F.col("qtf") * F.col("part")).alias("score")
+    matched = (
+        index.postings.join(F.broadcast(idf), "term")
+        .select("chunk_id", "term", part.alias("part"))
+        .repartition("chunk_id")
     )
+    pairs = matched.join(F.broadcast(wanted), "term")
+    return pairs.groupBy("query_id", "chunk_id").agg(F.sum(F.col("qtf") * F.col("part")).alias("score"))
 
 
 def score_order(score: str = "score", id_col: str = "chunk_id") -> list[Column]:
@@ -220,43 +187,43 @@ def bm25_search(
     By default a hit shares a term with its query.  ``pad_to_k`` ranks every chunk,
     so unmatched ones follow with score zero in chunk order.
     """
-    size = text_size(queries, "query")
-    scores = bm25_scores(queries, index, tokeniser, size)
+    scores = bm25_scores(queries, index, tokeniser)
     if pad_to_k:
         scores = _with_zero_scores(queries, scores, index, k)
     ranked = top_k_per_group(scores, ["query_id"], score_order(), k)
     return ranked.select("query_id", "rank", "chunk_id", "score")
 
 
-def _with_zero_scores(
-    queries: DataFrame, scores: DataFrame, index: LexicalIndex, k: int
-) -> DataFrame:
-    """Add the unmatched chunks that can still reach the top k.
+def _with_zero_scores(queries: DataFrame, scores: DataFrame, index: LexicalIndex, k: int) -> DataFrame:
+    """Add the first k unmatched chunks of every query with fewer than k positive hits.
 
-    A query with k positive hits needs none.  Any other matched fewer than k chunks
-    positively, so k zero hits are sure to be among the first 2k chunks.
+    With the chunks numbered in id order, a matched chunk at place p with m matched ones
+    before it has p - m unmatched ones before it.  The j-th unmatched chunk therefore lies
+    at j plus the number of matched chunks with at most j unmatched ones before them: k
+    counts a query, however many chunks it matched.
     """
-    scored = [F.count(F.lit(1)).alias("matched"), F.count_if(F.col("score") > 0).alias("positive")]
+    scores = saved(scores)
+    chunks = with_row_index(index.chunks.select("chunk_id"), ["chunk_id"], "place")
+    positive = F.count_if(F.col("score") > 0).alias("positive")
     short = (
         queries.select("query_id")
-        .join(scores.groupBy("query_id").agg(*scored), "query_id", "left")
-        .na.fill(0, ["matched", "positive"])
-        .where(F.col("positive") < k)
+        .join(scores.groupBy("query_id").agg(positive), "query_id", "left")
+        .where(F.coalesce("positive", F.lit(0)) < k)
+        .select("query_id")
+    )
+    matched = scores.join(short, "query_id", "left_semi").join(chunks, "chunk_id")
+    before = with_rank(matched, ["query_id"], [F.asc("place")], "nth").select(
+        "query_id", (F.col("place") - F.col("nth") + 1).alias("free")
+    )
+    counts = before.groupBy("query_id").agg(
+        F.array(*[F.count_if(F.col("free") <= j) for j in range(k)]).alias("shift")
     )
-    reach = 2 * k
-    if index.corpus.first()["avg_idf"] < 0:
-        # Tiny corpora only: matches may score below zero and then lie behind the zero hits.
-        reach = k + (short.agg(F.max("matched").alias("m")).first()["m"] or 0)
-    heads = (
-        index.chunks.select("chunk_id")
-        .orderBy("chunk_id")
-        .limit(reach)
-        .agg(F.sort_array(F.collect_list("chunk_id")).alias("ids"))
-        .scalar()
+    none = F.array_repeat(F.lit(0).cast("long"), k)
+    places = short.join(counts, "query_id", "left").select(
+        "query_id", F.posexplode(F.coalesce("shift", none)).alias("j", "shift")
     )
-    candidates = short.select("query_id", F.explode(heads).alias("chunk_id"))
-    unmatched = candidates.join(scores, ["query_id", "chunk_id"], "left_anti")
-    return scores.unionByName(unmatched.withColumn("score", F.lit(0.0)))
+    unmatched = places.select("query_id", (F.col("j") + F.col("shift")).alias("place")).join(chunks, "place")
+    return scores.unionByName(unmatched.select("query_id", "chunk_id", F.lit(0.0).alias("score")))
 
 
 def hit_fields(hits: DataFrame) -> DataFrame:

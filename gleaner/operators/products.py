@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.display import flat_array, flat_map, short_title
 from gleaner.operators.ranking import top_k_per_group
-from gleaner.plans.skew import left_join
 
 # Product columns kept by default and the separator between review titles.
 META_COLUMNS = ["main_category", "title", "features", "description", "details", "average_rating"]
@@ -49,9 +48,13 @@ def merge_sources(
     columns: Sequence[str] = tuple(META_COLUMNS),
     key: str = "parent_asin",
 ) -> DataFrame:
-    """Products left-joined to their combined reviews; products without reviews stay."""
+    """Products left-joined to their combined reviews; products without reviews stay.
+
+    A key with a large share of the products is left to adaptive execution, which
+    splits its side of the join.
+    """
     kept = meta.select(key, *[c for c in columns if c != key])
-    return left_join(kept, reviews.select(key, "combined_reviews"), key)
+    return kept.join(reviews.select(key, "combined_reviews"), key, "left")
 
 
 def one_row_per_key(
@@ -59,12 +62,14 @@ def one_row_per_key(
 ) -> DataFrame:
     """First non-null value of each column, column by column, for each non-null key.
 
-    With ``order`` the choice is fixed; without it any non-null value may win.
+    First means by ``order``; without one the smallest value wins (of maps the one whose
+    JSON text is smallest), so that two evaluations of the same rows agree.
     """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def pick(column: str) -> Column:
         if not order:
-            return F.any_value(column, True)
+            return F.min_by(column, F.to_json(column)) if "map<" in kinds[column] else F.min(column)
         # The conditional rank is null where the value is null, and min_by skips null ranks.
         rank = F.when(F.col(column).isNotNull(), F.struct(*order))
         return F.min_by(column, rank)

@@ -1,4 +1,4 @@
-"""Ranks, top-k per group, first rows, and previews."""
+"""Ranks, top-k per group and first rows."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark prunes a row_number filter before the shuffle up to this k (windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
-SALTS = 32
-
 
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
     """1-based rank inside each group; give ``order`` a unique tail so ties are fixed."""
@@ -23,15 +19,9 @@ def top_k_per_group(
 ) -> DataFrame:
     """First ``k`` rows of each group with their rank.
 
-    Up to ``GROUP_LIMIT`` Spark keeps only k rows per group and map task before the
-    shuffle, so a hot group arrives small.  For a larger k the same is done by hand:
-    a first cut inside salted slices of the group, then the cut of the group.
+    Spark keeps only k rows per group and map task before the shuffle (up to its
+    ``windowGroupLimitThreshold``), so a hot group arrives small.
     """
-    if k > GROUP_LIMIT:
-        flat = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        salted = df.withColumn("_slice", F.pmod(F.xxhash64(*flat), F.lit(SALTS)))
-        first = with_rank(salted, [*keys, "_slice"], order, "_slice_rank")
-        df = first.where(F.col("_slice_rank") <= k).drop("_slice", "_slice_rank")
     return with_rank(df, keys, order, name).where(F.col(name) <= k)
 
 
@@ -40,10 +30,6 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str | Column] | None = Non
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
-
-
 def element(values: Column, position: int) -> Column:
     """Zero-based element of an array, null past its end."""
     return F.get(values, F.lit(position))

@@ -1 +1 @@
-"""Size checks, skew handling and end-to-end builds."""
+"""Size checks and end-to-end builds."""

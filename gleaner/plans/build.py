@@ -14,11 +14,12 @@ from gleaner.operators.chunking import (
     chunk_recursive,
 )
 from gleaner.operators.dense import Embedder, embed
-from gleaner.operators.lexical import LexicalIndex, build_index
+from gleaner.operators.lexical import build_index
 from gleaner.operators.products import META_COLUMNS, combine_reviews, documents_from_sources
 from gleaner.plans.search import Corpus
-from gleaner.sources.index_store import lexical_index, vector_index
+from gleaner.sources.index_store import build_if_absent, lexical_index, vector_index
 from gleaner.sources.readers import read_meta, read_reviews
+from gleaner.sources.writers import write_parquet
 
 
 def product_documents(
@@ -49,14 +50,17 @@ def build_corpus(
     With ``shared_chunks`` both indexes hold the same chunks and fuse by chunk id.
     Otherwise the lexical one uses its own, longer chunks; fuse those by text.
     """
-    size, overlap = (SEMANTIC_SIZE, SEMANTIC_OVERLAP) if shared_chunks else (LEXICAL_SIZE, LEXICAL_OVERLAP)
 
-    def make_lexical() -> LexicalIndex:
-        return build_index(chunk_recursive(documents, size, overlap, key))
+    def stored_chunks(name: str, size: int, overlap: int) -> DataFrame:
+        def build(folder: str) -> None:
+            write_parquet(chunk_recursive(documents, size, overlap, key), f"{folder}/chunks")
 
-    def make_vectors() -> DataFrame:
-        return embed(chunk_recursive(documents, key=key), "text", make_embedder)
+        folder = build_if_absent(spark, f"{root}/{name}", build, rewrite)
+        return spark.read.parquet(f"{folder}/chunks")
 
-    lexical = lexical_index(spark, f"{root}/lexical", make_lexical, rewrite)
-    vectors = vector_index(spark, f"{root}/vectors", make_vectors, rewrite)
+    # Chunks are cut and stored once; what is indexed comes from the stored ones.
+    short = stored_chunks("chunks", SEMANTIC_SIZE, SEMANTIC_OVERLAP)
+    long = short if shared_chunks else stored_chunks("long_chunks", LEXICAL_SIZE, LEXICAL_OVERLAP)
+    lexical = lexical_index(spark, f"{root}/lexical", lambda: build_index(long), rewrite)
+    vectors = vector_index(spark, f"{root}/vectors", lambda: embed(short, "text", make_embedder), rewrite)
     return Corpus(lexical, vectors, make_embedder)

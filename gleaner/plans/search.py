@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import Tokeniser, tokenise
-from gleaner.operators import answers, fusion
-from gleaner.operators.dense import Embedder, embed, hashing_embedder, knn
+from gleaner.operators import answers, evaluate, fusion
+from gleaner.operators.dense import Embedder, HashingEmbedder, embed, hashing_embedder, knn
 from gleaner.operators.lexical import TOP_K, LexicalIndex, bm25_search
 from gleaner.plans.sizing import MAX_ROWS
+from gleaner.sources.writers import saved
 
 # Search modes and their labels.
 MODES = {"bm25": "BM25", "semantic": "Semantic", "hybrid": "Hybrid"}
@@ -24,7 +25,7 @@ class Corpus:
 
     lexical: LexicalIndex
     vectors: DataFrame
-    make_embedder: Callable[[], Embedder] = hashing_embedder()
+    make_embedder: HashingEmbedder | Callable[[], Embedder] = hashing_embedder()
     tokeniser: Tokeniser = tokenise
     lexical_weight: float = fusion.LEXICAL_WEIGHT
 
@@ -79,18 +80,28 @@ def with_chunk_columns(
 ) -> DataFrame:
     """Look up chunk columns for hits of ``queries``, at most 2k each.
 
-    The number of queries bounds the hits, so a checked query set lets them be
-    broadcast and the chunk table is scanned without a shuffle.
+    The number of queries bounds the hits, so a checked query set lets their ids be
+    broadcast and the chunk table is scanned without a shuffle.  A hit whose chunk is
+    missing stays, with nulls.
     """
     few = queries.limit(MAX_ROWS // (2 * k) + 1).count() <= MAX_ROWS // (2 * k)
-    wanted = chunks.select("chunk_id", *columns)
-    return wanted.join(F.broadcast(hits) if few else hits, "chunk_id")
+    ids = hits.select("chunk_id").distinct()
+    found = chunks.select("chunk_id", *columns).join(F.broadcast(ids) if few else ids, "chunk_id", "left_semi")
+    return hits.join(found, "chunk_id", "left")
+
+
+def side_by_side(queries: DataFrame, corpus: Corpus, title: str = "product_title", k: int = TOP_K) -> DataFrame:
+    """Titles of both retrievers rank by rank; the chunk table is read once for both lists."""
+    lists = [semantic_hits(queries, corpus, k).drop("distance"), lexical_hits(queries, corpus, k).drop("score")]
+    both = lists[0].withColumn("list", F.lit(0)).unionByName(lists[1].withColumn("list", F.lit(1)))
+    titled = saved(with_chunk_columns(both, corpus.chunks, [title], queries, k))
+    return evaluate.side_by_side(queries, titled.where("list = 0"), titled.where("list = 1"), title)
 
 
 def grounded_prompts(
     queries: DataFrame,
     corpus: Corpus,
-    system_text: str = answers.SYSTEM_PROMPTS["default"],
+    system_text: str = answers.SYSTEM_TEXT,
     k: int = TOP_K,
     mode: str = "hybrid",
     key: str = "parent_asin",

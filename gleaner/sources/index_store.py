@@ -23,7 +23,9 @@ def latest_build(spark: SparkSession, root: str) -> str | None:
     """Folder of the newest complete build, or None."""
     try:
         builds = spark.read.parquet(f"{root}/builds")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     row = builds.agg(F.max_by("folder", "built_at").alias("folder")).first()
     return row["folder"]
@@ -73,7 +75,7 @@ def save_lexical(index: LexicalIndex, folder: str, buckets: int = TERM_BUCKETS)
         F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("ctf")
     )
     (
-        terms.repartition(buckets, "bucket")
+        terms.hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", "term")
         .write.mode("overwrite")
         .option("compression", "zstd")

@@ -18,6 +18,7 @@ from pyspark.sql.types import (
 )
 
 from gleaner.functions.display import compact_nested
+from gleaner.sources.writers import with_row_index
 
 _TEXT = StringType()
 _LINKS = ArrayType(MapType(_TEXT, _TEXT))
@@ -141,9 +142,13 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 
 
 def read_queries(spark: SparkSession, path: str, column: str = "queries") -> DataFrame:
-    """Query set from a CSV with a header, numbered in file order."""
+    """Query set from a CSV with a header, numbered by file path and place in the file."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return rows.select(F.monotonically_increasing_id().alias("query_id"), F.col(column).alias("query"))
+    # A file is read by one task from its start to its end, so inside it the id ascends.
+    placed = rows.select(
+        F.col(column).alias("query"), F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at")
+    )
+    return with_row_index(placed, ["_file", "_at"], "query_id").select("query_id", "query")
 
 
 def single_query(spark: SparkSession, text: str) -> DataFrame:

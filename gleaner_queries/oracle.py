@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gleaner.operators import answers
-from gleaner_queries.queries import MODELS, STOP_WORDS, WEIGHTS
+from gleaner_queries.queries import REFUSED, STOP_WORDS, WEIGHTS
 
 REVIEWS = """reviews AS (
   SELECT l_partkey AS parent_asin, concat_ws('-', l_returnflag, l_linestatus, l_linenumber) AS title,
@@ -44,6 +44,9 @@ def stop_tokens(text: str) -> str:
 CORPUS = "rows AS (SELECT doc_id AS chunk_id, text FROM documents)"
 QUERIES = "asked AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
 
+LONGEST = """asked AS (SELECT 0::BIGINT AS query_id, text AS query FROM benchmark
+          ORDER BY length(text) DESC, item_id DESC LIMIT 1)"""
+
 
 def chunks_fixed(size: int, overlap: int) -> str:
     step = size - overlap
@@ -136,11 +139,11 @@ CONTEXT = f"""{BOTH}, {FUSED}, {DESCRIBED}, contexts AS (
 POSITIVES = r"""sentences AS (
   SELECT DISTINCT chunk_id, s FROM (
     SELECT chunk_id, unnest(string_split_regex(regexp_replace(text, '\s+', ' ', 'g'), '\. ?')) AS s FROM rows)
-  WHERE length(s) >= 40),
+  WHERE s <> ''),
 wanted AS (
   SELECT DISTINCT query_id, s FROM (
     SELECT query_id, unnest(string_split_regex(regexp_replace(query, '\s+', ' ', 'g'), '\. ?')) AS s FROM asked)
-  WHERE length(s) >= 40),
+  WHERE s <> ''),
 positives AS (SELECT DISTINCT query_id, chunk_id FROM wanted JOIN sentences USING (s))"""
 
 GRID = ", ".join(str(w) for w in WEIGHTS)
@@ -155,7 +158,7 @@ swept AS (SELECT bm25_weight, query_id, chunk_id, rrf, row_number() OVER (
             PARTITION BY bm25_weight, query_id ORDER BY round(rrf, 12) DESC, seen)::INTEGER AS rank
           FROM swept_scores)"""
 
-THINK = "'<think>plan' || chr(10) || left(text, 20) || '</think>' || chr(10) || '  ' || text"
+THINK = "'<think>plan' || chr(10) || text || '</think>' || chr(10) || '  ' || text"
 MARKED = f"""marked AS (
   SELECT conv_id, turn,
          CASE role WHEN 'assistant' THEN {THINK} WHEN 'user' THEN {THINK} || ' <think>again</think> end '
@@ -181,14 +184,16 @@ def quoted(text: str) -> str:
 
 
 BREAK = "chr(10) || chr(10)"
-FIXED_PARTS = "\n" * 6 + answers.CONTEXT_HEADING + answers.QUESTION_HEADING + answers.CLOSING
-PROMPT_LENGTH = f"length('Answer.') + length(query) * 2 + {len(FIXED_PARTS)}"
-GENERATED = f"""generated AS (
-  SELECT item_id AS query_id, query, model, CASE WHEN size > 700 THEN 'Error: prompt too long'
-         ELSE '<think>' || model || chr(10) || '</think> ' || size || ' characters, ' || model END AS answer,
-         CASE WHEN size > 700 THEN 'prompt too long' END AS error
-  FROM (SELECT item_id, text AS query, {PROMPT_LENGTH} AS size, unnest({MODELS!r}) AS model
-        FROM (SELECT item_id, text, text AS query FROM benchmark)))"""
+RAG_PROMPT = f"""{quoted(answers.SYSTEM_TEXT)} || {BREAK} || 'context:' || chr(10)
+          || coalesce(context, '') || {BREAK} || 'question:' || chr(10) || query"""
+GENERATED = f"""{CONTEXT}, generated AS (
+  SELECT query_id, query, model, coalesce('Error: ' || error,
+         '<think>' || model || chr(10) || '</think> ' || length(prompt) || ' characters, ' || model) AS answer, error
+  FROM (SELECT *, CASE WHEN model IS NULL OR model = 'broken' THEN 'cannot make ' || coalesce(model, 'None')
+                       WHEN contains(query, {quoted(REFUSED)}) THEN 'refused'
+                       WHEN model = 'short' THEN '0 answers for 1 prompts' END AS error
+        FROM (SELECT query_id, query, {RAG_PROMPT} AS prompt, unnest(['plain', 'loud', 'short', 'broken', NULL]) AS model
+              FROM asked LEFT JOIN contexts USING (query_id))))"""
 
 DOC_CHUNKS_1000 = f"{chunks_fixed(1000, 100)}, {QUERIES}, {index('chunks')}, {scores()}"
 
@@ -219,7 +224,13 @@ ORACLE = {
     "text_reduced_metadata": "SELECT doc_id, source, length(text)::INTEGER AS chars FROM documents",
     "vote_boost": """SELECT l_partkey AS parent_asin, round(ln(1 + sum(l_quantity)), 6) AS boost
         FROM lineitem GROUP BY l_partkey""",
-    "refresh_changed": f"""WITH {COMBINED}
+    "refresh_changed": f"""WITH {REVIEWS},
+        touched AS (SELECT DISTINCT parent_asin FROM reviews WHERE title LIKE 'R%' AND parent_asin % 4 = 0),
+        known AS (SELECT * FROM reviews WHERE title NOT LIKE 'R%' OR parent_asin IN (FROM touched)),
+        ranked AS (SELECT parent_asin, title, row_number() OVER (
+            PARTITION BY parent_asin ORDER BY helpful_vote DESC, l_orderkey, l_linenumber) AS rn FROM known),
+        combined AS (SELECT parent_asin, string_agg(title, ' | ' ORDER BY rn) AS combined_reviews
+            FROM ranked WHERE rn <= 10 GROUP BY parent_asin)
         SELECT p_partkey AS parent_asin, left(p_name, 100) AS product_title, p_retailprice AS average_rating,
                concat_ws(' ', p_type, p_name, combined_reviews) AS document
         FROM part LEFT JOIN combined ON p_partkey = parent_asin""",
@@ -249,8 +260,8 @@ ORACLE = {
     "hit_labels": """SELECT p_partkey, 'Rating: ' || printf('%.1f', p_retailprice / 4) AS rating_label,
         printf('%.4f', p_retailprice / 7) AS score_label, '#' || p_size AS rank_label,
         p_name || p_retailprice::VARCHAR AS title_rating FROM part""",
-    "type_names": """SELECT DISTINCT 'array<string>' AS features_type, 'map<string,string>' AS details_type,
-        'double' AS rating_type FROM part""",
+    "type_names": """SELECT CASE json_type(props, '$.k') WHEN 'VARCHAR' THEN 'STRING' WHEN 'DOUBLE' THEN 'DOUBLE'
+        WHEN 'BOOLEAN' THEN 'BOOLEAN' ELSE 'BIGINT' END AS type, count(*) AS n FROM events GROUP BY 1""",
     "array_elements": """SELECT p_partkey AS parent_asin, string_split(p_name, ' ')[1] AS first_word,
         string_split(p_name, ' ')[6] AS sixth_word FROM part""",
     "tokenise_terms": f"""SELECT doc_id, len({tokens('text')})::INTEGER AS tokens,
@@ -278,7 +289,9 @@ ORACLE = {
     "bm25_search": f"WITH {BM25} {ROUNDED} bm25",
     "bm25_stored_index": f"WITH {BM25} {ROUNDED} bm25",
     "bm25_search_padded": f"""WITH {CORPUS},
-        asked AS (SELECT item_id AS query_id, string_split(text, ' ')[-1] AS query FROM benchmark),
+        asked AS (SELECT item_id AS query_id, text AS query FROM benchmark
+                  UNION ALL SELECT item_id + 1000000, string_split(text, ' ')[-1] FROM benchmark
+                  UNION ALL SELECT item_id + 2000000, md5(text) FROM benchmark),
         {index()}, {scores()},
         padded AS (SELECT query_id, chunk_id, coalesce(score, 0) AS score
                    FROM (SELECT query_id, chunk_id FROM asked, rows) LEFT JOIN scored USING (query_id, chunk_id)),
@@ -363,18 +376,16 @@ ORACLE = {
           || chr(10), chr(10) || chr(10) ORDER BY rank) AS context
         FROM fused JOIN described USING (chunk_id) GROUP BY query_id""",
     "rag_prompt": f"""WITH {CONTEXT}
-        SELECT query_id, {quoted(answers.SYSTEM_PROMPTS['default'])} || {BREAK} || 'context:' || chr(10)
-          || coalesce(context, '') || {BREAK} || 'question:' || chr(10) || query AS prompt
-        FROM asked LEFT JOIN contexts USING (query_id)""",
-    "prompt_variants": f"""SELECT item_id AS query_id, prompt_id, system_text || {BREAK} || 'context:' || chr(10)
-          || 'none' || {BREAK} || 'question:' || chr(10) || text || {BREAK} || {quoted(answers.CLOSING)} AS prompt
-        FROM benchmark, (VALUES {', '.join(f"({quoted(i)}, {quoted(p)})" for i, p in answers.SYSTEM_PROMPTS.items())})
-        AS p(prompt_id, system_text)""",
+        SELECT query_id, {RAG_PROMPT} AS prompt FROM asked LEFT JOIN contexts USING (query_id)""",
+    "prompt_variants": f"""SELECT item_id AS query_id, r_name AS prompt_id, 'Answer for ' || r_name || '.' || {BREAK}
+          || 'context:' || chr(10) || 'none' || {BREAK} || 'question:' || chr(10) || text || {BREAK} || 'Reply:' AS prompt
+        FROM benchmark, region""",
     "generate_answers": f"WITH {GENERATED} SELECT query_id, model, answer, error FROM generated",
     "model_compare": f"""WITH {GENERATED}, cleaned AS (
           SELECT query_id, query, model, {after('answer', '</think>')} AS answer FROM generated)
         SELECT query_id, query, max(answer) FILTER (model = 'plain') AS "plain's response",
-               max(answer) FILTER (model = 'loud') AS "loud's response" FROM cleaned GROUP BY ALL""",
+               max(answer) FILTER (model = 'loud') AS "loud's response" FROM cleaned
+        WHERE model IN ('plain', 'loud') GROUP BY ALL""",
     "answer_table": f"""WITH {GENERATED}
         SELECT query, {after('answer', '</think>')} AS "Output Response" FROM generated WHERE model = 'plain'""",
     "json_reviews": """SELECT l_partkey::VARCHAR AS parent_asin,
@@ -387,14 +398,17 @@ ORACLE = {
         CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS title,
         CASE WHEN c_acctbal < 0 THEN '{bad ' || c_name END AS bad, 'keep' AS mode FROM customer
         UNION ALL SELECT c_name, c_mktsegment, NULL, 'drop' FROM customer WHERE c_acctbal >= 0""",
-    "category_files": """SELECT c_custkey::VARCHAR AS parent_asin, c_name AS title,
-        c_nationkey::BIGINT AS helpful_vote, c_mktsegment AS subset FROM customer""",
-    "csv_queries": "SELECT text AS query FROM benchmark",
+    "category_files": """SELECT c_custkey::VARCHAR AS parent_asin, c_name AS title, c_mktsegment AS subset,
+          'reviews' AS side FROM customer
+        UNION ALL SELECT c_custkey::VARCHAR, CASE WHEN c_custkey % 3 > 0 THEN c_name ELSE 'Unknown Product' END,
+          c_mktsegment, 'meta' FROM customer""",
+    "csv_queries": "SELECT row_number() OVER (ORDER BY item_id) - 1 AS query_id, text AS query FROM benchmark",
     "csv_answers": f"""WITH {MARKED} SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS index, conv_id, turn,
         'say "' || reasoned || '",' || chr(10) || 'then' AS answer FROM marked""",
     "column_list": "SELECT o_orderkey, o_totalprice FROM orders",
     "parquet_sink": "SELECT doc_id, lang, n_chars FROM documents",
-    "single_query_search": f"""WITH {CORPUS}, asked AS (
-          SELECT 0::BIGINT AS query_id, text AS query FROM benchmark ORDER BY length(text) DESC, item_id DESC LIMIT 1),
-        {index()}, {scores()}, {BM25_HITS} {ROUNDED} bm25""",
+    "single_query_search": f"""WITH {CORPUS}, {LONGEST}, {index()}, {scores()}, {BM25_HITS} {ROUNDED} bm25""",
+    "single_query_prompt": f"""WITH {CONTEXT.replace(QUERIES, LONGEST)}
+        SELECT query_id, coalesce(context, '') AS context, {RAG_PROMPT} AS prompt
+        FROM asked LEFT JOIN contexts USING (query_id)""",
 }

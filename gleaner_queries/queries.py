@@ -36,6 +36,9 @@ K = lexical.TOP_K
 STOP_WORDS = ["that", "the", "and", "than", "there", "or", "of", "an", "in", "to", "a", "is"]
 WEIGHTS = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
 MODELS = ["plain", "loud"]
+# Models that cannot be made or that reply with too few answers, and none at all.
+FAILING = ["short", "broken", None]
+REFUSED = "that"
 
 
 def query(function: Query) -> Query:
@@ -146,10 +149,14 @@ def vote_boost(spark, sf):
 
 @query
 def refresh_changed(spark, sf):
-    """Documents after new reviews: only products with a returned line are rebuilt."""
+    """Documents after new reviews: a product in four gets its returned lines and is rebuilt.
+
+    The stored documents know no returned line, so the kept ones show their older state.
+    """
     parts, reviews = t.products(spark, sf), t.reviews(spark, sf)
-    seen = reviews.where(~F.col("title").startswith("R"))
-    arrived = reviews.where(F.col("title").startswith("R"))
+    returned = F.col("title").startswith("R")
+    seen = reviews.where(~returned)
+    arrived = reviews.where(returned & (F.col(t.KEY) % 4 == 0))
     columns = ["main_category", "title", "average_rating"]
     current = products.documents_from_sources(
         parts, products.combine_reviews(seen, ties=t.TIES), columns, order=["title"]
@@ -252,12 +259,10 @@ def hit_labels(spark, sf):
 
 @query
 def type_names(spark, sf):
-    rows = t.products(spark, sf)
-    return rows.select(
-        display.type_name(F.col("features")).alias("features_type"),
-        display.type_name(F.col("details")).alias("details_type"),
-        display.type_name(F.col("average_rating")).alias("rating_type"),
-    ).distinct()
+    """Types that the values of a JSON column have at run time, and how often."""
+    value = F.variant_get(F.parse_json("props"), "$.k", "variant")
+    kinds = t.table(spark, sf, "events").select(display.value_type(value).alias("type"))
+    return kinds.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -375,9 +380,12 @@ def bm25_search(spark, sf):
 
 @query
 def bm25_search_padded(spark, sf):
-    """Queries of one rare word: unmatched chunks fill the list with score zero."""
-    rare = t.query_set(spark, sf).withColumn("query", F.element_at(F.split("query", " "), -1))
-    return _rounded(lexical.bm25_search(rare, t.index(spark, sf), pad_to_k=True))
+    """Whole texts, their last words, and words that no chunk holds: unmatched chunks fill up with score zero."""
+    asked = t.query_set(spark, sf)
+    last = asked.select((F.col("query_id") + 10**6).alias("query_id"), F.element_at(F.split("query", " "), -1).alias("query"))
+    unknown = asked.select((F.col("query_id") + 2 * 10**6).alias("query_id"), F.md5("query").alias("query"))
+    every = asked.unionByName(last).unionByName(unknown)
+    return _rounded(lexical.bm25_search(every, t.index(spark, sf), pad_to_k=True))
 
 
 @query
@@ -452,7 +460,7 @@ def knn_cosine(spark, sf):
 
 @query
 def knn_blocks(spark, sf):
-    """The block-by-block form that serves query sets too large to ship."""
+    """Queries sent in several blocks, as a large query set is."""
     rows = t.vectors(spark, sf)
     return _rounded(dense.knn(_self_queries(rows), rows, max_query_rows=128), "distance")
 
@@ -518,18 +526,10 @@ def _both_lists(spark, sf):
     return plan.lexical_hits(queries, corpus), plan.semantic_hits(queries, corpus)
 
 
-def _titled(spark, sf, hits: DataFrame) -> DataFrame:
-    queries = t.query_set(spark, sf)
-    return plan.with_chunk_columns(hits, t.described_rows(spark, sf), ["product_title"], queries, K)
-
-
 @query
 def side_by_side(spark, sf):
     """Titles of both retrievers, rank by rank."""
-    by_words, by_vectors = _both_lists(spark, sf)
-    return evaluate.side_by_side(
-        t.query_set(spark, sf), _titled(spark, sf, by_vectors), _titled(spark, sf, by_words)
-    )
+    return plan.side_by_side(t.query_set(spark, sf), t.corpus(spark, sf, described=True))
 
 
 @query
@@ -549,7 +549,7 @@ def _shared_sentences(spark, sf) -> DataFrame:
 
     def sentences(rows: DataFrame, id_col: str, text: str) -> DataFrame:
         parts = rows.select(id_col, F.explode(F.split(F.regexp_replace(text, r"\s+", " "), r"\. ?")).alias("s"))
-        return parts.where(F.char_length("s") >= 40).select(id_col, F.md5("s").alias("h")).distinct()
+        return parts.where("s <> ''").select(id_col, F.md5("s").alias("h")).distinct()
 
     asked = sentences(t.query_set(spark, sf), "query_id", "query")
     held = sentences(t.corpus_rows(spark, sf), "chunk_id", "text")
@@ -627,27 +627,32 @@ def rag_prompt(spark, sf):
 
 @query
 def prompt_variants(spark, sf):
-    rows = answers.prompt_table(t.query_set(spark, sf))
-    prompt = answers.full_prompt(F.col("system_text"), F.lit("none"), F.col("query"))
+    """Every query under every prompt of a table."""
+    prompts = t.table(spark, sf, "region").select(
+        F.col("r_name").alias("prompt_id"), F.concat(F.lit("Answer for "), "r_name", F.lit(".")).alias("system_text")
+    )
+    rows = answers.prompt_table(t.query_set(spark, sf), prompts)
+    prompt = answers.full_prompt(F.col("system_text"), F.lit("none"), F.col("query"), "Reply:")
     return rows.select("query_id", "prompt_id", prompt.alias("prompt"))
 
 
 def _make_generator(model: str) -> answers.Generator:
-    """Stand-in model: repeats the length of the prompt; refuses prompts over 700 characters."""
+    """Stand-in model: repeats the length of the prompt; refuses questions with a certain word."""
+    if model in ("broken", None):
+        raise ValueError(f"cannot make {model}")
 
     def generate(prompts: list[str]) -> list[str]:
-        if any(len(p) > 700 for p in prompts):
-            raise ValueError("prompt too long")
-        return [f"<think>{model}\n</think> {len(p)} characters, {model}" for p in prompts]
+        if any(REFUSED in p.rsplit(answers.QUESTION_HEADING, 1)[-1] for p in prompts):
+            raise ValueError("refused")
+        found = [f"<think>{model}\n</think> {len(p)} characters, {model}" for p in prompts]
+        return found[1:] if model == "short" else found
 
     return generate
 
 
 def _answers(spark, sf) -> DataFrame:
-    asked = t.query_set(spark, sf)
-    prompt = answers.full_prompt(F.lit("Answer."), F.col("query"), F.col("query"))
-    ready = answers.per_model(asked.withColumn("prompt", prompt), MODELS)
-    return answers.generate(ready, _make_generator, ["query_id", "query"])
+    ready = plan.grounded_prompts(t.query_set(spark, sf), t.corpus(spark, sf, described=True))
+    return answers.generate(answers.per_model(ready, [*MODELS, *FAILING]), _make_generator, ["query_id", "query"])
 
 
 @query
@@ -658,7 +663,7 @@ def generate_answers(spark, sf):
 
 @query
 def model_compare(spark, sf):
-    cleaned = answers.clean_answers(_answers(spark, sf))
+    cleaned = answers.clean_answers(_answers(spark, sf).where(F.col("model").isin(MODELS)))
     return answers.compare_models(cleaned, MODELS)
 
 
@@ -717,28 +722,37 @@ def json_bad_lines(spark, sf):
 
 @query
 def category_files(spark, sf):
-    """One file pair per market segment, read back together with the segment as a column."""
+    """Both files of every market segment, read back with the segment as a column; titles have a default."""
     root = work_dir(spark)
-    customers = t.table(spark, sf, "customer").select(
-        F.col("c_custkey").cast("string").alias(t.KEY),
-        F.col("c_name").alias("title"),
-        F.col("c_nationkey").cast("long").alias("helpful_vote"),
-        F.col("c_mktsegment").alias("subset"),
+    key = F.col("c_custkey").cast("string").alias(t.KEY)
+    customers = t.table(spark, sf, "customer")
+    # One write a side: the folder of a segment has the name of its file.
+    folder = F.concat("c_mktsegment", F.lit(".jsonl.gz"))
+    reviews = customers.select(
+        key, F.col("c_name").alias("title"), F.col("c_nationkey").cast("long").alias("helpful_vote"), folder.alias("part")
     )
-    subsets = sorted(r["subset"] for r in customers.select("subset").distinct().collect())
-    for subset in subsets:
-        side = customers.where(F.col("subset") == subset).drop("subset")
-        side.write.option("compression", "gzip").json(f"{root}/{subset}.jsonl.gz")
-    return readers.read_category(spark, root, subsets, meta=False)["reviews"]
+    named = F.when(F.col("c_custkey") % 3 > 0, F.col("c_name"))
+    meta = customers.select(key, named.alias("title"), F.col("c_acctbal").alias("average_rating"), folder.alias("meta_part"))
+    for side, name in ((reviews, "part"), (meta, "meta_part")):
+        side.write.partitionBy(name).option("compression", "gzip").mode("append").json(root)
+    subsets = sorted(r[0] for r in customers.select("c_mktsegment").distinct().collect())
+    read = readers.read_category(spark, root, [f"part={s}" for s in subsets])
+    tables = [
+        guards.with_title_default(read[side], "title").select(
+            t.KEY, "title", F.replace("subset", F.lit("part="), F.lit("")).alias("subset"), F.lit(side).alias("side")
+        )
+        for side in ("reviews", "meta")
+    ]
+    return tables[0].unionByName(tables[1])
 
 
 @query
 def csv_queries(spark, sf):
     """A query set written as CSV and read with numbers in file order."""
     path = work_dir(spark)
-    asked = t.query_set(spark, sf).select(F.col("query").alias("queries"))
-    writers.write_csv(asked, path)
-    return readers.read_queries(spark, path).select("query")
+    asked = t.query_set(spark, sf).repartitionByRange(3, "query_id").sortWithinPartitions("query_id")
+    writers.write_csv(asked.select(F.col("query").alias("queries")), path)
+    return readers.read_queries(spark, path)
 
 
 @query
@@ -781,6 +795,16 @@ def parquet_sink(spark, sf):
 @query
 def single_query_search(spark, sf):
     """The longest benchmark text as a one-row query set."""
-    asked = t.query_set(spark, sf)
-    text = asked.agg(F.max_by("query", F.struct(F.char_length("query"), "query_id")).alias("q")).first()["q"]
-    return _rounded(lexical.bm25_search(readers.single_query(spark, text), t.index(spark, sf)))
+    return _rounded(lexical.bm25_search(_longest_query(spark, sf), t.index(spark, sf)))
+
+
+@query
+def single_query_prompt(spark, sf):
+    """One query through the hybrid to its prompt."""
+    ready = plan.grounded_prompts(_longest_query(spark, sf), t.corpus(spark, sf, described=True))
+    return ready.select("query_id", "context", "prompt")
+
+
+def _longest_query(spark, sf) -> DataFrame:
+    longest = F.max_by("query", F.struct(F.char_length("query"), "query_id"))
+    return t.query_set(spark, sf).agg(longest.alias("query")).select(F.lit(0).cast("long").alias("query_id"), "query")

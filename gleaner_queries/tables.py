@@ -87,7 +87,7 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 def marked_answers(spark: SparkSession, sf: str) -> DataFrame:
     """conversations, wrapped in the markers that clean-up has to find."""
     text = F.col("text")
-    think = F.concat(F.lit("<think>plan\n"), F.left(text, F.lit(20)), F.lit("</think>\n  "), text)
+    think = F.concat(F.lit("<think>plan\n"), text, F.lit("</think>\n  "), text)
     twice = F.concat(think, F.lit(" <think>again</think> end "))
     reply = F.concat(F.lit("Human: hi\nAssistant: "), text, F.lit(" Assistant: bye\t"))
     return table(spark, sf, "conversations").select(

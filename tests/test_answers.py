@@ -34,8 +34,9 @@ def test_prompt_forms(spark, queries):
     ).first()
     assert row["chat"] == "SYS\n\ncontext:\nCTX\n\nquestion:\nfirst?"
     assert row["full"] == "SYS\n\ncontext:\nCTX\n\nquestion:\nfirst?\n\nEND"
-    variants = answers.prompt_table(queries)
-    assert variants.count() == 2 * len(answers.SYSTEM_PROMPTS)
+    prompts = queries.sparkSession.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "prompt_id string, system_text string")
+    assert answers.prompt_table(queries, prompts).count() == 2 * 3
+    assert answers.prompt_table(queries, prompts.limit(0)).count() == 0
 
 
 def test_one_failure_costs_one_answer(spark, queries):
@@ -57,6 +58,18 @@ def test_one_failure_costs_one_answer(spark, queries):
     }
 
 
+def test_models_that_fail_cost_their_rows_only(spark, queries):
+    def make(model):
+        if model in ("broken", None):
+            raise RuntimeError("no model")
+        return lambda prompts: prompts[1:] if model == "short" else prompts
+
+    prompts = answers.per_model(queries.withColumn("prompt", F.col("query")), ["ok", "short", "broken", None]).coalesce(1)
+    got = {(r["query_id"], r["model"]): r["error"] for r in answers.generate(prompts, make).collect()}
+    assert got == {(q, m): e for q in (0, 1) for m, e in (
+        ("ok", None), ("short", "0 answers for 1 prompts"), ("broken", "no model"), (None, "no model"))}
+
+
 def test_model_comparison(spark, rows):
     df = spark.createDataFrame(
         [(0, "q", "a", "<think>x</think> one"), (0, "q", "b", "two")],

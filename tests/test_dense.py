@@ -62,11 +62,18 @@ def test_missing_vectors_and_small_corpora(spark):
     assert knn(asked.where("query_id > 5"), corpus, 5).count() == 0
 
 
-def test_corpus_in_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(dense, "BLOCK_ROWS", 9)
+def test_queries_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dense, "QUERY_BYTES", 9 * 6 * 8)
     vectors, names, corpus = make(spark, seed=3)
     asked = corpus.withColumnRenamed("chunk_id", "query_id")
-    assert collect(knn(asked, corpus, 5, max_query_rows=20)) == brute_force(vectors, vectors, names, 5, "l2")
+    assert collect(knn(asked, corpus, 5)) == brute_force(vectors, vectors, names, 5, "l2")
+
+
+def test_vectors_that_are_not_finite_are_refused(spark):
+    corpus = spark.createDataFrame([(1, [float("nan"), 1.0])], "chunk_id long, embedding array<float>")
+    asked = spark.createDataFrame([(0, [0.0, 1.0])], "query_id long, embedding array<float>")
+    with pytest.raises(Exception, match="not finite"):
+        knn(asked, corpus, 5).collect()
 
 
 def test_self_query_is_first(spark):
@@ -94,7 +101,25 @@ def test_hashing_embedder(spark):
 def test_embedder_runs_once_per_text(spark):
     """Search must not evaluate the embedder again for a null check."""
     df = spark.createDataFrame([(i, f"t{i}") for i in range(20)], "chunk_id long, text string")
-    vectors = embed(df, "text", hashing_embedder(8))
-    hits = knn(vectors.limit(1).withColumnRenamed("chunk_id", "query_id"), vectors)
-    plan = hits._jdf.queryExecution().executedPlan().toString()
+    vectors = embed(df, "text", lambda: lambda texts: np.ones((len(texts), 3)))
+    asked = spark.createDataFrame([(0, [1.0, 1.0, 1.0])], "query_id long, embedding array<float>")
+    plan = knn(asked, vectors)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_hashing_embedder_needs_no_python(spark):
+    df = spark.createDataFrame([(i, f"t{i} a") for i in range(20)], "chunk_id long, text string")
+    plan = embed(df, "text", hashing_embedder(8))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_hashing_embedder_equals_counting(spark):
+    import hashlib
+
+    texts = ["a b a", " \t", "x\u2003y  z\nx", "w " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for row in embed(df, "text", hashing_embedder(16)).collect():
+        counts = np.zeros(16)
+        for token in texts[row["id"]].split():
+            counts[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 16] += 1
+        assert row["embedding"] == pytest.approx(list(counts / max(1e-9, np.linalg.norm(counts))), abs=1e-6)

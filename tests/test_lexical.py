@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import lexical
 from gleaner.operators.lexical import bm25_scores, bm25_search, build_index, collapse_to_product
-from gleaner.plans.sizing import Size
 from gleaner.sources.index_store import lexical_index
 
-LARGE = Size(10**9, 10**15)
 
 
 def frames(spark, texts, queries):
@@ -61,13 +59,13 @@ def ids(hits):
     return [tuple(r) for r in hits.select("query_id", "rank", "chunk_id").orderBy("query_id", "rank").collect()]
 
 
-@pytest.mark.parametrize("large,hot", [(False, 0), (True, 10_000), (True, 20), (True, 1)])
-def test_scores_match_brute_force(spark, monkeypatch, large, hot):
+@pytest.mark.parametrize("block", [200_000, 5, 1])
+def test_scores_match_brute_force(spark, monkeypatch, block):
     """Broadcast, and sliced with every, some or no term taken as common."""
-    monkeypatch.setattr(lexical, "HOT_TERMS", hot)
+    monkeypatch.setattr(lexical, "BLOCK_TERMS", block)
     texts, queries = corpus()
     chunks, asked = frames(spark, texts, queries)
-    got = bm25_scores(asked, build_index(chunks), size=LARGE if large else None).collect()
+    got = bm25_scores(asked, build_index(chunks)).collect()
     expected = {pair: s for pair, s in brute_force(texts, queries).items() if s != 0}
     assert {(r["query_id"], r["chunk_id"]) for r in got} == set(expected)
     for r in got:
@@ -123,7 +121,7 @@ def test_stored_index_gives_the_same_scores(spark, tmp_path, monkeypatch, large)
     index = build_index(chunks)
     stored = lexical_index(spark, str(tmp_path), lambda: index, buckets=4)
     if large:
-        monkeypatch.setattr(lexical, "text_size", lambda *_: LARGE)
+        monkeypatch.setattr(lexical, "BLOCK_TERMS", 3)
     assert ids(bm25_search(asked, stored)) == expected_top(brute_force(texts, queries), 5)
 
 
@@ -136,27 +134,20 @@ def test_stored_search_reads_only_the_asked_buckets(spark, tmp_path):
     assert cut.terms.where(F.col("term") == "w1").count() == 1
 
 
-def test_one_term_in_a_third_of_the_postings(spark):
-    """A very common term: both the broadcast and the sliced join keep every pair."""
+def test_one_term_in_a_third_of_the_postings(spark, monkeypatch):
+    """A very common term: one block of queries and several keep every pair."""
     texts = ["hot " * (1 + i % 3) + (f"w{i}" if i % 2 else "") for i in range(300)]
     queries = ["hot", "hot w1", "w3"]
     chunks, asked = frames(spark, texts, queries)
     index = build_index(chunks)
     expected = {pair: s for pair, s in brute_force(texts, queries).items() if s != 0}
-    for size in (None, LARGE):
-        got = {(r[0], r[1]): r[2] for r in bm25_scores(asked, index, size=size).collect()}
+    for rows in (200_000, 2):
+        monkeypatch.setattr(lexical, "BLOCK_TERMS", rows)
+        got = {(r[0], r[1]): r[2] for r in bm25_scores(asked, index).collect()}
         assert got.keys() == expected.keys()
         assert all(got[p] == pytest.approx(expected[p], abs=1e-9) for p in got)
 
 
-def test_common_terms_are_few_by_construction(spark, monkeypatch):
-    monkeypatch.setattr(lexical, "HOT_TERMS", 20)
-    texts, _ = corpus()
-    chunks, _ = frames(spark, texts, [])
-    hot = [r["term"] for r in lexical.hot_terms(build_index(chunks)).collect()]
-    assert "the" in hot and len(hot) <= 20
-
-
 def test_collapse_keeps_the_best_chunk(spark, rows):
     hits = spark.createDataFrame(
         [(0, 1, "a#1", "a"), (0, 2, "b#1", "b"), (0, 3, "a#2", "a"), (1, 1, "b#2", "b")],
