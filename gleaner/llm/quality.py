@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import saved, slices, words
@@ -126,23 +126,28 @@ def marginals(
     return good, steps
 
 
-def sample(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
-    """At most ``per_label`` documents of either label, the first by a hash; whole texts, null labels left out.
+def sample(labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
+    """At most ``per_label`` rows of either label, the first by a hash of the id; null labels and ids left out.
 
-    ``labelled``: doc_id, text, quality.
+    ``labels``: doc_id, quality.
     """
-    rows = labelled.where(F.col("quality").isin(0, 1))
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    known = labels.where("doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("y"))
+    bad, good = (known.where(F.col("y") == y).orderBy(*order).limit(per_label) for y in (0, 1))
+    return bad.unionByName(good)
 
 
-def train(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+def train(
+    documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, rounds: int = ROUNDS
+) -> dict[str, np.ndarray]:
     """Fit emission and transition weights by maximum likelihood; every line carries its document's label.
 
-    Each round sums gradients per partition over a bounded sample of whole documents; documents count by the
-    root of their number of lines.  Without labelled rows all weights are zero and every score is 0.5.
+    ``documents`` has doc_id and text.  Each round sums gradients per partition over a bounded sample of
+    whole documents; documents count by the root of their number of lines.  Without labelled rows all weights
+    are zero and every score is 0.5.
     """
-    rows = saved(sample(labelled, per_label).select("text", F.col("quality").cast("int").alias("y")))
+    # at most two times per_label rows are broadcast, so no text is shuffled
+    rows = saved(documents.select("doc_id", "text").join(F.broadcast(sample(labels, per_label)), "doc_id").select("text", "y"))
     weight, transition = np.zeros(WIDTH), np.zeros((2, 2))
     first, second = np.zeros(WIDTH + 4), np.zeros(WIDTH + 4)
 

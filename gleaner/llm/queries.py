@@ -118,7 +118,7 @@ def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1).select("doc_id", "quality")
-    model = quality.train(documents.join(known, "doc_id"))
+    model = quality.train(documents, known)
     scored = quality.score(documents, model)
     return scored.select(
         "doc_id",

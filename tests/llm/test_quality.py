@@ -49,7 +49,8 @@ def test_edges(spark):
     bad = [" ".join("%%$$" for _ in range(30)) for _ in range(30)]
     data = [(i, t, 1) for i, t in enumerate(good)] + [(100 + i, t, 0) for i, t in enumerate(bad)]
     data += [(500, "unused", None), (501, None, 1), (None, "some plain words.", 1)]
-    model = quality.train(spark.createDataFrame(data, "doc_id long, text string, quality int"))
+    known = spark.createDataFrame(data, "doc_id long, text string, quality int")
+    model = quality.train(known, known.select("doc_id", "quality"))
     texts = [good[0], bad[0], None, "", "\n" * 5000, good[1] + "\n" + bad[1], "line of words.\n" * 20_000]
     df = spark.createDataFrame([(i, t, 7.0) for i, t in enumerate(texts)], "doc_id long, text string, quality_score double")
     score = [r["quality_score"] for r in quality.score(df, model).orderBy("doc_id").collect()]
@@ -59,7 +60,8 @@ def test_edges(spark):
 
 
 def test_nothing_to_learn_from(spark):
-    model = quality.train(spark.createDataFrame([], "doc_id long, text string, quality int"))
+    none = spark.createDataFrame([], "doc_id long, text string, quality int")
+    model = quality.train(none, none.select("doc_id", "quality"))
     df = spark.createDataFrame([(1, "text")], "doc_id long, text string")
     assert quality.score(df, model).first()["quality_score"] == pytest.approx(0.5)
 
