@@ -113,14 +113,14 @@ def train(labelled: DataFrame, rounds: int = 40, rate: float = 4.0, decay: float
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """The longest rule ``host/path`` that fits, and its verdict; null where none does.
 
-    A rule fits its host and all subdomains if the path starts with the rule's.  Of rules of equal length the
+    A rule fits its host and all subdomains if the path starts with the rule's, which begins with the slash.  Of rules of equal length the
     first in the list wins.
     """
     fits = []
     for rule, verdict in sorted(rules, key=lambda r: -len(r[0])):
         of_host, slash, of_path = rule.partition("/")
         same = (host == of_host) | F.endswith(host, F.lit(f".{of_host}"))
-        fits.append((same & F.startswith(path, F.lit(slash + of_path if of_path else "")), rule, verdict))
+        fits.append((same & F.startswith(path, F.lit(slash + of_path)), rule, verdict))
     found, said = F.lit(None).cast("string"), F.lit(None).cast("string")
     for fit, rule, verdict in reversed(fits):
         found, said = F.when(fit, rule).otherwise(found), F.when(fit, verdict).otherwise(said)

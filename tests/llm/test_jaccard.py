@@ -83,8 +83,8 @@ def test_large_group_of_near_copies(spark):
     rule = jaccard.Similarity(3, 90, 100)
     data = list(enumerate(texts))
     df = spark.createDataFrame(data, "doc_id long, text string")
-    got = sorted(tuple(r) for r in jaccard.near_duplicates(df, rule).collect())
-    assert [g[0] for g in got] == list(range(700))
+    got = sorted((tuple(r) for r in jaccard.near_duplicates(df, rule).collect()), key=repr)
+    assert len(got) == 700
     assert got == brute(data, rule)
 
 
