@@ -63,4 +63,4 @@ def build_corpus(
     long = short if shared_chunks else stored_chunks("long_chunks", LEXICAL_SIZE, LEXICAL_OVERLAP)
     lexical = lexical_index(spark, f"{root}/lexical", lambda: build_index(long), rewrite)
     vectors = vector_index(spark, f"{root}/vectors", lambda: embed(short, "text", make_embedder), rewrite)
-    return Corpus(lexical, vectors, make_embedder)
+    return Corpus(lexical, vectors, None if shared_chunks else short, make_embedder)

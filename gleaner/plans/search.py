@@ -21,10 +21,15 @@ MODES = {"bm25": "BM25", "semantic": "Semantic", "hybrid": "Hybrid"}
 
 @dataclass(frozen=True)
 class Corpus:
-    """A lexical index, chunk vectors ``(chunk_id, embedding)``, and how queries are read."""
+    """A lexical index, chunk vectors ``(chunk_id, embedding)``, and how queries are read.
+
+    ``vector_chunks`` are the chunks of the vectors where they are cut in another way than
+    the lexical ones.
+    """
 
     lexical: LexicalIndex
     vectors: DataFrame
+    vector_chunks: DataFrame | None = None
     make_embedder: HashingEmbedder | Callable[[], Embedder] = hashing_embedder()
     tokeniser: Tokeniser = tokenise
     lexical_weight: float = fusion.LEXICAL_WEIGHT
@@ -54,9 +59,10 @@ def hybrid_hits(
     lists = [lexical_hits(queries, corpus, k), semantic_hits(queries, corpus, k)]
     if not by_text:
         return fusion.hybrid(*lists, lexical_weight=corpus.lexical_weight, limit_k=limit_k)
+    tables = [corpus.chunks, corpus.chunks if corpus.vector_chunks is None else corpus.vector_chunks]
     keyed = [
-        with_chunk_columns(hits, corpus.chunks, ["text"], queries, k).withColumn("content_key", F.md5("text"))
-        for hits in lists
+        with_chunk_columns(hits, chunks, ["text"], queries, k).withColumn("content_key", F.md5("text"))
+        for hits, chunks in zip(lists, tables)
     ]
     return fusion.hybrid(
         *[hits.select("query_id", "rank", "chunk_id", "content_key") for hits in keyed],

@@ -57,6 +57,45 @@ def chunks_fixed(size: int, overlap: int) -> str:
         AS i FROM documents WHERE length(text) > 0))"""
 
 
+# Blank lines, lines, words, characters: the break that a text of a level is cut at.
+LEVEL = """CASE WHEN level <= 1 AND contains(text, chr(10) || chr(10)) THEN 1
+  WHEN level <= 2 AND contains(text, chr(10)) THEN 2 WHEN level <= 3 AND contains(text, ' ') THEN 3 ELSE 4 END"""
+MARK = "CASE lvl WHEN 1 THEN chr(10) || chr(10) WHEN 2 THEN chr(10) WHEN 3 THEN ' ' ELSE '' END"
+CUT = f"""list_filter(list_transform(string_split(text, {MARK}),
+  lambda p, n: CASE WHEN n = 1 THEN p ELSE {MARK} || p END), lambda p: p <> '')"""
+PARAGRAPHS = """paragraphs AS (
+  SELECT doc_id AS id, source, replace(text, 'e.' || chr(10), 'e.' || chr(10) || chr(10)) AS text FROM documents)"""
+
+
+def chunks_recursive(size: int, overlap: int, name: str = "chunks", rows: str = "paragraphs") -> str:
+    """Texts ``(id, source, text)`` cut level by level; short pieces between long ones are packed by a fold."""
+    kept = f"""list_filter(a.win, lambda w, n:
+      list_sum(list_transform(a.win[n:], lambda q: length(q))) <= least({overlap}, {size} - x.total))"""
+    cut = f"""SELECT id, source, path, lvl, unnest(cut) AS piece, generate_subscripts(cut, 1) AS i
+    FROM (SELECT id, source, path, lvl, {CUT} AS cut FROM (SELECT *, {LEVEL} AS lvl FROM {name}_texts))"""
+    return f"""{name}_texts AS (
+  SELECT id, source, [0]::BIGINT[] AS path, text, 1 AS level FROM {rows}
+  UNION ALL
+  SELECT id, source, list_append(path, i), piece, lvl + 1 FROM ({cut}) WHERE length(piece) >= {size} AND lvl < 4),
+{name}_runs AS (
+  SELECT id, source, list_append(path, min(i)) AS place,
+         list(struct_pack(done := []::VARCHAR[], win := [piece], total := length(piece)) ORDER BY i) AS steps
+  FROM (SELECT *, count(*) FILTER (length(piece) >= {size}) OVER (PARTITION BY id, path ORDER BY i) AS run FROM ({cut}))
+  WHERE length(piece) < {size} GROUP BY id, source, path, run),
+{name}_packed AS (
+  SELECT id, source, place, list_append(f.done, array_to_string(f.win, '')) AS texts FROM (
+    SELECT id, source, place, list_reduce(steps, lambda a, x: CASE WHEN a.total + x.total > {size}
+      THEN struct_pack(done := list_append(a.done, array_to_string(a.win, '')), win := list_append({kept}, x.win[1]),
+                       total := (coalesce(list_sum(list_transform({kept}, lambda q: length(q))), 0) + x.total)::BIGINT)
+      ELSE struct_pack(done := a.done, win := list_append(a.win, x.win[1]), total := a.total + x.total) END) AS f
+    FROM {name}_runs)),
+{name} AS (
+  SELECT id AS doc_id, source, chunk_pos, id || '#' || printf('%06d', chunk_pos) AS chunk_id, text FROM (
+    SELECT id, source, (row_number() OVER (PARTITION BY id ORDER BY place, j) - 1)::INTEGER AS chunk_pos, text FROM (
+      SELECT id, source, place, regexp_replace(unnest(texts), '^\\s+|\\s+$', '', 'g') AS text,
+             generate_subscripts(texts, 1) AS j FROM {name}_packed) WHERE text <> ''))"""
+
+
 def index(rows: str = "rows", cut=tokens) -> str:
     """Postings, term weights and corpus statistics of a ``rows(chunk_id, text)`` table."""
     return f"""words AS (SELECT chunk_id, unnest({cut('text')}) AS term FROM {rows}),
@@ -127,6 +166,16 @@ fused AS (SELECT query_id, row_number() OVER (
             PARTITION BY query_id ORDER BY round(rrf, 12) DESC, seen)::INTEGER AS rank, chunk_id, rrf FROM merged)"""
 FUSED_ROWS = "SELECT query_id, rank, chunk_id, round(rrf, 9) AS rrf FROM fused"
 
+BY_TEXT = """lists AS (
+          SELECT query_id, rank, chunk_id, text, 0 AS list, 0.4::DOUBLE AS weight FROM bm25 JOIN {bm25} USING (chunk_id)
+          UNION ALL SELECT query_id, rank, chunk_id, text, 1, 0.6::DOUBLE FROM sem JOIN {sem} USING (chunk_id)),
+        keyed AS (SELECT *, md5(text) AS content_key FROM lists),
+        merged AS (SELECT query_id, content_key, sum(weight / (rank + 60)) AS rrf, min((list, rank)) AS seen,
+                          arg_min(chunk_id, (list, rank)) AS chunk_id FROM keyed GROUP BY query_id, content_key)
+        SELECT query_id, row_number() OVER (
+                 PARTITION BY query_id ORDER BY round(rrf, 12) DESC, seen)::INTEGER AS rank,
+               content_key, chunk_id, round(rrf, 9) AS rrf FROM merged"""
+
 DESCRIBED = """described AS (
   SELECT doc_id AS chunk_id, doc_id AS parent_asin, concat_ws('/', source, lang) AS product_title,
          quality::DOUBLE AS average_rating, text FROM documents LEFT JOIN labels USING (doc_id))"""
@@ -275,6 +324,14 @@ ORACLE = {
     "after_reasoning": f"WITH {MARKED} SELECT conv_id, turn, {after('reasoned', '</think>')} AS answer FROM marked",
     "after_assistant": f"WITH {MARKED} SELECT conv_id, turn, {after('replied', 'Assistant:')} AS answer FROM marked",
     "chunk_fixed": f"WITH {chunks_fixed(500, 100)} SELECT doc_id, source, chunk_pos, chunk_id, text FROM chunks",
+    "chunk_recursive": f"""WITH RECURSIVE {PARAGRAPHS}, {chunks_recursive(500, 100)}
+        SELECT doc_id, source, chunk_pos, chunk_id, text FROM chunks""",
+    "chunk_recursive_sweep": " UNION ALL ".join(
+        f"""SELECT {size}::INTEGER AS chunk_size, {overlap}::INTEGER AS chunk_overlap, count(*) AS chunks,
+            round(avg(length(text)), 6) AS mean_chars
+            FROM (WITH RECURSIVE {PARAGRAPHS}, {chunks_recursive(size, overlap)} SELECT * FROM chunks)"""
+        for size, overlap in [(300, 50), (500, 100), (1000, 100)]
+    ),
     "chunk_size_sweep": " UNION ALL ".join(
         f"""SELECT {size}::INTEGER AS chunk_size, {overlap}::INTEGER AS chunk_overlap, count(*) AS chunks,
             round(avg(length(text)), 6) AS mean_chars
@@ -299,6 +356,8 @@ ORACLE = {
     "bm25_search_lowercase": f"""WITH {CORPUS}, {QUERIES}, {index(cut=stop_tokens)}, {scores(stop_tokens)},
         {BM25_HITS} {ROUNDED} bm25""",
     "bm25_chunks": f"WITH {DOC_CHUNKS_1000}, {BM25_HITS} {ROUNDED} bm25",
+    "bm25_recursive_chunks": f"""WITH RECURSIVE {PARAGRAPHS}, {chunks_recursive(1000, 100)}, {QUERIES}, {index('chunks')},
+        {scores()}, {BM25_HITS} {ROUNDED} bm25""",
     "bm25_collapsed": f"""WITH {DOC_CHUNKS_1000}, {top('hits', 'scored', 'score', 'DESC', 10)},
         best AS (SELECT *, string_split(chunk_id, '#')[1]::BIGINT AS parent_asin FROM hits
                  QUALIFY row_number() OVER (PARTITION BY query_id, parent_asin ORDER BY rank) = 1)
@@ -323,15 +382,15 @@ ORACLE = {
         SELECT query_id, rank, chunk_id, round(distance, 6) AS distance FROM sem""",
     "hybrid_rrf": f"WITH {BOTH}, {FUSED} {FUSED_ROWS}",
     "hybrid_top_k": f"WITH {BOTH}, {FUSED} {FUSED_ROWS} WHERE rank <= 5",
-    "hybrid_by_text": f"""WITH {BOTH},
-        lists AS (SELECT query_id, rank, chunk_id, 0 AS list, 0.4::DOUBLE AS weight FROM bm25
-                  UNION ALL SELECT query_id, rank, chunk_id, 1, 0.6::DOUBLE FROM sem),
-        keyed AS (SELECT *, md5(text) AS content_key FROM lists JOIN rows USING (chunk_id)),
-        merged AS (SELECT query_id, content_key, sum(weight / (rank + 60)) AS rrf, min((list, rank)) AS seen,
-                          arg_min(chunk_id, (list, rank)) AS chunk_id FROM keyed GROUP BY query_id, content_key)
-        SELECT query_id, row_number() OVER (
-                 PARTITION BY query_id ORDER BY round(rrf, 12) DESC, seen)::INTEGER AS rank,
-               content_key, chunk_id, round(rrf, 9) AS rrf FROM merged""",
+    "hybrid_by_text": f"WITH {BOTH}, {BY_TEXT.format(bm25='rows', sem='rows')}",
+    "hybrid_two_chunkings": f"""WITH RECURSIVE {PARAGRAPHS}, {chunks_recursive(1000, 100, 'long')},
+        {chunks_recursive(500, 100, 'short')}, {QUERIES}, {index('long')}, {scores()}, {BM25_HITS},
+        {SEMANTIC.replace('FROM rows', 'FROM short')}, {BY_TEXT.format(bm25='long', sem='short')}""",
+    "raw_to_search": f"""WITH RECURSIVE product_documents AS ({DOCUMENTS}),
+        paragraphs AS (SELECT parent_asin AS id, 0 AS source, document AS text FROM product_documents),
+        {chunks_recursive(500, 100, 'rows')},
+        asked AS (SELECT p_partkey AS query_id, concat_ws(' ', p_name, p_type) AS query FROM part WHERE p_partkey % 50 = 0),
+        {index()}, {scores()}, {BM25_HITS}, {SEMANTIC}, {FUSED} {FUSED_ROWS}""",
     "side_by_side": f"""WITH {BOTH}, {DESCRIBED},
         l AS (SELECT query_id, rank, product_title FROM sem JOIN described USING (chunk_id)),
         r AS (SELECT query_id, rank, product_title FROM bm25 JOIN described USING (chunk_id))

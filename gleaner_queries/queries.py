@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -21,6 +21,7 @@ from gleaner.operators import (
     profiling,
     ranking,
 )
+from gleaner.plans import build
 from gleaner.plans import search as plan
 from gleaner.plans.sizing import spread_scan
 from gleaner.session import work_dir
@@ -334,7 +335,20 @@ def chunk_fixed(spark, sf):
 
 @query
 def chunk_recursive(spark, sf):
-    return chunking.chunk_recursive(_documents(spark, sf), key="doc_id", text_col="text")
+    return _recursive(spark, sf).select("doc_id", "source", "chunk_pos", "chunk_id", "text")
+
+
+def _recursive(spark, sf, size: int = chunking.SEMANTIC_SIZE, overlap: int = chunking.SEMANTIC_OVERLAP) -> DataFrame:
+    return chunking.chunk_recursive(t.paragraphs(spark, sf), size, overlap, "doc_id", "text")
+
+
+@query
+def chunk_recursive_sweep(spark, sf):
+    """The recursive splitter over a grid of sizes."""
+    swept = evaluate.chunk_size_sweep(
+        t.paragraphs(spark, sf), [(300, 50), (500, 100), (1000, 100)], chunking.chunk_recursive, key="doc_id", text_col="text"
+    )
+    return swept.withColumn("mean_chars", F.round("mean_chars", 6))
 
 
 @query
@@ -403,6 +417,12 @@ def bm25_chunks(spark, sf):
     return _rounded(lexical.bm25_search(t.query_set(spark, sf), lexical.build_index(chunks)))
 
 
+@query
+def bm25_recursive_chunks(spark, sf):
+    chunks = _recursive(spark, sf, chunking.LEXICAL_SIZE, chunking.LEXICAL_OVERLAP)
+    return _rounded(lexical.bm25_search(t.query_set(spark, sf), lexical.build_index(chunks)))
+
+
 @query
 def bm25_collapsed(spark, sf):
     """Chunk hits reduced to the best one per document."""
@@ -515,6 +535,17 @@ def hybrid_by_text(spark, sf):
     return fused.withColumn("rrf", F.round("rrf", 9))
 
 
+@query
+def hybrid_two_chunkings(spark, sf):
+    """Long chunks for words, short ones for vectors; equal texts merge."""
+    long = _recursive(spark, sf, chunking.LEXICAL_SIZE, chunking.LEXICAL_OVERLAP)
+    short = _recursive(spark, sf)
+    vectors = dense.embed(short, "text", dense.hashing_embedder()).select("chunk_id", "embedding")
+    corpus = plan.Corpus(lexical.build_index(long), vectors, short)
+    fused = plan.hybrid_hits(t.query_set(spark, sf), corpus, by_text=True)
+    return fused.withColumn("rrf", F.round("rrf", 9))
+
+
 @query
 def hybrid_top_k(spark, sf):
     fused = plan.hybrid_hits(t.query_set(spark, sf), t.corpus(spark, sf), limit_k=K)
@@ -704,6 +735,26 @@ def json_meta(spark, sf):
     )
 
 
+@query
+def raw_to_search(spark, sf):
+    """Raw JSON files with repeated product keys to documents, chunks, both stored indexes and hybrid hits."""
+    root = work_dir(spark)
+    meta = t.products(spark, sf).withColumn(t.KEY, F.col(t.KEY).cast("string"))
+    again = meta.where("average_rating > 1000").withColumn("title", F.lit(None).cast("string"))
+    meta.unionByName(again).select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/meta")
+    reviews = t.reviews(spark, sf).withColumn(t.KEY, F.col(t.KEY).cast("string"))
+    # One vote count a review, so that titles need no further order.
+    votes = F.row_number().over(Window.partitionBy(t.KEY).orderBy("helpful_vote", F.desc("l_orderkey"), F.desc("l_linenumber")))
+    reviews.select(t.KEY, "title", votes.cast("long").alias("helpful_vote")).write.json(f"{root}/reviews")
+    documents = build.product_documents(spark, f"{root}/meta", f"{root}/reviews")
+    corpus = build.build_corpus(spark, documents, f"{root}/index", dense.hashing_embedder())
+    asked = t.table(spark, sf, "part").where("p_partkey % 50 = 0").select(
+        F.col("p_partkey").alias("query_id"), F.concat_ws(" ", "p_name", "p_type").alias("query")
+    )
+    fused = plan.hybrid_hits(asked, corpus)
+    return fused.withColumn("rrf", F.round("rrf", 9))
+
+
 @query
 def json_bad_lines(spark, sf):
     """Broken lines dropped, or kept beside the good ones."""

@@ -49,6 +49,13 @@ def corpus_rows(spark: SparkSession, sf: str) -> DataFrame:
     return spread_scan(table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text"))
 
 
+def paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents in which lines that end with a certain letter end a paragraph."""
+    rows = table(spark, sf, "documents")
+    text = F.replace("text", F.lit("e.\n"), F.lit("e.\n\n"))
+    return spread_scan(rows.select("doc_id", "source", text.alias("text")))
+
+
 def described_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with a title and a rating; about half of them have no rating."""
     documents = table(spark, sf, "documents").withColumnRenamed("doc_id", "chunk_id")

@@ -22,12 +22,7 @@ def test_query_matches_sql(spark, con, name):
     # No query multiplies two tables.
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     got = frame.toPandas()
-    sql = ORACLE.get(name)
-    if sql is None:
-        assert name == "chunk_recursive"  # compared with worked cases in test_chunking
-        assert len(got)
-        return
-    expected = con.sql(sql).df()
+    expected = con.sql(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(expected.columns)
     assert normal(got) == normal(expected)
 
