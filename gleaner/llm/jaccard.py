@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import Bitmap, hash_strings, mix64, saved, shingle_hashes, slices, words
 from gleaner.llm.components import components
 
-TILE_ROWS = 256
+BLOCK_ROWS = 256
 SLACK = 2
-BITS_PER_SHINGLE = 4
+BITS_PER_SHINGLE = 8
+MOST_BITS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -120,14 +121,6 @@ def _tiles(
                 )
 
 
-def _signature(value: np.ndarray) -> bytes:
-    """Bitmap of a set: one bit a shingle, in a power of two of bits that follows its size."""
-    bits = max(64, 1 << int(len(value) * BITS_PER_SHINGLE - 1).bit_length())
-    flags = np.zeros(bits, np.uint8)
-    flags[(mix64(value) & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(flags, bitorder="little").tobytes()
-
-
 def _contents(batches: Iterator[pa.RecordBatch], n: int, asked: Bitmap) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text"):
@@ -137,38 +130,32 @@ def _contents(batches: Iterator[pa.RecordBatch], n: int, asked: Bitmap) -> Itera
             _, once = np.unique(nodes, return_index=True)
             take = once[(counts[once] > 0) & asked.hits(nodes[once])]
             own = [value[ends[i] - counts[i] : ends[i]] for i in take]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(nodes[take]),
-                    pa.array([_signature(v) for v in own], pa.binary()),
-                    pa.array([v.tobytes() for v in own], pa.binary()),
-                ],
-                ["node", "bits", "shingles"],
-            )
+            shingles = pa.array([v.tobytes() for v in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[take]), shingles], ["node", "shingles"])
 
 
-def _may_link(a: bytes, b: bytes, size_a: int, size_b: int, rule: Similarity) -> bool:
-    """Whether the overlap that the bit counts allow is enough.
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of sets, one row each: every shingle sets the bit that its hash names.
 
-    Every bit that differs stands for a shingle that only one of the sets has.
+    All have the same power of two of bits, which follows the largest set up to ``MOST_BITS``; with fewer bits
+    the bound below is weaker, not wrong.
     """
-    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
-    wide, narrow = max(len(a), len(b)) * 8, min(len(a), len(b)) * 8
-    while wide > narrow:
-        wide //= 2
-        if len(a) > len(b):
-            x = (x >> wide) | (x & ((1 << wide) - 1))
-        else:
-            y = (y >> wide) | (y & ((1 << wide) - 1))
-    most = (size_a + size_b - (x ^ y).bit_count()) // 2
-    return rule.linked(min(most, size_a, size_b), size_a + size_b)
-
-
-def _bounded(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "size_a", "size_b")]
-        keep = pa.array([_may_link(*row, rule) for row in zip(*columns)], pa.bool_())
-        yield batch.select(["a", "b"]).filter(keep)
+    largest = max((len(x) for x in sets), default=0)
+    bits = min(MOST_BITS, max(64, 1 << int(largest * BITS_PER_SHINGLE - 1).bit_length()))
+    flags = np.zeros((len(sets), bits), np.uint8)
+    for row, x in enumerate(sets):
+        flags[row, (mix64(x) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, axis=1).view(np.uint64)
+
+
+def may_link(one: np.ndarray, size: int, many: np.ndarray, sizes: np.ndarray, rule: Similarity) -> np.ndarray:
+    """Which of many sets may link with one, by what the bit counts allow.
+
+    Every bit that differs stands for a shingle that only one of the two sets has, which bounds their overlap.
+    """
+    apart = np.bitwise_count(many ^ one).sum(axis=1, dtype=np.int64)
+    most = np.minimum((size + sizes - apart) // 2, np.minimum(size, sizes))
+    return rule.linked(most, size + sizes)
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -180,68 +167,95 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum()) if len(y) else 0
 
 
-def _linked(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
+def _compare_pairs(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
+    """The rows a, b whose sets link: bit counts first, then the sorted arrays."""
     for batch in batches:
         keep = []
         for a, b in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist()):
             x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            keep.append(bool(rule.linked(_common(x, y), len(x) + len(y))))
+            bits = signatures([x, y])
+            near = may_link(bits[0], len(x), bits[1:], np.array([len(y)]), rule)[0]
+            keep.append(bool(near and rule.linked(_common(x, y), len(x) + len(y))))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verify(pairs: DataFrame, documents: DataFrame, rule: Similarity) -> DataFrame:
-    """The pairs of set hashes a, b that link: bit counts first, then the sorted arrays of those that remain."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    asked = Bitmap(nodes, "node")
-    contents = documents.mapInArrow(lambda b: _contents(b, rule.n, asked), "node long, bits binary, shingles binary")
-    contents = saved(contents.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
-    size = (F.octet_length("shingles") / 8).cast("long")
-
-    def side(name: str, *columns: str) -> DataFrame:
-        return contents.withColumn("size", size).select(
-            F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns)
-        )
-
-    near = pairs.join(side("a", "bits", "size"), "a").join(side("b", "bits", "size"), "b")
-    maybe = near.mapInArrow(lambda b: _bounded(b, rule), "a long, b long")
-    full = maybe.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    return saved(full.mapInArrow(lambda b: _linked(b, rule), "a long, b long"))
-
-
-def _rest_of_tiles(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs of sets that share a tile and are in different components so far.
+def compare_blocks(table: pa.Table, rule: Similarity) -> pa.Table:
+    """Links between two blocks of sets (or inside one), as few as join what all of them join.
 
-    Tiles within one component are done.  The others are cut into blocks of bounded size; each task pairs two.
+    ``table``: node, label (component so far), left (whether in the first block, the second or both) and shingles.
     """
-    known = met.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    known = saved(known)
-    open_ = (
-        known.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"))
-        .where("low != high")
-        .select("key", F.ceil(F.col("rows") / TILE_ROWS).alias("blocks"))
+    node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+    left, right = (table.column(c).to_numpy() for c in ("left", "right"))
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+    size, bits = np.array([len(x) for x in sets]), signatures(sets)
+    group = np.unique(label, return_inverse=True)[1]
+    found_a, found_b = [], []
+    second = np.flatnonzero(right)
+    for i in np.flatnonzero(left):
+        near = second[may_link(bits[i], size[i], bits[second], size[second], rule)]
+        for j in near[node[near] != node[i]]:
+            if group[i] != group[j] and rule.linked(_common(sets[i], sets[j]), size[i] + size[j]):
+                group[group == group[j]] = group[i]
+                found_a.append(node[i])
+                found_b.append(node[j])
+    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+
+def _block_links(members: DataFrame, rule: Similarity) -> DataFrame:
+    """Links between members (cluster, node, label, shingles) of a cluster that are in different components.
+
+    A cluster of up to ``BLOCK_ROWS`` sets is one block.  A larger one is cut by size band and, for components
+    that fill blocks of their own, by component; bands are cut by hash into blocks of about that size.  Blocks
+    of neighbouring bands meet in pairs, but not those of one large component.
+    """
+    size = F.octet_length("shingles") / 8
+    of_cluster = members.groupBy("cluster").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows")
+    )
+    open_ = of_cluster.where("low != high").select("cluster", "rows")
+    of_label = members.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("labelled"))
+    ratio = F.lit(float(np.log(rule.parts / rule.share)))
+    large = F.col("rows") > BLOCK_ROWS
+    placed = saved(
+        members.join(open_, "cluster")
+        .join(of_label, ["cluster", "label"])
+        .withColumn("band", F.when(large, F.floor(F.log(size) / ratio)).otherwise(0).cast("int"))
+        .withColumn("own", F.when(large & (F.col("labelled") > BLOCK_ROWS), F.col("label")))
     )
-    rows = saved(
-        known.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cut = placed.groupBy("cluster", "own", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part")
+    blocks = saved(cut.select("cluster", "own", "band", "blocks", every).withColumn("block", F.monotonically_increasing_id()))
+    one = blocks.select("cluster", F.col("own").alias("own_i"), F.col("band").alias("band_i"), F.col("block").alias("i"),
+                        F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    two = blocks.select("cluster", F.col("own").alias("own_j"), "band", F.col("block").alias("j"))
+    met = one.join(two, ["cluster", "band"]).where((F.col("band") != F.col("band_i")) | (F.col("i") <= F.col("j")))
+    met = met.where(F.col("own_i").isNull() | F.col("own_j").isNull() | (F.col("own_i") != F.col("own_j")))
+    met = saved(met.select("i", "j").withColumn("pair", F.monotonically_increasing_id()))
+    sides = met.select("pair", F.col("i").alias("block"), F.lit(True).alias("left"), (F.col("i") == F.col("j")).alias("right"))
+    sides = sides.unionByName(
+        met.where("i != j").select("pair", F.col("j").alias("block"), F.lit(False).alias("left"), F.lit(True).alias("right"))
     )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    left = rows.select("key", "node", "label", "block", "blocks", other.alias("o")).select(
-        "key", F.col("node").alias("a"), F.col("label").alias("x"), F.col("block").alias("i"), F.col("o").alias("j")
+    at = placed.join(cut.withColumnsRenamed({"cluster": "c", "own": "o", "band": "b"}),
+                     (F.col("cluster") == F.col("c")) & F.col("own").eqNullSafe(F.col("o")) & (F.col("band") == F.col("b")))
+    at = at.withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks"))).select(
+        "cluster", "own", "band", "part", "node", "label", "shingles"
     )
-    right = rows.select("key", F.col("node").alias("b"), F.col("label").alias("y"), F.col("block").alias("j"), "blocks")
-    right = right.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
-    pairs = left.join(right, ["key", "i", "j"]).where("x < y")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    named = blocks.withColumnsRenamed({"cluster": "c", "own": "o", "band": "b", "part": "p"}).drop("blocks")
+    at = at.join(named, (F.col("cluster") == F.col("c")) & F.col("own").eqNullSafe(F.col("o"))
+                 & (F.col("band") == F.col("b")) & (F.col("part") == F.col("p"))).select("block", "node", "label", "shingles")
+    rows = at.join(sides, "block").select("pair", "node", "label", "left", "right", "shingles")
+    return rows.groupBy("pair").applyInArrow(lambda t: compare_blocks(t, rule), "a long, b long")
 
 
 def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataFrame:
     """Links a, b between set hashes that join the same sets as all links of the similarity do.
 
-    1. Tiles that hold more than one set are found by their least and greatest set.
-    2. Each set of such a tile is compared with the least one: a star, whatever the tile's size.
-    3. Sets of a tile that are in different components after that are compared with one another.
+    1. Tiles that hold more than one set are found by their least set (head) and greatest.
+    2. Every set of such a tile is compared with the head: a star, whatever the tile's size.
+    3. Sets that tiles connect form a cluster.  Its sets that the links of the stars do not join are compared
+       block by block inside the tasks, which return only links that join two components.
     So no link between sets that are not joined otherwise is lost, and large groups of near copies do not
-    become all their pairs.
+    become rows of all their pairs.
     """
     largest = described.agg(F.max("n_shingles")).first()[0] or 0
     bands = rule.bands(largest)
@@ -254,11 +268,20 @@ def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataF
     )
     known = Bitmap(shared, "key")
     again = documents.mapInArrow(lambda b: _tiles(b, rule, bands, known), "key long, node long")
-    met = saved(again.join(shared, "key"))
-    star = met.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    linked = verify(saved(star), documents, rule)
-    rest = saved(_rest_of_tiles(met.select("key", "node").distinct(), components(linked)))
-    return linked.union(verify(rest, documents, rule))
+    met = again.join(shared, "key").where("node != head")
+    star = saved(met.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    clusters = components(star).withColumnRenamed("label", "cluster")
+    asked = Bitmap(clusters, "node")
+    contents = documents.mapInArrow(lambda b: _contents(b, rule.n, asked), "node long, shingles binary")
+    contents = saved(contents.join(clusters, "node").dropDuplicates(["node"]))
+
+    def side(name: str) -> DataFrame:
+        return contents.select(F.col("node").alias(name), F.col("shingles").alias(f"shingles_{name}"))
+
+    pairs = star.join(side("a"), "a").join(side("b"), "b")
+    linked = saved(pairs.mapInArrow(lambda b: _compare_pairs(b, rule), "a long, b long"))
+    members = contents.join(components(linked), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return linked.union(_block_links(saved(members), rule))
 
 
 def _labelled(df: DataFrame, rule: Similarity, id_column: str) -> DataFrame:

@@ -88,6 +88,25 @@ def test_large_group_of_near_copies(spark):
     assert got == brute(data, rule)
 
 
+@pytest.mark.parametrize("edits", [(0, 3, 6, 9), (8, 9, 10)])
+def test_group_with_many_pairs_below_the_threshold(spark, monkeypatch, edits):
+    """Most pairs share tiles and do not link; blocks are smaller than the group."""
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 40)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    data = []
+    for i in range(250):
+        text = list(base[: rng.choice([150, 150, 140, 120])])
+        for _ in range(rng.choice(edits)):
+            text[rng.randrange(len(text))] = f"v{rng.randrange(10**6)}"
+        data.append((i, " ".join(text)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    for rule in (jaccard.Similarity(3, 90, 100), jaccard.Similarity(5, 4, 5)):
+        got = sorted((tuple(r) for r in jaccard.near_duplicates(df, rule).collect()), key=repr)
+        assert got == brute(data, rule)
+        assert len({g[2] for g in got}) > 1
+
+
 def test_keep_first(spark, rows):
     data = [(3, "a b c d e f g"), (1, "a b c d e f g"), (2, "q r s"), (2, "a b c d e f g"), (None, "q r s"), (5, None)]
     df = spark.createDataFrame(data, "doc_id long, text string")
@@ -116,7 +135,8 @@ def test_tiles_meet_whatever_the_slices():
                 if len(b) and not equal and rule.linked(common, len(a) + len(b)):
                     x, y = (jaccard._tile_keys(0, s, rule, bands) for s in (a, b))
                     assert len(np.intersect1d(x, y))
-                    assert jaccard._may_link(jaccard._signature(a), jaccard._signature(b), len(a), len(b), rule)
+                    bits = jaccard.signatures([a, b])
+                    assert jaccard.may_link(bits[0], len(a), bits[1:], np.array([len(b)]), rule).all()
 
 
 def test_components_of_a_chain(spark):
