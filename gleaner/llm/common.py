@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gleaner.session import work_dir
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def saved(df: DataFrame) -> DataFrame:
