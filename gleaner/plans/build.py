@@ -29,10 +29,14 @@ def product_documents(
     top_k_reviews: int = 10,
     columns: Sequence[str] = tuple(META_COLUMNS),
     key: str = "parent_asin",
+    spread: int | None = None,
 ) -> DataFrame:
-    """One document per product straight from the raw files: one shuffle per source."""
-    meta = read_meta(spark, meta_path, [key, *[c for c in columns if c != key]])
-    reviews = combine_reviews(read_reviews(spark, reviews_path), key, top_k_reviews)
+    """One document per product straight from the raw files: one shuffle per source.
+
+    ``spread`` deals the lines of few large gzip files to that many tasks.
+    """
+    meta = read_meta(spark, meta_path, [key, *[c for c in columns if c != key]], spread=spread)
+    reviews = combine_reviews(read_reviews(spark, reviews_path, spread=spread), key, top_k_reviews)
     return documents_from_sources(meta, reviews, columns, key)
 
 

@@ -67,45 +67,58 @@ def narrow(schema: StructType, columns: Sequence[str]) -> StructType:
 
 
 def read_json_lines(
-    spark: SparkSession, path: str | list[str], schema: StructType, malformed: str = "null"
+    spark: SparkSession, path: str | list[str], schema: StructType, malformed: str = "null", spread: int | None = None
 ) -> DataFrame:
     """JSON lines, plain or gzipped, with a declared (narrow) schema.
 
     A malformed line becomes a row of nulls (``null``), is left out (``drop``), or
     is kept beside the nulls in ``_bad_record`` (``keep``).  A value of the wrong
-    type is null by itself.  A gzip file cannot be split: one task reads it, so
-    deliver many files of moderate size.
+    type is null by itself.
+
+    A gzip file cannot be split: one task reads it.  With ``spread`` its lines are dealt
+    to that many tasks before they are parsed, for few large files.
     """
-    if malformed == "drop":
-        return spark.read.option("mode", "DROPMALFORMED").schema(schema).json(path)
-    if malformed not in ("null", "keep"):
+    if malformed not in ("null", "keep", "drop"):
         raise ValueError(f"unknown malformed mode {malformed!r}")
-    read = (
-        spark.read.option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-        .schema(StructType([*schema.fields, StructField(BAD_RECORD, _TEXT)]))
-        .json(path)
-    )
+    if malformed == "drop" and not spread:
+        return spark.read.option("mode", "DROPMALFORMED").schema(schema).json(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
+    wanted = StructType([*schema.fields, StructField(BAD_RECORD, _TEXT)])
+    if spread:
+        lines = spark.read.text(path).where(F.trim("value") != "").repartition(spread)
+        read = lines.select(F.from_json("value", wanted, options).alias("r")).select("r.*")
+    else:
+        read = spark.read.options(**options).schema(wanted).json(path)
     # The reader keeps the fields before a syntax error; such a line should hold nothing.
     bad = F.col(BAD_RECORD)
     whole = bad.isNull() | F.get_json_object(bad, "$").isNotNull()
+    if malformed == "drop":
+        return read.where(bad.isNull()).select(*schema.names)
     columns = [F.when(whole, F.col(name)).alias(name) for name in schema.names]
     return read.select(*columns, *([bad] if malformed == "keep" else []))
 
 
 def read_reviews(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str] = REVIEW_COLUMNS, malformed: str = "null"
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str] = REVIEW_COLUMNS,
+    malformed: str = "null",
+    spread: int | None = None,
 ) -> DataFrame:
     """Reviews; only the named columns are parsed."""
-    return read_json_lines(spark, path, narrow(REVIEWS, columns), malformed)
+    return read_json_lines(spark, path, narrow(REVIEWS, columns), malformed, spread)
 
 
 def read_meta(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, malformed: str = "null"
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str] | None = None,
+    malformed: str = "null",
+    spread: int | None = None,
 ) -> DataFrame:
     """Product metadata; ``details`` is a map, nested values stay as compact JSON text."""
     schema = META if columns is None else narrow(META, columns)
-    rows = read_json_lines(spark, path, schema, malformed)
+    rows = read_json_lines(spark, path, schema, malformed, spread)
     if "details" not in schema.names:
         return rows
     return rows.withColumn("details", compact_nested(F.col("details")))

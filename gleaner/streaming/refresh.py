@@ -13,6 +13,9 @@ from gleaner.operators.products import META_COLUMNS, combine_reviews, documents_
 from gleaner.operators.ranking import top_k_per_group
 from gleaner.sources.writers import write_parquet
 
+# Folders, by a hash of the key, that the reviews of a drop lie in.
+KEY_BUCKETS = 256
+
 
 def rebuild_changed(
     changed: DataFrame,
@@ -57,16 +60,23 @@ def follow_reviews(
 ) -> StreamingQuery:
     """Process the review files that arrived in ``drops`` since the last run, then stop.
 
-    Each drop is kept under its number and the documents of its products are written
-    beside the earlier versions: the cost follows the change.  A repeated drop
-    overwrites its own folders, so a restart after a failure changes nothing.
+    Each drop is kept under its number, in folders by a hash of the key, and the
+    documents of its products are written beside the earlier versions.  Only the folders
+    that the drop's keys fall in are read again.  A repeated drop overwrites its own
+    folders, so a restart after a failure changes nothing; a drop without rows is passed over.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        write_parquet(batch, f"{root}/reviews/drop={number}")
-        stored = session.read.parquet(f"{root}/reviews").where(F.col("drop") <= number).drop("drop")
-        arrived = session.read.parquet(f"{root}/reviews/drop={number}")
+        if batch.isEmpty():
+            return
+        session, folder = batch.sparkSession, f"{root}/reviews/drop={number}"
+        bucket = F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+        placed = batch.withColumn("bucket", bucket).repartition("bucket")
+        placed.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(folder)
+        arrived = session.read.parquet(folder)
+        touched = [row["bucket"] for row in arrived.select("bucket").distinct().collect()]
+        earlier = (F.col("drop") <= number) & F.col("bucket").isin(touched)
+        stored = session.read.parquet(f"{root}/reviews").where(earlier).drop("drop", "bucket")
         rebuilt = rebuild_changed(arrived, meta, stored, key, k, columns, order, ties)
         write_parquet(rebuilt, f"{root}/documents/drop={number}")
 

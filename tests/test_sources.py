@@ -77,6 +77,24 @@ def test_reviews_scan_parses_three_columns(spark, raw):
     assert "ReadSchema: struct<parent_asin:string,title:string,helpful_vote:bigint,_bad_record:string>" in plan
 
 
+@pytest.mark.parametrize("mode", ["null", "drop", "keep"])
+def test_spread_lines_parse_alike(spark, tmp_path, rows, mode):
+    lines = ['{"parent_asin":"a","title":"t","helpful_vote":3}', "", '{"parent_asin":"b","title":', "null", "[1]",
+             '{"parent_asin":"c","helpful_vote":"x"}', '{"parent_asin":"d","title":{"k":1}}', "  "]
+    path = tmp_path / "lines.jsonl"
+    path.write_text("\n".join(lines))
+    plain = readers.read_reviews(spark, str(path), malformed=mode)
+    dealt = readers.read_reviews(spark, str(path), malformed=mode, spread=3)
+    whole = "parent_asin is not null"
+    assert rows(dealt.where(whole)) == rows(plain.where(whole))
+    assert dealt.columns == plain.columns
+
+
+def test_documents_from_files_spread(spark, raw, rows):
+    paths = str(raw / "meta_Audio.jsonl.gz"), str(raw / "Audio.jsonl.gz")
+    assert rows(product_documents(spark, *paths, spread=4)) == rows(product_documents(spark, *paths))
+
+
 def test_documents_from_files(spark, raw):
     docs = product_documents(spark, str(raw / "meta_Audio.jsonl.gz"), str(raw / "Audio.jsonl.gz"), 2)
     got = {r["parent_asin"]: r["document"] for r in docs.collect()}
