@@ -8,10 +8,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from gleaner.llm.common import slices
+from gleaner.llm.common import BATCH_BYTES, slices
 
 LEAF = 64
 CONTEXT = 8
@@ -147,14 +149,27 @@ def count_edited(documents: DataFrame, edits: DataFrame, vocabulary: str) -> Dat
     step = F.struct("seq", F.coalesce("start", F.lit(0)).cast("long").alias("start"),
                     F.coalesce("end", F.lit(0)).cast("long").alias("end"), F.coalesce("new", F.lit("")).alias("new"))
     lists = edits.groupBy("doc_id").agg(F.array_sort(F.collect_list(step)).alias("edits_"))
-    rows = documents.select("doc_id", "text").join(lists, "doc_id", "left")
+    source = documents.select("doc_id", "text")
+    key = source.schema["doc_id"].dataType
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for piece in slices(batch, "text"):
+                texts = [None if t is None else coder.compress(t.encode()) for t in piece.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"])
+
+    # Texts go through the shuffle compressed: they are almost all of what it moves.
+    packed = source.mapInArrow(pack, StructType([StructField("doc_id", key), StructField("packed", BinaryType())]))
+    rows = packed.join(lists, "doc_id", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, coder = Counter(vocabulary), zstandard.ZstdDecompressor()
+        for batch in batches:
+            for piece in slices(batch, "packed", BATCH_BYTES // 4):
                 out: list[tuple] = []
-                for text, steps in zip(piece.column("text").to_pylist(), piece.column("edits_").to_pylist()):
+                texts = [None if t is None else coder.decompress(t).decode() for t in piece.column("packed").to_pylist()]
+                for text, steps in zip(texts, piece.column("edits_").to_pylist()):
                     tree = Tree(counter, text or "")
                     before, pieces = tree.tokens, tree.encoded
                     for s in steps or ():
