@@ -325,5 +325,5 @@ def keep_first(df: DataFrame, rule: Similarity = Similarity(), id_column: str =
     """
     found = _labelled(df, rule, id_column).where("doc_id != component_id")
     gone = found.select(F.col("doc_id").alias("gone_"), F.col("text_hash").alias("hash_")).distinct()
-    same = (F.col(id_column).cast("long") == F.col("gone_")) & (F.xxhash64("text") == F.col("hash_"))
+    same = (df[id_column].cast("long") == gone["gone_"]) & (F.xxhash64(df["text"]) == gone["hash_"])
     return df.join(gone, same, "left_anti")

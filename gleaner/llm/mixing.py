@@ -156,36 +156,38 @@ def cube_sample(units: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 def mix(sized: DataFrame, weights: list[float], share: float, most: float, id_column: str = "doc_id") -> DataFrame:
     """Copies of each document such that sources meet their targets: sized's columns, source_size, target, copies.
 
-    ``sized`` has doc_id, source and size (>= 0), and may have more columns (not row_id, source_id, seed, pi or
-    chosen).  Every document of a source has the same expected number of copies, target / source_size; its whole
-    part is given to all, the fraction is sampled by the cube method.  So no document exceeds ``most`` copies,
-    rounded up, null ids and repeated rows are documents like any others, a null source is a source, and
-    documents without words are copied like the rest of their source (0 times in a source without any words).
-    The choice depends on source, id and size alone, so reruns agree; which of several rows equal in these three
-    is copied does not matter for the mix.
+    ``sized`` has doc_id, source and size (>= 0), and may have more columns, which are kept; source_size, target
+    and copies are replaced.  Every document of a source has the same expected number of copies, target /
+    source_size; its whole part is given to all, the fraction is sampled by the cube method.  So no document
+    exceeds ``most`` copies, rounded up, null ids and repeated rows are documents like any others, a null source
+    is a source, and documents without words are copied like the rest of their source (0 times in a source
+    without any words).  The choice depends on source, id and size alone, so reruns agree; which of several rows
+    equal in these three is copied does not matter for the mix.
     """
     spark = sized.sparkSession
-    rows = saved(sized.withColumn("row_id", F.monotonically_increasing_id()))
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sized = sized.drop("source_size", "target", "copies")
+    names = [f"c{i}" for i in range(len(sized.columns))]
+    of = dict(zip(sized.columns, names))
+    rows = saved(sized.toDF(*names).withColumn("row_id", F.monotonically_increasing_id()))
+    source, size = F.col(of["source"]), F.col(of["size"]).cast("long")
+    sources = rows.groupBy(source.alias("source")).agg(F.sum(size).alias("source_size"))
     goal = sorted(targets(cycled_weights(sources, weights), share, most), key=lambda r: (r[0] is None, r[0] or ""))
-    table = [(i, s, size, target, target / size if size else 0.0) for i, (s, size, target) in enumerate(goal)]
+    table = [(i, s, n, target, target / n if n else 0.0) for i, (s, n, target) in enumerate(goal)]
     known = spark.createDataFrame(
         table, "source_id int, source string, source_size long, target double, expected double"
     )
-    known = F.broadcast(known).alias("k")  # one row a source, at most MAX_SOURCES
-    at = rows.alias("r").join(known, F.col("r.source").eqNullSafe(F.col("k.source")))
-    at = at.select("r.*", "k.source_id", "k.source_size", "k.target", "k.expected")
+    known = F.broadcast(known)  # one row a source, at most MAX_SOURCES
+    at = rows.join(known, source.eqNullSafe(F.col("source"))).drop("source")
     whole = F.floor(F.col("expected") + EPSILON).cast("int")
     units = at.select(
         "row_id",
         "source_id",
-        "size",
-        F.xxhash64("source_id", id_column, "size").alias("seed"),
+        size.alias("size"),
+        F.xxhash64("source_id", of[id_column], size).alias("seed"),
         F.greatest(F.lit(0.0), F.col("expected") - whole).alias("pi"),
     )
     chosen = cube_sample(units)
-    return (
-        at.join(chosen, "row_id")
-        .withColumn("copies", whole + F.col("chosen"))
-        .drop("row_id", "source_id", "expected", "chosen")
+    copied = at.join(chosen, "row_id").withColumn("copies", whole + F.col("chosen"))
+    return copied.select(*names, "source_size", "target", "copies").toDF(
+        *sized.columns, "source_size", "target", "copies"
     )

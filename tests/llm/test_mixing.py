@@ -44,7 +44,9 @@ def test_mix(spark):
     data = [(i, ["x", "y", None, "hot"][min(3, i % 9)], int(rng.integers(1, 2000)), "c") for i in range(9000)]
     data += [(None, "x", 5, "c"), (None, "x", 5, "c"), (20_000, "zero", 0, "c"), (20_001, "zero", 0, "c")]
     df = spark.createDataFrame(data, "doc_id long, source string, size long, block string")
-    first = mixing.mix(df, [3.0, 1.0, 2.0], 1.5, 2.0).toPandas()
+    clashing = df.selectExpr("*", "'x' as target", "1 as row_id", "2 as c0", "3 as pi", "4 as copies")
+    first = mixing.mix(clashing, [3.0, 1.0, 2.0], 1.5, 2.0).toPandas()
+    assert first["row_id"].eq(1).all() and first["c0"].eq(2).all() and first["block"].eq("c").all()
     assert len(first) == len(data) and first["copies"].max() <= 2
     for source, group in first.groupby("source", dropna=False):
         taken = (group["copies"] * group["size"]).sum()
