@@ -81,7 +81,7 @@ def margin(found: Column, model: list[float]) -> Column:
     return F.lit(model[0]) + total / F.sqrt(F.greatest(F.size(found), F.lit(1)))
 
 
-def train(labelled: DataFrame, rounds: int = 40, rate: float = 4.0, decay: float = 1e-3) -> list[float]:
+def train(labelled: DataFrame, rounds: int = 40, rate: float = 16.0, decay: float = 1e-4) -> list[float]:
     """Logistic regression by full-batch gradient descent; a bias and one weight a bucket.
 
     ``labelled``: url, blocked.  It must be a small table (at most ``MAX_LABELLED`` rows, else an error); rows
