@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import Bitmap, hash_strings, mix64, saved, shingle_hashes, slices, words
 from gleaner.llm.components import components
 
-BLOCK_ROWS = 256
-SLACK = 2
+BLOCK_ROWS = 512
+BLOCK_BYTES = 4 << 20
+SKETCH = 128  # buckets: the upper seven bits of a hash
 BITS_PER_SHINGLE = 8
 MOST_BITS = 1 << 17
 
@@ -61,17 +63,36 @@ def _set_hashes(counts: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _sketches(counts: np.ndarray, owner: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """How many shingles of each set fall into each of ``SKETCH`` buckets, at most 255: one row a set."""
+    bucket = (mix64(value + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(57)).astype(np.int64)
+    found = np.bincount(owner * SKETCH + bucket, minlength=len(counts) * SKETCH)
+    return np.minimum(found, 255).astype(np.uint8).reshape(len(counts), SKETCH)
+
+
 def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text"):
-            counts, _, value = _sets(piece, n)
+            counts, owner, value = _sets(piece, n)
             node = pa.array(_set_hashes(counts, value), mask=counts == 0)
+            sketch = pa.array([row.tobytes() for row in _sketches(counts, owner, value)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), piece.column("text_hash"), pa.array(counts), node],
-                ["doc_id", "text_hash", "n_shingles", "node"],
+                [piece.column("doc_id"), piece.column("text_hash"), pa.array(counts), node, sketch],
+                ["doc_id", "text_hash", "n_shingles", "node", "sketch"],
             )
 
 
+@cache
+def _slack(apart: int, least: int) -> int:
+    """Slices beyond the differing ones: more than are empty, as good as always, in a set of ``least`` shingles."""
+    slack = 2
+    for _ in range(50):
+        count = apart + 1 + slack
+        empty = count * np.exp(-least / count)
+        slack = max(slack, int(np.ceil(empty + 4 * np.sqrt(empty))))
+    return min(slack, apart + 2)
+
+
 def _tile_keys(node: int, value: np.ndarray, rule: Similarity, bands: list[int]) -> np.ndarray:
     """Keys of the tiles of one set.
 
@@ -87,12 +108,13 @@ def _tile_keys(node: int, value: np.ndarray, rule: Similarity, bands: list[int])
         apart = rule.apart(2 * (bands[tile + 1] - 1))
         if not apart:
             continue
-        count = apart + 1 + SLACK
+        slack = _slack(apart, bands[tile - 1] if tile else 1)
+        count = apart + 1 + slack
         part = (top * np.uint64(count)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         content = np.add.reduceat(scrambled, starts)
         name = part[starts]
-        if count - len(starts) > SLACK:
+        if count - len(starts) > slack:
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), name)
             content, name = np.concatenate([content, np.zeros(len(empty), np.uint64)]), np.concatenate([name, empty])
         keys.append(mix64(mix64(content) + name + np.uint64(tile << 32)))
@@ -179,81 +201,101 @@ def _compare_pairs(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Itera
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def compare_sketches(table: pa.Table, rule: Similarity) -> pa.Table:
+    """The rows of two blocks (or one) whose bucket counts let them link with another one: cluster and node.
+
+    The buckets' differences add up to no more than the shingles that only one of the sets has.
+    """
+    node, size = table.column("node").to_numpy(), table.column("size").to_numpy()
+    counts = np.frombuffer(b"".join(table.column("payload").to_pylist()), np.uint8).reshape(len(node), SKETCH)
+    counts, near = counts.astype(np.int16), np.zeros(len(node), bool)
+    second = np.flatnonzero(table.column("right").to_numpy())
+    for i in np.flatnonzero(table.column("left").to_numpy()):
+        apart = np.abs(counts[second] - counts[i]).sum(axis=1, dtype=np.int64)
+        most = np.minimum((size[i] + size[second] - apart) // 2, np.minimum(size[i], size[second]))
+        hit = second[rule.linked(most, size[i] + size[second]) & (node[second] != node[i])]
+        near[hit] = True
+        near[i] |= len(hit) > 0
+    return table.select(["cluster", "node"]).filter(pa.array(near))
+
+
 def compare_blocks(table: pa.Table, rule: Similarity) -> pa.Table:
-    """Links between two blocks of sets (or inside one), as few as join what all of them join.
+    """Links between two blocks of sets (or inside one), as few as join what all of them join: cluster (a), node (b).
 
-    ``table``: node, label (component so far), left (whether in the first block, the second or both) and shingles.
+    Bit counts bound the overlap from above; sets in one component so far are not compared, the sorted arrays of
+    the others are intersected.
     """
     node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
-    left, right = (table.column(c).to_numpy() for c in ("left", "right"))
-    sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("payload").to_pylist()]
     size, bits = np.array([len(x) for x in sets]), signatures(sets)
     group = np.unique(label, return_inverse=True)[1]
     found_a, found_b = [], []
-    second = np.flatnonzero(right)
-    for i in np.flatnonzero(left):
+    second = np.flatnonzero(table.column("right").to_numpy())
+    for i in np.flatnonzero(table.column("left").to_numpy()):
         near = second[may_link(bits[i], size[i], bits[second], size[second], rule)]
         for j in near[node[near] != node[i]]:
             if group[i] != group[j] and rule.linked(_common(sets[i], sets[j]), size[i] + size[j]):
                 group[group == group[j]] = group[i]
                 found_a.append(node[i])
                 found_b.append(node[j])
-    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+    return pa.table({"cluster": pa.array(found_a, pa.int64()), "node": pa.array(found_b, pa.int64())})
 
 
-def _block_links(members: DataFrame, rule: Similarity) -> DataFrame:
-    """Links between members (cluster, node, label, shingles) of a cluster that are in different components.
+def _in_blocks(members: DataFrame, rule: Similarity, compare: Callable[[pa.Table, Similarity], pa.Table]) -> DataFrame:
+    """Compare the members (cluster, node, label, size, payload) of a cluster that are in different components.
 
-    A cluster of up to ``BLOCK_ROWS`` sets is one block.  A larger one is cut by size band and, for components
-    that fill blocks of their own, by component; bands are cut by hash into blocks of about that size.  Blocks
-    of neighbouring bands meet in pairs, but not those of one large component.
+    A cluster of bounded rows and bytes is one block.  A larger one is cut by size band and, for components that
+    fill blocks of their own, by component; these are cut by hash into blocks of about those bounds.  Blocks of
+    one band or of neighbours meet in pairs, but not those of one large component.
     """
-    size = F.octet_length("shingles") / 8
+    rows, weight = F.count(F.lit(1)), F.sum(F.octet_length("payload"))
     of_cluster = members.groupBy("cluster").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows")
+        F.min("label").alias("low"), F.max("label").alias("high"), rows.alias("rows"), weight.alias("bytes")
     )
-    open_ = of_cluster.where("low != high").select("cluster", "rows")
-    of_label = members.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("labelled"))
-    ratio = F.lit(float(np.log(rule.parts / rule.share)))
-    large = F.col("rows") > BLOCK_ROWS
+    open_ = of_cluster.where("low != high").select("cluster", "rows", "bytes")
+    of_label = members.groupBy("cluster", "label").agg(rows.alias("labelled"))
+    ratio = float(np.log(rule.parts / rule.share))
+    large = (F.col("rows") > BLOCK_ROWS) | (F.col("bytes") > BLOCK_BYTES)
     placed = saved(
         members.join(open_, "cluster")
         .join(of_label, ["cluster", "label"])
-        .withColumn("band", F.when(large, F.floor(F.log(size) / ratio)).otherwise(0).cast("int"))
+        .withColumn("band", F.when(large, F.floor(F.log("size") / F.lit(ratio))).otherwise(0).cast("int"))
         .withColumn("own", F.when(large & (F.col("labelled") > BLOCK_ROWS), F.col("label")))
+        .select("cluster", "node", "label", "size", "band", "own", "payload")
     )
-    cut = placed.groupBy("cluster", "own", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
+    needed = F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(weight / BLOCK_BYTES))
+    cut = placed.groupBy("cluster", "own", "band").agg(needed.alias("blocks"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part")
-    blocks = saved(cut.select("cluster", "own", "band", "blocks", every).withColumn("block", F.monotonically_increasing_id()))
+    blocks = saved(cut.select("*", every).withColumn("block", F.monotonically_increasing_id()))
     one = blocks.select("cluster", F.col("own").alias("own_i"), F.col("band").alias("band_i"), F.col("block").alias("i"),
                         F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
     two = blocks.select("cluster", F.col("own").alias("own_j"), "band", F.col("block").alias("j"))
     met = one.join(two, ["cluster", "band"]).where((F.col("band") != F.col("band_i")) | (F.col("i") <= F.col("j")))
     met = met.where(F.col("own_i").isNull() | F.col("own_j").isNull() | (F.col("own_i") != F.col("own_j")))
     met = saved(met.select("i", "j").withColumn("pair", F.monotonically_increasing_id()))
-    sides = met.select("pair", F.col("i").alias("block"), F.lit(True).alias("left"), (F.col("i") == F.col("j")).alias("right"))
-    sides = sides.unionByName(
-        met.where("i != j").select("pair", F.col("j").alias("block"), F.lit(False).alias("left"), F.lit(True).alias("right"))
+    same = F.col("i") == F.col("j")
+    sides = met.select("pair", F.col("i").alias("block"), F.lit(True).alias("left"), same.alias("right")).unionByName(
+        met.where(~same).select("pair", F.col("j").alias("block"), F.lit(False).alias("left"), F.lit(True).alias("right"))
     )
-    at = placed.join(cut.withColumnsRenamed({"cluster": "c", "own": "o", "band": "b"}),
-                     (F.col("cluster") == F.col("c")) & F.col("own").eqNullSafe(F.col("o")) & (F.col("band") == F.col("b")))
-    at = at.withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks"))).select(
-        "cluster", "own", "band", "part", "node", "label", "shingles"
-    )
-    named = blocks.withColumnsRenamed({"cluster": "c", "own": "o", "band": "b", "part": "p"}).drop("blocks")
-    at = at.join(named, (F.col("cluster") == F.col("c")) & F.col("own").eqNullSafe(F.col("o"))
-                 & (F.col("band") == F.col("b")) & (F.col("part") == F.col("p"))).select("block", "node", "label", "shingles")
-    rows = at.join(sides, "block").select("pair", "node", "label", "left", "right", "shingles")
-    return rows.groupBy("pair").applyInArrow(lambda t: compare_blocks(t, rule), "a long, b long")
+    place = ["cluster", "own", "band"]
+    named = blocks.withColumnsRenamed({c: f"{c}_" for c in (*place, "part")})
+    part = F.pmod(F.xxhash64("node"), F.col("blocks")) == F.col("part_")
+    here = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in place]
+    at = placed.join(named, here[0] & here[1] & here[2]).where(part)
+    columns = ["cluster", "node", "label", "size", "payload"]
+    dealt = at.select("block", *columns).join(sides, "block").select("pair", "left", "right", *columns)
+    return dealt.groupBy("pair").applyInArrow(lambda t: compare(t, rule), "cluster long, node long")
 
 
 def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataFrame:
     """Links a, b between set hashes that join the same sets as all links of the similarity do.
 
-    1. Tiles that hold more than one set are found by their least set (head) and greatest.
-    2. Every set of such a tile is compared with the head: a star, whatever the tile's size.
-    3. Sets that tiles connect form a cluster.  Its sets that the links of the stars do not join are compared
-       block by block inside the tasks, which return only links that join two components.
+    1. Tiles that hold more than one set are found by their least set, the head.  The sets that meet a head in
+       any tile are its cluster: sets that share a tile share a cluster.
+    2. In each cluster, sets that no bucket count lets link with another one are left out, inside the tasks.
+    3. Every other set is compared with its head: a star, whatever the cluster's size.
+    4. Sets that these links do not join are compared inside the tasks, block by block; tasks return only links
+       that join two components.
     So no link between sets that are not joined otherwise is lost, and large groups of near copies do not
     become rows of all their pairs.
     """
@@ -268,20 +310,31 @@ def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataF
     )
     known = Bitmap(shared, "key")
     again = documents.mapInArrow(lambda b: _tiles(b, rule, bands, known), "key long, node long")
-    met = again.join(shared, "key").where("node != head")
-    star = saved(met.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
-    clusters = components(star).withColumnRenamed("label", "cluster")
-    asked = Bitmap(clusters, "node")
+    met = saved(again.join(shared, "key").select(F.col("head").alias("cluster"), "node").distinct())
+    sketches = described.select("node", F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
+    sketches = sketches.join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    bounded = met.join(sketches, "node").withColumn("label", F.col("node"))
+    near = saved(_in_blocks(bounded, rule, compare_sketches).distinct())
+
+    nodes = near.select("node").distinct()
+    asked = Bitmap(nodes, "node")
     contents = documents.mapInArrow(lambda b: _contents(b, rule.n, asked), "node long, shingles binary")
-    contents = saved(contents.join(clusters, "node").dropDuplicates(["node"]))
+    contents = saved(contents.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
 
     def side(name: str) -> DataFrame:
         return contents.select(F.col("node").alias(name), F.col("shingles").alias(f"shingles_{name}"))
 
+    star = near.where("cluster != node").select(F.col("cluster").alias("a"), F.col("node").alias("b"))
     pairs = star.join(side("a"), "a").join(side("b"), "b")
     linked = saved(pairs.mapInArrow(lambda b: _compare_pairs(b, rule), "a long, b long"))
-    members = contents.join(components(linked), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    return linked.union(_block_links(saved(members), rule))
+    size = (F.octet_length("shingles") / 8).cast("long").alias("size")
+    members = (
+        near.join(contents, "node")
+        .join(components(linked), "node", "left")
+        .select("cluster", "node", F.coalesce("label", "node").alias("label"), size, F.col("shingles").alias("payload"))
+    )
+    rest = _in_blocks(saved(members), rule, compare_blocks)
+    return linked.union(rest.select(F.col("cluster").alias("a"), F.col("node").alias("b")))
 
 
 def _labelled(df: DataFrame, rule: Similarity, id_column: str) -> DataFrame:
@@ -289,7 +342,8 @@ def _labelled(df: DataFrame, rule: Similarity, id_column: str) -> DataFrame:
     hashed = documents.withColumn("text_hash", F.xxhash64("text"))
     described = saved(
         hashed.mapInArrow(
-            lambda b: _describe(b, rule.n), "doc_id long, text_hash long, n_shingles long, node long"
+            lambda b: _describe(b, rule.n),
+            "doc_id long, text_hash long, n_shingles long, node long, sketch binary",
         )
     )
     nodes = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))

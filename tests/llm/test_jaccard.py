@@ -137,6 +137,9 @@ def test_tiles_meet_whatever_the_slices():
                     assert len(np.intersect1d(x, y))
                     bits = jaccard.signatures([a, b])
                     assert jaccard.may_link(bits[0], len(a), bits[1:], np.array([len(b)]), rule).all()
+                    counts = np.array([len(a), len(b)])
+                    sketch = jaccard._sketches(counts, np.repeat([0, 1], counts), np.concatenate([a, b]))
+                    assert np.abs(sketch[0].astype(int) - sketch[1]).sum() <= len(a) + len(b) - 2 * common
 
 
 def test_components_of_a_chain(spark):
