@@ -210,3 +210,39 @@ WITH RECURSIVE docs AS (
 )
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, n.component_id FROM sets s JOIN named n USING (doc_id)
 """
+
+ORACLE["op3_substring_dedup"] = r"""
+WITH cut AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS parts FROM documents
+), split AS (
+    SELECT doc_id, text, parts, list_transform(parts, lambda p: list_filter(string_split_regex(
+        translate(p, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
+    FROM cut
+), counted AS (
+    SELECT doc_id, i, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto, upto - n AS before
+    FROM (SELECT doc_id, generate_subscripts(words, 1) AS i, len(unnest(words)) AS n FROM split)
+), spans AS (
+    SELECT a.doc_id, a.i AS first, b.i AS last
+    FROM (SELECT * FROM counted WHERE n > 0) a
+    ASOF JOIN (SELECT * FROM counted WHERE n > 0) b ON a.doc_id = b.doc_id AND a.before + 20 <= b.upto
+    UNION
+    SELECT a.doc_id, b.i, a.i
+    FROM (SELECT * FROM counted WHERE n > 0) a
+    ASOF JOIN (SELECT * FROM counted WHERE n > 0) b ON a.doc_id = b.doc_id AND a.upto - 20 >= b.before
+), contents AS (
+    SELECT doc_id, first, last, md5(array_to_string(list_transform(list_filter(words[first:last], lambda w: len(w) > 0),
+        lambda w: array_to_string(w, ' ')), chr(10))) AS content
+    FROM spans JOIN split USING (doc_id)
+), again AS (
+    SELECT doc_id, first, last FROM (
+        SELECT *, min(doc_id) OVER (PARTITION BY content) AS origin,
+               row_number() OVER (PARTITION BY doc_id, content ORDER BY first, last) AS nth FROM contents)
+    WHERE origin <> doc_id OR nth > 1
+), gone AS (
+    SELECT doc_id, list_distinct(flatten(list(range(first, last + 1)))) AS covered FROM again GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN covered IS NULL THEN text ELSE array_to_string(
+           list_filter(parts, lambda p, i: NOT list_contains(covered, i)), '') END AS text,
+       coalesce(len(parts), 0)::INTEGER AS n_sentences, coalesce(len(covered), 0)::INTEGER AS n_removed
+FROM split LEFT JOIN gone USING (doc_id)
+"""

@@ -70,8 +70,8 @@ class Sentences:
     def spans(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First and last sentence of each span, and two hashes of its content; a span once.
 
-        Spans are, for every sentence, the shortest run that starts with it and the shortest that ends with it
-        of at least ``least`` words, inside one text.
+        Spans are, for every sentence with words, the shortest run that starts with it and the shortest that ends
+        with it of at least ``least`` words, inside one text.
         """
         n = len(self.start)
         if not n:
@@ -80,8 +80,9 @@ class Sentences:
         index = np.arange(n)
         onward = np.searchsorted(done, done[:-1] + least, side="left") - 1  # last sentence of the run from here
         back = np.searchsorted(done, done[1:] - least, side="right") - 1  # first sentence of the run to here
-        first = np.concatenate([index, back])
-        last = np.concatenate([onward, index])
+        some = self.words > 0
+        first = np.concatenate([index[some], back[some]])
+        last = np.concatenate([onward[some], index[some]])
         fits = (first >= 0) & (last < n)
         first, last = first[fits], last[fits]
         inside = self.owner[first] == self.owner[last]

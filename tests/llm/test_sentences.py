@@ -23,6 +23,8 @@ def spans(parts, least):
     found = set()
     count = [len(words(p)) for p in parts]
     for i in range(len(parts)):
+        if not count[i]:
+            continue
         for j in range(i, len(parts)):
             if sum(count[i : j + 1]) >= least:
                 found.add((i, j))
@@ -76,6 +78,7 @@ def corpus(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_plain_version(spark, rows, seed):
     data = corpus(seed)
+    data += [(88, "Once there were. \n \n" + " ".join(f"q{i}" for i in range(50)) + ".  \n  ")]
     data += [(90, None), (91, ""), (92, "\n\n"), (93, "..."), (94, data[3][1]), (95, data[3][1])]
     data += [(96, "ein satz über straßen. " * 40), (97, "one two three four five six seven. " * 3000)]
     data += [(None, data[5][1]), (None, "only here " * 30), (None, "only here " * 30)]
@@ -92,6 +95,13 @@ def test_same_id_keeps_versions(spark, rows):
     assert got == sorted([*data[:3], (2, "Begin here now. End.")], key=repr) or ("Begin here now. End." in got[-1][1])
 
 
+def test_white_space_is_no_repeat(spark, rows):
+    """Sentences without words neither make a span nor a repeat of one."""
+    text = "One. \n \n" + " ".join(f"q{i}" for i in range(25)) + ". \n" + " ".join(f"r{i}" for i in range(25)) + ".\n  "
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert rows(sentences.remove_repeats(df), "text", "n_removed") == [(text, 0)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     found = sentences.remove_repeats(df)
