@@ -36,7 +36,8 @@ class HashingEmbedder:
 
     def column(self, text: Column) -> Column:
         # One letter a token names its bucket; a bucket's count is what its letter's removal takes away.
-        letters = [chr(0x4E00 + b) for b in range(self.dim)]
+        first = 0x30 if self.dim <= 0x4E else 0x4E00  # one byte a letter if they suffice
+        letters = [chr(first + b) for b in range(self.dim)]
         alphabet = F.array(*map(F.lit, letters))
 
         def letter(token: Column) -> Column:
@@ -49,7 +50,8 @@ class HashingEmbedder:
             F.array(line),
             lambda s: F.transform(alphabet, lambda c: (F.length(s) - F.length(F.replace(s, c, F.lit("")))).cast("double")),
         )
-        unit = F.transform(counts, lambda v: F.transform(v, lambda c: (c / _norm(v)).cast("float")))
+        sized = F.transform(counts, lambda v: F.struct(v.alias("counts"), _norm(v).alias("norm")))
+        unit = F.transform(sized, lambda s: F.transform(s["counts"], lambda c: (c / s["norm"]).cast("float")))
         return F.get(unit, F.lit(0))
 
 

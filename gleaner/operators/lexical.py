@@ -93,10 +93,11 @@ def _plain_idf(n: Column, df: Column) -> Column:
 def build_index(chunks: DataFrame, tokeniser: Tokeniser = tokenise) -> LexicalIndex:
     """Lazy index tables; the only shuffle is the partially aggregated count per term."""
     postings = build_postings(chunks, tokeniser)
-    terms = postings.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("ctf")
-    )
-    return LexicalIndex.from_terms(postings, terms, chunks)
+    return LexicalIndex.from_terms(postings, _count_terms(postings), chunks)
+
+
+def _count_terms(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("ctf"))
 
 
 def _floored_idf(idf0: Column, avg_idf: Column) -> Column:
@@ -145,6 +146,13 @@ def query_blocks(wanted: DataFrame, rows: int | None = None) -> list[DataFrame]:
     return [wanted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) for b in range(blocks)]
 
 
+def materialised(index: LexicalIndex) -> LexicalIndex:
+    """The index with its postings and terms in scratch tables, so that the text is tokenised once."""
+    postings = saved(index.postings)
+    terms = saved(_count_terms(postings))
+    return LexicalIndex.from_terms(postings, terms, index.chunks)
+
+
 def bm25_scores(queries: DataFrame, index: LexicalIndex, tokeniser: Tokeniser = tokenise) -> DataFrame:
     """``(query_id, chunk_id, score)`` for each pair that shares a term.
 
@@ -152,6 +160,8 @@ def bm25_scores(queries: DataFrame, index: LexicalIndex, tokeniser: Tokeniser =
     by chunk, before they multiply with the queries; scoring and the first top-k cut
     then stay local, so a query's pairs with all chunks never move.
     """
+    if not index.stored:
+        index = materialised(index)
     found = [_block_scores(block, index) for block in query_blocks(query_terms(queries, tokeniser))]
     return reduce(DataFrame.unionByName, found)
 
