@@ -9,7 +9,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import Bitmap, hash_strings, mix64, saved, shingle_hashes, slices, words
@@ -241,16 +241,25 @@ def compare_blocks(table: pa.Table, rule: Similarity) -> pa.Table:
     return pa.table({"cluster": pa.array(found_a, pa.int64()), "node": pa.array(found_b, pa.int64())})
 
 
-def _in_blocks(members: DataFrame, rule: Similarity, compare: Callable[[pa.Table, Similarity], pa.Table]) -> DataFrame:
-    """Compare the members (cluster, node, label, size, payload) of a cluster that are in different components.
+def _in_blocks(
+    members: DataFrame,
+    payloads: DataFrame,
+    weight: Column,
+    rule: Similarity,
+    compare: Callable[[pa.Table, Similarity], pa.Table],
+) -> DataFrame:
+    """Compare the members (cluster, node, label, size) of a cluster that are in different components.
+
+    ``payloads`` (node, payload) are what is compared; they join the members last, when these are dealt to tasks.
+    ``weight`` is the bytes of one.
 
     A cluster of bounded rows and bytes is one block.  A larger one is cut by size band and, for components that
     fill blocks of their own, by component; these are cut by hash into blocks of about those bounds.  Blocks of
     one band or of neighbours meet in pairs, but not those of one large component.
     """
-    rows, weight = F.count(F.lit(1)), F.sum(F.octet_length("payload"))
+    rows, total = F.count(F.lit(1)), F.sum(weight)
     of_cluster = members.groupBy("cluster").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), rows.alias("rows"), weight.alias("bytes")
+        F.min("label").alias("low"), F.max("label").alias("high"), rows.alias("rows"), total.alias("bytes")
     )
     open_ = of_cluster.where("low != high").select("cluster", "rows", "bytes")
     of_label = members.groupBy("cluster", "label").agg(rows.alias("labelled"))
@@ -261,9 +270,9 @@ def _in_blocks(members: DataFrame, rule: Similarity, compare: Callable[[pa.Table
         .join(of_label, ["cluster", "label"])
         .withColumn("band", F.when(large, F.floor(F.log("size") / F.lit(ratio))).otherwise(0).cast("int"))
         .withColumn("own", F.when(large & (F.col("labelled") > BLOCK_ROWS), F.col("label")))
-        .select("cluster", "node", "label", "size", "band", "own", "payload")
+        .select("cluster", "node", "label", "size", "band", "own")
     )
-    needed = F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(weight / BLOCK_BYTES))
+    needed = F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(total / BLOCK_BYTES))
     cut = placed.groupBy("cluster", "own", "band").agg(needed.alias("blocks"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part")
     blocks = saved(cut.select("*", every).withColumn("block", F.monotonically_increasing_id()))
@@ -282,9 +291,9 @@ def _in_blocks(members: DataFrame, rule: Similarity, compare: Callable[[pa.Table
     part = F.pmod(F.xxhash64("node"), F.col("blocks")) == F.col("part_")
     here = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in place]
     at = placed.join(named, here[0] & here[1] & here[2]).where(part)
-    columns = ["cluster", "node", "label", "size", "payload"]
+    columns = ["cluster", "node", "label", "size"]
     dealt = at.select("block", *columns).join(sides, "block").select("pair", "left", "right", *columns)
-    return dealt.groupBy("pair").applyInArrow(lambda t: compare(t, rule), "cluster long, node long")
+    return dealt.join(payloads, "node").groupBy("pair").applyInArrow(lambda t: compare(t, rule), "cluster long, node long")
 
 
 def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataFrame:
@@ -312,9 +321,10 @@ def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataF
     again = documents.mapInArrow(lambda b: _tiles(b, rule, bands, known), "key long, node long")
     met = saved(again.join(shared, "key").select(F.col("head").alias("cluster"), "node").distinct())
     sketches = described.select("node", F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
-    sketches = sketches.join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    bounded = met.join(sketches, "node").withColumn("label", F.col("node"))
-    near = saved(_in_blocks(bounded, rule, compare_sketches).distinct())
+    sketches = saved(sketches.join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    bounded = met.join(sketches.select("node", "size"), "node").withColumn("label", F.col("node"))
+    payloads = sketches.select("node", "payload")
+    near = saved(_in_blocks(saved(bounded), payloads, F.lit(SKETCH), rule, compare_sketches).distinct())
 
     nodes = near.select("node").distinct()
     asked = Bitmap(nodes, "node")
@@ -327,13 +337,13 @@ def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataF
     star = near.where("cluster != node").select(F.col("cluster").alias("a"), F.col("node").alias("b"))
     pairs = star.join(side("a"), "a").join(side("b"), "b")
     linked = saved(pairs.mapInArrow(lambda b: _compare_pairs(b, rule), "a long, b long"))
-    size = (F.octet_length("shingles") / 8).cast("long").alias("size")
     members = (
-        near.join(contents, "node")
+        near.join(sketches.select("node", "size"), "node")
         .join(components(linked), "node", "left")
-        .select("cluster", "node", F.coalesce("label", "node").alias("label"), size, F.col("shingles").alias("payload"))
+        .select("cluster", "node", F.coalesce("label", "node").alias("label"), "size")
     )
-    rest = _in_blocks(saved(members), rule, compare_blocks)
+    payloads = contents.withColumnRenamed("shingles", "payload")
+    rest = _in_blocks(saved(members), payloads, 8 * F.col("size"), rule, compare_blocks)
     return linked.union(rest.select(F.col("cluster").alias("a"), F.col("node").alias("b")))
 
 
