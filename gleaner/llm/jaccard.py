@@ -9,6 +9,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,9 @@ from gleaner.llm.components import components
 
 BLOCK_ROWS = 512
 BLOCK_BYTES = 4 << 20
-SKETCH = 128  # buckets: the upper seven bits of a hash
+SKETCH_BITS = 7  # at least 128 buckets, and one for every SKETCH_LOAD / 2 to SKETCH_LOAD shingles of larger sets
+SKETCH_LOAD = 12
+PACKED_KEYS = 1 << 19
 BITS_PER_SHINGLE = 8
 MOST_BITS = 1 << 17
 
@@ -63,21 +66,22 @@ def _set_hashes(counts: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _sketches(counts: np.ndarray, owner: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """How many shingles of each set fall into each of ``SKETCH`` buckets, at most 255: one row a set."""
-    bucket = (mix64(value + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(57)).astype(np.int64)
-    found = np.bincount(owner * SKETCH + bucket, minlength=len(counts) * SKETCH)
-    return np.minimum(found, 255).astype(np.uint8).reshape(len(counts), SKETCH)
+def sketch(value: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall into each bucket of the hash range, at most 255; more buckets for larger sets."""
+    bits = max(SKETCH_BITS, int(len(value) // SKETCH_LOAD).bit_length())
+    bucket = (mix64(value + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(bucket, minlength=1 << bits), 255).astype(np.uint8)
 
 
 def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text"):
-            counts, owner, value = _sets(piece, n)
+            counts, _, value = _sets(piece, n)
+            ends = np.cumsum(counts)
             node = pa.array(_set_hashes(counts, value), mask=counts == 0)
-            sketch = pa.array([row.tobytes() for row in _sketches(counts, owner, value)], pa.binary())
+            drawn = pa.array([sketch(value[e - c : e]).tobytes() for c, e in zip(counts, ends)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), piece.column("text_hash"), pa.array(counts), node, sketch],
+                [piece.column("doc_id"), piece.column("text_hash"), pa.array(counts), node, drawn],
                 ["doc_id", "text_hash", "n_shingles", "node", "sketch"],
             )
 
@@ -121,22 +125,66 @@ def _tile_keys(node: int, value: np.ndarray, rule: Similarity, bands: list[int])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
+def _slice_keys(piece: pa.RecordBatch, rule: Similarity, bands: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Node and tile keys of every different set of a batch."""
+    counts, _, value = _sets(piece, rule.n)
+    nodes = _set_hashes(counts, value)
+    ends = np.cumsum(counts)
+    _, once = np.unique(nodes, return_index=True)
+    for i in once[counts[once] > 0]:
+        yield nodes[i], _tile_keys(nodes[i], value[ends[i] - counts[i] : ends[i]], rule, bands)
+
+
+def _packed_keys(
+    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: list[int], bits: int, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """The upper ``bits`` of all tile keys, sorted, in blocks by bucket: differences, byte by byte, compressed."""
+    pack = zstandard.ZstdCompressor(level=1)
+
+    def blocks(found: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.sort(np.concatenate(found)) >> np.uint64(64 - bits)
+        cut = np.searchsorted(keys, (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(bits)) // np.uint64(buckets))
+        names = np.flatnonzero(np.diff(cut))
+        data = []
+        for name in names:
+            step = np.diff(keys[cut[name] : cut[name + 1]], prepend=np.uint64(0))
+            data.append(pack.compress(step.view(np.uint8).reshape(-1, 8).T.tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(data, pa.binary())], ["bucket", "data"])
+
+    found, held = [], 0
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            for _, keys in _slice_keys(piece, rule, bands):
+                found.append(keys)
+                held += len(keys)
+            if held >= PACKED_KEYS:
+                yield blocks(found)
+                found, held = [], 0
+    if held:
+        yield blocks(found)
+
+
+def _repeated_keys(table: pa.Table) -> pa.Table:
+    """The keys of a bucket that occur more than once."""
+    unpack = zstandard.ZstdDecompressor()
+    parts = []
+    for data in table.column("data").to_pylist():
+        step = np.frombuffer(unpack.decompress(data), np.uint8).reshape(8, -1).T
+        parts.append(np.cumsum(np.ascontiguousarray(step).view(np.uint64).ravel(), dtype=np.uint64))
+    keys = np.sort(np.concatenate(parts))
+    return pa.table({"key": pa.array(np.unique(keys[1:][keys[1:] == keys[:-1]]).view(np.int64))})
+
+
 def _tiles(
-    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: list[int], known: Bitmap | None
+    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: list[int], bits: int, known: Bitmap
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text"):
-            counts, _, value = _sets(piece, rule.n)
-            nodes = _set_hashes(counts, value)
-            ends = np.cumsum(counts)
-            _, once = np.unique(nodes, return_index=True)
             keys, names = [], []
-            for i in once[counts[once] > 0]:
-                found = _tile_keys(nodes[i], value[ends[i] - counts[i] : ends[i]], rule, bands)
-                if known is not None:
-                    found = found[known.hits(found.view(np.int64))]
+            for node, found in _slice_keys(piece, rule, bands):
+                found = found[known.hits((found >> np.uint64(64 - bits)).view(np.int64))]
                 keys.append(found.view(np.int64))
-                names.append(np.full(len(found), nodes[i]))
+                names.append(np.full(len(found), node))
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(names))], ["key", "node"]
@@ -153,7 +201,7 @@ def _contents(batches: Iterator[pa.RecordBatch], n: int, asked: Bitmap) -> Itera
             take = once[(counts[once] > 0) & asked.hits(nodes[once])]
             own = [value[ends[i] - counts[i] : ends[i]] for i in take]
             shingles = pa.array([v.tobytes() for v in own], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[take]), shingles], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[take]), shingles], ["node", "payload"])
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -189,34 +237,27 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum()) if len(y) else 0
 
 
-def _compare_pairs(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    """The rows a, b whose sets link: bit counts first, then the sorted arrays."""
-    for batch in batches:
-        keep = []
-        for a, b in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist()):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            bits = signatures([x, y])
-            near = may_link(bits[0], len(x), bits[1:], np.array([len(y)]), rule)[0]
-            keep.append(bool(near and rule.linked(_common(x, y), len(x) + len(y))))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def compare_sketches(table: pa.Table, rule: Similarity) -> pa.Table:
-    """The rows of two blocks (or one) whose bucket counts let them link with another one: cluster and node.
+    """Pairs between two blocks (or inside one) whose bucket counts let them link, as few as join what all join.
 
     The buckets' differences add up to no more than the shingles that only one of the sets has.
     """
     node, size = table.column("node").to_numpy(), table.column("size").to_numpy()
-    counts = np.frombuffer(b"".join(table.column("payload").to_pylist()), np.uint8).reshape(len(node), SKETCH)
-    counts, near = counts.astype(np.int16), np.zeros(len(node), bool)
+    drawn = [np.frombuffer(x, np.uint8) for x in table.column("payload").to_pylist()]
+    width = min(len(x) for x in drawn)
+    counts = np.stack([x.reshape(width, -1).sum(axis=1, dtype=np.int32) for x in drawn])
+    group = np.arange(len(node))
+    found_a, found_b = [], []
     second = np.flatnonzero(table.column("right").to_numpy())
     for i in np.flatnonzero(table.column("left").to_numpy()):
         apart = np.abs(counts[second] - counts[i]).sum(axis=1, dtype=np.int64)
         most = np.minimum((size[i] + size[second] - apart) // 2, np.minimum(size[i], size[second]))
-        hit = second[rule.linked(most, size[i] + size[second]) & (node[second] != node[i])]
-        near[hit] = True
-        near[i] |= len(hit) > 0
-    return table.select(["cluster", "node"]).filter(pa.array(near))
+        for j in second[rule.linked(most, size[i] + size[second]) & (node[second] != node[i])]:
+            if group[i] != group[j]:
+                group[group == group[j]] = group[i]
+                found_a.append(node[i])
+                found_b.append(node[j])
+    return pa.table({"cluster": pa.array(found_a, pa.int64()), "node": pa.array(found_b, pa.int64())})
 
 
 def compare_blocks(table: pa.Table, rule: Similarity) -> pa.Table:
@@ -299,52 +340,41 @@ def _in_blocks(
 def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataFrame:
     """Links a, b between set hashes that join the same sets as all links of the similarity do.
 
-    1. Tiles that hold more than one set are found by their least set, the head.  The sets that meet a head in
-       any tile are its cluster: sets that share a tile share a cluster.
-    2. In each cluster, sets that no bucket count lets link with another one are left out, inside the tasks.
-    3. Every other set is compared with its head: a star, whatever the cluster's size.
-    4. Sets that these links do not join are compared inside the tasks, block by block; tasks return only links
-       that join two components.
-    So no link between sets that are not joined otherwise is lost, and large groups of near copies do not
-    become rows of all their pairs.
+    1. The tile keys of all sets are sorted and packed in the tasks; keys that occur more than once are found by
+       key range, and the sets are asked again for the tiles behind them.
+    2. The sets that meet the least set of a tile (its head) in any tile are its cluster: sets that share a tile
+       share a cluster. In the tasks, bucket counts bound which pairs of a cluster may link; out come only pairs
+       that join two groups.
+    3. The groups of sets that these pairs join are compared in the tasks, block by block, by bit counts and
+       sorted arrays; again only links that join two groups come out.
+    So no link between sets that are not joined otherwise is lost, and groups of near copies do not become rows
+    of all their pairs.
     """
-    largest = described.agg(F.max("n_shingles")).first()[0] or 0
-    bands = rule.bands(largest)
-    tiles = documents.mapInArrow(lambda b: _tiles(b, rule, bands, None), "key long, node long")
-    shared = saved(
-        tiles.groupBy("key")
-        .agg(F.min("node").alias("head"), F.max("node").alias("tail"))
-        .where("head != tail")
-        .drop("tail")
-    )
-    known = Bitmap(shared, "key")
-    again = documents.mapInArrow(lambda b: _tiles(b, rule, bands, known), "key long, node long")
-    met = saved(again.join(shared, "key").select(F.col("head").alias("cluster"), "node").distinct())
+    figures = described.agg(F.max("n_shingles").alias("largest"), F.sum("n_shingles").alias("total")).first()
+    bands = rule.bands(figures["largest"] or 0)
+    total = max(1, int(figures["total"] or 0))
+    bits = min(62, total.bit_length() + 11)
+    buckets = -(-total // PACKED_KEYS)
+    packed = documents.mapInArrow(lambda b: _packed_keys(b, rule, bands, bits, buckets), "bucket long, data binary")
+    repeated = saved(packed.groupBy("bucket").applyInArrow(_repeated_keys, "key long"))
+    known = Bitmap(repeated, "key")
+    tiles = saved(documents.mapInArrow(lambda b: _tiles(b, rule, bands, bits, known), "key long, node long"))
+    shared = tiles.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head != tail")
+    met = saved(tiles.join(shared, "key").select(F.col("head").alias("cluster"), "node").distinct())
     sketches = described.select("node", F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
     sketches = saved(sketches.join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
-    bounded = met.join(sketches.select("node", "size"), "node").withColumn("label", F.col("node"))
-    payloads = sketches.select("node", "payload")
-    near = saved(_in_blocks(saved(bounded), payloads, F.lit(SKETCH), rule, compare_sketches).distinct())
-
-    nodes = near.select("node").distinct()
-    asked = Bitmap(nodes, "node")
-    contents = documents.mapInArrow(lambda b: _contents(b, rule.n, asked), "node long, shingles binary")
-    contents = saved(contents.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
-
-    def side(name: str) -> DataFrame:
-        return contents.select(F.col("node").alias(name), F.col("shingles").alias(f"shingles_{name}"))
-
-    star = near.where("cluster != node").select(F.col("cluster").alias("a"), F.col("node").alias("b"))
-    pairs = star.join(side("a"), "a").join(side("b"), "b")
-    linked = saved(pairs.mapInArrow(lambda b: _compare_pairs(b, rule), "a long, b long"))
-    members = (
-        near.join(sketches.select("node", "size"), "node")
-        .join(components(linked), "node", "left")
-        .select("cluster", "node", F.coalesce("label", "node").alias("label"), "size")
-    )
-    payloads = contents.withColumnRenamed("shingles", "payload")
-    rest = _in_blocks(saved(members), payloads, 8 * F.col("size"), rule, compare_blocks)
-    return linked.union(rest.select(F.col("cluster").alias("a"), F.col("node").alias("b")))
+    sizes = sketches.select("node", "size")
+    bounded = saved(met.join(sizes, "node").withColumn("label", F.col("node")))
+    drawn = F.greatest(F.lit(1 << SKETCH_BITS), F.col("size") / (SKETCH_LOAD // 2))
+    near = _in_blocks(bounded, sketches.select("node", "payload"), drawn, rule, compare_sketches)
+    groups = saved(components(near.select(F.col("cluster").alias("a"), F.col("node").alias("b"))))
+
+    asked = Bitmap(groups, "node")
+    contents = documents.mapInArrow(lambda b: _contents(b, rule.n, asked), "node long, payload binary")
+    contents = saved(contents.join(groups, "node", "left_semi").dropDuplicates(["node"]))
+    members = groups.join(sizes, "node").select(F.col("label").alias("cluster"), "node", F.col("node").alias("label"), "size")
+    found = _in_blocks(saved(members), contents, 8 * F.col("size"), rule, compare_blocks)
+    return found.select(F.col("cluster").alias("a"), F.col("node").alias("b"))
 
 
 def _labelled(df: DataFrame, rule: Similarity, id_column: str) -> DataFrame:
@@ -388,6 +418,6 @@ def keep_first(df: DataFrame, rule: Similarity = Similarity(), id_column: str =
     Rows with a null id stay, and so do rows that are repeated under the smallest id.
     """
     found = _labelled(df, rule, id_column).where("doc_id != component_id")
-    gone = found.select(F.col("doc_id").alias("gone_"), F.col("text_hash").alias("hash_")).distinct()
+    gone = saved(found.select(F.col("doc_id").alias("gone_"), F.col("text_hash").alias("hash_")).distinct())
     same = (df[id_column].cast("long") == gone["gone_"]) & (F.xxhash64(df["text"]) == gone["hash_"])
     return df.join(gone, same, "left_anti")

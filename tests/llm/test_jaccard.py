@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gleaner.llm import jaccard
@@ -137,9 +138,25 @@ def test_tiles_meet_whatever_the_slices():
                     assert len(np.intersect1d(x, y))
                     bits = jaccard.signatures([a, b])
                     assert jaccard.may_link(bits[0], len(a), bits[1:], np.array([len(b)]), rule).all()
-                    counts = np.array([len(a), len(b)])
-                    sketch = jaccard._sketches(counts, np.repeat([0, 1], counts), np.concatenate([a, b]))
-                    assert np.abs(sketch[0].astype(int) - sketch[1]).sum() <= len(a) + len(b) - 2 * common
+                    x, y = jaccard.sketch(a), jaccard.sketch(b)
+                    width = min(len(x), len(y))
+                    x, y = (z.reshape(width, -1).sum(axis=1, dtype=int) for z in (x, y))
+                    assert np.abs(x - y).sum() <= len(a) + len(b) - 2 * common
+
+
+def test_packed_keys_find_all_repeats():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 900, n)) for n in rng.integers(1, 200, 300)]
+    texts += [t + " more" for t in texts[:100]]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    rule, bits = jaccard.Similarity(3, 90, 100), 40
+    bands = rule.bands(400)
+    keys = np.concatenate([k for _, k in jaccard._slice_keys(batch, rule, bands)]) >> np.uint64(64 - bits)
+    value, count = np.unique(keys, return_counts=True)
+    packed = pa.Table.from_batches(jaccard._packed_keys([batch.slice(0, 250), batch.slice(250)], rule, bands, bits, 7)).to_pandas()
+    found = [jaccard._repeated_keys(pa.table({"data": g["data"].tolist()})) for _, g in packed.groupby("bucket")]
+    got = np.sort(np.concatenate([f.column("key").to_numpy() for f in found]))
+    assert len(got) and (got == value[count > 1].view(np.int64)).all()
 
 
 def test_components_of_a_chain(spark):
