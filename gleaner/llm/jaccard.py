@@ -136,20 +136,21 @@ def _slice_keys(piece: pa.RecordBatch, rule: Similarity, bands: list[int]) -> It
 
 
 def _packed_keys(
-    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: list[int], bits: int, buckets: int
+    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: list[int], bits: int, bucket_bits: int
 ) -> Iterator[pa.RecordBatch]:
-    """The upper ``bits`` of all tile keys, sorted, in blocks by bucket: differences, byte by byte, compressed."""
+    """The upper ``bits`` of all tile keys, sorted, in blocks by their upper ``bucket_bits``: differences, byte by
+    byte, compressed."""
     pack = zstandard.ZstdCompressor(level=1)
 
     def blocks(found: list[np.ndarray]) -> pa.RecordBatch:
         keys = np.sort(np.concatenate(found)) >> np.uint64(64 - bits)
-        cut = np.searchsorted(keys, (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(bits)) // np.uint64(buckets))
-        names = np.flatnonzero(np.diff(cut))
+        bucket = (keys >> np.uint64(bits - bucket_bits)).astype(np.int64)
+        cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(keys)]
         data = []
-        for name in names:
-            step = np.diff(keys[cut[name] : cut[name + 1]], prepend=np.uint64(0))
+        for start, end in zip(cut, cut[1:]):
+            step = np.diff(keys[start:end], prepend=np.uint64(0))
             data.append(pack.compress(step.view(np.uint8).reshape(-1, 8).T.tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(data, pa.binary())], ["bucket", "data"])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), pa.array(data, pa.binary())], ["bucket", "data"])
 
     found, held = [], 0
     for batch in batches:
@@ -354,8 +355,8 @@ def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataF
     bands = rule.bands(figures["largest"] or 0)
     total = max(1, int(figures["total"] or 0))
     bits = min(62, total.bit_length() + 11)
-    buckets = -(-total // PACKED_KEYS)
-    packed = documents.mapInArrow(lambda b: _packed_keys(b, rule, bands, bits, buckets), "bucket long, data binary")
+    bucket_bits = (total // PACKED_KEYS).bit_length()
+    packed = documents.mapInArrow(lambda b: _packed_keys(b, rule, bands, bits, bucket_bits), "bucket long, data binary")
     repeated = saved(packed.groupBy("bucket").applyInArrow(_repeated_keys, "key long"))
     known = Bitmap(repeated, "key")
     tiles = saved(documents.mapInArrow(lambda b: _tiles(b, rule, bands, bits, known), "key long, node long"))

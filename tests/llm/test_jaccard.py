@@ -153,7 +153,7 @@ def test_packed_keys_find_all_repeats():
     bands = rule.bands(400)
     keys = np.concatenate([k for _, k in jaccard._slice_keys(batch, rule, bands)]) >> np.uint64(64 - bits)
     value, count = np.unique(keys, return_counts=True)
-    packed = pa.Table.from_batches(jaccard._packed_keys([batch.slice(0, 250), batch.slice(250)], rule, bands, bits, 7)).to_pandas()
+    packed = pa.Table.from_batches(jaccard._packed_keys([batch.slice(0, 250), batch.slice(250)], rule, bands, bits, 3)).to_pandas()
     found = [jaccard._repeated_keys(pa.table({"data": g["data"].tolist()})) for _, g in packed.groupby("bucket")]
     got = np.sort(np.concatenate([f.column("key").to_numpy() for f in found]))
     assert len(got) and (got == value[count > 1].view(np.int64)).all()
