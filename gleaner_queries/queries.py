@@ -858,4 +858,5 @@ def single_query_prompt(spark, sf):
 
 def _longest_query(spark, sf) -> DataFrame:
     longest = F.max_by("query", F.struct(F.char_length("query"), "query_id"))
-    return t.query_set(spark, sf).agg(longest.alias("query")).select(F.lit(0).cast("long").alias("query_id"), "query")
+    # An aggregate, not a literal: joins on a constant key would become products.
+    return t.query_set(spark, sf).agg(F.min(F.lit(0).cast("long")).alias("query_id"), longest.alias("query"))
