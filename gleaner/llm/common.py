@@ -23,6 +23,11 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A stored table of narrow rows, to be broadcast if it has at most ``most`` rows, to be shuffled otherwise."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def fold(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(F.col(column).cast("string")) % folds

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Bitmap, hash_strings, mix64, powers, saved, slices
+from gleaner.llm.common import Bitmap, hash_strings, mix64, powers, saved, slices, small_side
 
 WINDOW = 8
 LEAST_WORDS = 5
@@ -172,5 +172,5 @@ def leaks(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold a benchmark item; rows with a null id stay."""
-    bad = leaks(documents, benchmark).select("doc_id").distinct()
-    return documents.join(bad, "doc_id", "left_anti").select(documents.columns)
+    bad = saved(leaks(documents, benchmark).select("doc_id").distinct())
+    return documents.join(small_side(bad), "doc_id", "left_anti").select(documents.columns)

@@ -13,11 +13,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Bitmap, hash_strings, mix64, saved, shingle_hashes, slices, words
+from gleaner.llm.common import Bitmap, hash_strings, mix64, saved, shingle_hashes, slices, small_side, words
 from gleaner.llm.components import components
 
-BLOCK_ROWS = 512
-BLOCK_BYTES = 4 << 20
+BLOCK_ROWS = 1024
+BLOCK_BYTES = 8 << 20
 SKETCH_BITS = 7  # at least 128 buckets, and one for every SKETCH_LOAD / 2 to SKETCH_LOAD shingles of larger sets
 SKETCH_LOAD = 12
 PACKED_KEYS = 1 << 19
@@ -421,4 +421,4 @@ def keep_first(df: DataFrame, rule: Similarity = Similarity(), id_column: str =
     found = _labelled(df, rule, id_column).where("doc_id != component_id")
     gone = saved(found.select(F.col("doc_id").alias("gone_"), F.col("text_hash").alias("hash_")).distinct())
     same = (df[id_column].cast("long") == gone["gone_"]) & (F.xxhash64(df["text"]) == gone["hash_"])
-    return df.join(gone, same, "left_anti")
+    return df.join(small_side(gone), same, "left_anti")
