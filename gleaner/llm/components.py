@@ -14,9 +14,9 @@ def components(links: DataFrame) -> DataFrame:
     Every node takes the smallest label around it and then follows labels to their own label, until nothing
     changes.  Each round is joins and partly aggregated minima over the links; nothing is gathered anywhere.
     """
-    both = saved(
-        links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a != b").distinct()
-    )
+    # Stored before it is turned round: made twice, a table of links that depends on the order of rows could differ.
+    one_way = saved(links.select("a", "b").where("a != b"))
+    both = saved(one_way.union(one_way.select("b", "a")).distinct())
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
     while True:
         around = (

@@ -163,3 +163,13 @@ def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (7, 7), (101, 100)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
     assert all(found[i] == 0 for i in range(61)) and found[100] == found[101] == 100
+
+
+def test_links_that_come_out_differently_each_time(spark):
+    """Components evaluate their links once."""
+    from pyspark.sql import functions as F
+
+    pairs = spark.range(400).select(
+        F.col("id").alias("a"), F.when(F.rand() < 0.5, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("b")
+    ).union(spark.createDataFrame([(0, 1)], "a long, b long"))
+    assert {r["label"] for r in components(pairs).collect()} == {0}
