@@ -5,7 +5,6 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,15 @@ BITS_PER_SHINGLE = 8
 MOST_BITS = 1 << 17
 
 
+@dataclass(frozen=True)
+class Bands:
+    """Lower ends of size bands; by tile (a band and the one below), the most differing shingles and the slack."""
+
+    lower: list[int]
+    apart: list[int]
+    slack: list[int]
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Link two sets of word n-grams if parts * intersection >= share * union."""
@@ -33,12 +41,13 @@ class Similarity:
     share: int = 4
     parts: int = 5
 
-    def bands(self, largest: int) -> list[int]:
-        """Lower ends of the size bands: sets that can link lie in one band or in neighbours."""
+    def bands(self, largest: int) -> Bands:
+        """Size bands up to a largest set: sets that can link lie in one band or in neighbours."""
         out = [1]
         while len(out) < 4 or out[-4] <= largest:  # the last set's tiles reach into the bands behind its own
             out.append(max(out[-1] + 1, -(-out[-1] * self.parts // self.share)))
-        return out
+        apart = [self.apart(2 * (high - 1)) for high in out[1:]]
+        return Bands(out, apart, [_slack(d, out[max(0, i - 1)]) for i, d in enumerate(apart)])
 
     def apart(self, total: int) -> int:
         """Most elements that are in one of two linked sets only, with ``total`` elements in both together."""
@@ -86,7 +95,6 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             )
 
 
-@cache
 def _slack(apart: int, least: int) -> int:
     """Slices beyond the differing ones: more than are empty, as good as always, in a set of ``least`` shingles."""
     slack = 2
@@ -97,22 +105,21 @@ def _slack(apart: int, least: int) -> int:
     return min(slack, apart + 2)
 
 
-def _tile_keys(node: int, value: np.ndarray, rule: Similarity, bands: list[int]) -> np.ndarray:
+def _tile_keys(node: int, value: np.ndarray, rule: Similarity, bands: Bands) -> np.ndarray:
     """Keys of the tiles of one set.
 
     A tile is a pair of neighbouring bands (or one band), a slice of the hash range and the shingles there.  The
     range has more slices than two linked sets of the tile's sizes can have differing shingles, so they agree on
     some slice; where a set has so many empty slices that these might be the only ones, the empty ones count too.
     """
-    band = bisect_right(bands, len(value)) - 1
+    band = bisect_right(bands.lower, len(value)) - 1
     keys = []
     scrambled = mix64(value + np.uint64(0x5851F42D4C957F2D))
     top = value >> np.uint64(32)
     for tile in (band, band + 1):
-        apart = rule.apart(2 * (bands[tile + 1] - 1))
+        apart, slack = bands.apart[tile], bands.slack[tile]
         if not apart:
             continue
-        slack = _slack(apart, bands[tile - 1] if tile else 1)
         count = apart + 1 + slack
         part = (top * np.uint64(count)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
@@ -125,7 +132,7 @@ def _tile_keys(node: int, value: np.ndarray, rule: Similarity, bands: list[int])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-def _slice_keys(piece: pa.RecordBatch, rule: Similarity, bands: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+def _slice_keys(piece: pa.RecordBatch, rule: Similarity, bands: Bands) -> Iterator[tuple[int, np.ndarray]]:
     """Node and tile keys of every different set of a batch."""
     counts, _, value = _sets(piece, rule.n)
     nodes = _set_hashes(counts, value)
@@ -136,7 +143,7 @@ def _slice_keys(piece: pa.RecordBatch, rule: Similarity, bands: list[int]) -> It
 
 
 def _packed_keys(
-    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: list[int], bits: int, bucket_bits: int
+    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: Bands, bits: int, bucket_bits: int
 ) -> Iterator[pa.RecordBatch]:
     """The upper ``bits`` of all tile keys, sorted, in blocks by their upper ``bucket_bits``: differences, byte by
     byte, compressed."""
@@ -177,7 +184,7 @@ def _repeated_keys(table: pa.Table) -> pa.Table:
 
 
 def _tiles(
-    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: list[int], bits: int, known: Bitmap
+    batches: Iterator[pa.RecordBatch], rule: Similarity, bands: Bands, bits: int, known: Bitmap
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text"):
