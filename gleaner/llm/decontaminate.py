@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import Bitmap, hash_strings, mix64, powers, saved, slices, small_side
@@ -16,6 +16,8 @@ from gleaner.llm.common import Bitmap, hash_strings, mix64, powers, saved, slice
 WINDOW = 8
 LEAST_WORDS = 5
 LEAST_SHARE = 0.25
+LEAST_RUN = 50  # covered words of an item, in a stretch without a gap of a window, that are a leak at any share
+CONTRADICTED_SHARE = 2 / 3  # asked of a copy whose slots contradict each other
 BASE = 0x9E3779B97F4A7C15
 
 NUMBER = regex.compile(r"[+\-]?[$€£]?\d[\d.,:/]*%?")
@@ -133,8 +135,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     Every window of ``WINDOW`` words of an item is looked up in all windows of all documents; items with
     ``LEAST_WORDS`` to ``WINDOW`` - 1 words are one window, shorter ones have none, and so have null texts.
     Windows that lie on one diagonal of a document and an item hold together: their slots must map one to one,
-    so a renamed or renumbered item is found and a text that only shares the pattern is not.  A pair is returned
-    if its best diagonal covers ``least_share`` of the item's windows; ``exact`` tells that all slots are equal.
+    so a renamed or renumbered item is found and a text that only shares the pattern is not.  Where slots
+    contradict each other, the windows that hold them go, but those whose slots are all equal stay.  The windows
+    of a pair's diagonals are added up, so that inserted or missing words do not hide a copy.  A pair is returned
+    if the diagonals without contradiction cover ``least_share`` of the item's windows, if all diagonals cover
+    ``CONTRADICTED_SHARE`` of them, or if they cover ``LEAST_RUN`` words of the item in a stretch without a gap of
+    a window; ``exact`` tells that all slots of the covered windows are equal.
     Rows with a null id are left out on both sides; rows with the same id count as one document or item, and
     repeated rows once.
 
@@ -152,21 +158,59 @@ def leaks(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     right = seen.select("h", "size", F.col("k").alias("doc_id"), F.col("at").alias("j"), F.col("slots").alias("b"))
     met = right.join(left, ["h", "size"]).where(F.size("a") == F.size("b"))
     pairs = F.arrays_zip("a", "b")
-    line = met.groupBy("doc_id", "item_id", "size", (F.col("j") - F.col("i")).alias("diagonal")).agg(
-        F.count_distinct("i").alias("n_windows"),
+    diagonal = met.groupBy("doc_id", "item_id", "size", (F.col("j") - F.col("i")).alias("diagonal")).agg(
+        F.collect_set(F.struct("i", pairs.alias("pairs"))).alias("windows"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
         F.max("n_words").alias("n_words"),
     )
-    one_to_one = (F.size(F.array_distinct("pairs.a")) == F.size("pairs")) & (
-        F.size(F.array_distinct("pairs.b")) == F.size("pairs")
+    against = F.expr("filter(pairs, p -> exists(pairs, q -> (p.a = q.a) != (p.b = q.b)))")
+    diagonal = diagonal.withColumn("against", against).select(
+        "doc_id",
+        "item_id",
+        "size",
+        "n_words",
+        (F.size("against") == 0).alias("whole"),
+        F.inline(
+            F.expr(
+                """transform(windows, w -> struct(w.i AS i, forall(w.pairs, p -> p.a = p.b) AS same,
+                    forall(w.pairs, p -> NOT array_contains(against, p)) AS agrees))"""
+            )
+        ),
     )
-    share = F.col("n_windows") / (F.col("n_words") - F.col("size") + 1)
-    exact = F.forall("pairs", lambda p: p["a"] == p["b"])
-    good = line.where(one_to_one).select("doc_id", "item_id", "n_windows", share.alias("share"), exact.alias("exact"))
+    covered = (
+        diagonal.where("same or agrees")
+        .groupBy("doc_id", "item_id", "size", "i")
+        .agg(F.max("n_words").alias("n_words"), F.bool_or("whole").alias("whole"), F.bool_or("same").alias("same"))
+    )
+    pair = ["doc_id", "item_id", "size"]
+    onward = Window.partitionBy(*pair).orderBy("i")
+    step = F.coalesce(F.col("i") - F.lag("i").over(onward), F.lit(1 << 30))
+    # words between this window and the one before; a window's worth of them ends the stretch
+    stretches = covered.withColumn("step", step).withColumn(
+        "stretch", F.sum((F.col("step") >= 2 * F.col("size")).cast("int")).over(onward)
+    )
+    runs = stretches.groupBy(*pair, "stretch").agg(
+        F.count(F.lit(1)).alias("n_windows"),
+        F.count_if("whole").alias("n_whole"),
+        F.bool_and("same").alias("exact"),
+        # each window adds its words that the one before does not hold
+        F.sum(F.least("step", "size")).alias("words"),
+        F.max("n_words").alias("n_words"),
+    )
+    found = runs.groupBy(*pair).agg(
+        F.sum("n_windows").alias("n_windows"),
+        F.sum("n_whole").alias("n_whole"),
+        F.bool_and("exact").alias("exact"),
+        F.max("words").alias("words"),
+        F.max("n_words").alias("n_words"),
+    )
+    of_item = F.col("n_words") - F.col("size") + 1
+    share = F.col("n_windows") / of_item
+    good = (F.col("n_whole") / of_item >= least_share) | (share >= CONTRADICTED_SHARE) | (F.col("words") >= LEAST_RUN)
     return (
-        good.where(F.col("share") >= least_share)
+        found.where(good)
         .groupBy("doc_id", "item_id")
-        .agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("share"), F.bool_or("exact").alias("exact"))
+        .agg(F.max("n_windows").alias("n_windows"), F.max(share).alias("share"), F.bool_or("exact").alias("exact"))
     )
 
 

@@ -80,3 +80,22 @@ def test_windows_do_not_cross_texts(size):
 
     first, _ = decontaminate.Templates(pa.array(["a b c d e f g h", "i j", None, "k l m n o p q r s"])).windows(size)
     assert len(first) == (8 - size + 1) + (9 - size + 1)
+
+
+def test_long_edited_and_contradicting_copies(spark, rows):
+    rng = random.Random(5)
+    text = lambda n: [f"w{rng.randrange(5000)}x" for _ in range(n)]
+    long, edited, numbers, renamed = text(1000), text(100), text(100), text(100)
+    numbers[20] = numbers[70] = "2"
+    renamed[20] = renamed[70] = "Alice"
+    bench = items(spark, [(1, " ".join(long)), (2, " ".join(edited)), (3, " ".join(numbers)), (4, " ".join(renamed))])
+    inserted = " new ".join(" ".join(edited[i : i + 20]) for i in range(0, 100, 20))
+    broken, other = [*numbers], [*renamed]
+    broken[70] = "5"
+    other[20], other[70] = "Carol", "Zed"
+    data = [(1, " ".join(long[300:500])), (2, inserted), (3, " ".join(broken)), (4, " ".join(other))]
+    data += [(5, " ".join(long[300:345])), (6, " ".join(w for i in range(0, 1000, 100) for w in [*long[i : i + 12], "off"]))]
+    found = decontaminate.leaks(docs(spark, data), bench)
+    assert rows(found, "doc_id", "item_id", "exact") == [(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True)]
+    share = {r["doc_id"]: r["share"] for r in found.collect()}
+    assert share[1] == pytest.approx(193 / 993) and share[2] == pytest.approx(65 / 93)
