@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import Bitmap, hash_strings, mix64, powers, saved, slices, small_side
 
 WINDOW = 8
-LEAST_WORDS = 5
+LEAST_WORDS = 5  # of a template; shorter items are looked up by their words alone
+LEAST_LITERALS = 3  # of an item whose windows are mostly placeholders
 LEAST_SHARE = 0.25
 LEAST_RUN = 50  # covered words of an item, in a stretch without a gap of a window, that are a leak at any share
 CONTRADICTED_SHARE = 2 / 3  # asked of a copy whose slots contradict each other
@@ -32,6 +33,7 @@ UNITS = frozenset(
     degree degrees percent dollar dollars euro euros cent cents mph kph kmh kb mb gb tb""".split()
 )
 LITERAL, NUM, NAME, UNIT, NUM_UNIT = range(5)
+PLAIN, TEMPLATE, SPARSE = range(3)
 MARKS = {NUM: "\x00number", NAME: "\x00name", UNIT: "\x00unit", NUM_UNIT: "\x00number unit"}
 
 
@@ -71,23 +73,25 @@ class Templates:
         self.kind[(self.kind == UNIT) & ~after_number] = LITERAL
         self.template = np.where(self.kind == LITERAL, self.plain, marks[self.kind])
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First words of all runs of ``size`` words in one text, and their hashes.
+    def windows(self, size: int, form: int = PLAIN) -> tuple[np.ndarray, np.ndarray]:
+        """First words of all runs of ``size`` words in one text that have the form, and their hashes.
 
-        A run with fewer literal words than placeholders says too little as a template and is hashed as it is.
+        Every run is ``PLAIN``: hashed by its words without case.  As templates are hashed those with at least as
+        many literal words as placeholders (``TEMPLATE``), and those with a quarter of literal words (``SPARSE``).
         """
         n = len(self.row)
         first = np.arange(max(0, n - size + 1))
         first = first[self.row[first] == self.row[first + size - 1]]
-        literal = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
+        if form != PLAIN:
+            literal = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
+            literal = literal[first + size] - literal[first]
+            enough = 2 * literal >= size
+            first = first[enough if form == TEMPLATE else ~enough & (4 * literal >= size)]
+        values = self.plain if form == PLAIN else self.template
         power, back = powers(BASE, n + 1), powers(pow(BASE, -1, 1 << 64), n + 1)
-
-        def of(values: np.ndarray) -> np.ndarray:
-            total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(values) * power[:n], dtype=np.uint64)])
-            return (total[first + size] - total[first]) * back[first]
-
-        enough = 2 * (literal[first + size] - literal[first]) >= size
-        value = np.where(enough, of(self.template), mix64(of(self.plain) + np.uint64(1)))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(values) * power[:n], dtype=np.uint64)])
+        value = (total[first + size] - total[first]) * back[first]
+        value = mix64(value + np.uint64(1)) if form == PLAIN else value
         return first, mix64(value + np.uint64(size)).view(np.int64)
 
     def slots(self, first: int, size: int) -> list[str]:
@@ -104,36 +108,44 @@ def _windows(
             key = piece.column("k")
             found = Templates(piece.column("text"))
             counts = np.bincount(found.row, minlength=piece.num_rows)
+            literals = np.bincount(found.row, found.kind == LITERAL, minlength=piece.num_rows).astype(np.int64)
             start = np.cumsum(counts) - counts
-            for size in sizes:
-                first, value = found.windows(size)
+            for size, form in ((s, f) for s in sizes for f in (PLAIN, TEMPLATE, SPARSE) if f == PLAIN or s >= LEAST_WORDS):
+                first, value = found.windows(size, form)
                 keep = np.arange(len(first)) if known is None else np.flatnonzero(known.hits(value))
                 if known is None and size < WINDOW:
                     keep = keep[counts[found.row[first]] == size]
+                if known is None and form == SPARSE:
+                    keep = keep[literals[found.row[first[keep]]] >= LEAST_LITERALS]
                 first, value = first[keep], value[keep]
                 if len(first):
                     owner = found.row[first]
+                    slots = [[] if form == PLAIN else found.slots(f, size) for f in first.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [
                             key.take(pa.array(owner)),
                             pa.array(first - start[owner]),
                             pa.array(np.full(len(first), size)),
+                            pa.array(np.full(len(first), form)),
                             pa.array(value),
-                            pa.array([found.slots(f, size) for f in first.tolist()], pa.list_(pa.string())),
+                            pa.array(slots, pa.list_(pa.string())),
                             pa.array(counts[owner]),
                         ],
-                        ["k", "at", "size", "h", "slots", "n_words"],
+                        ["k", "at", "size", "form", "h", "slots", "n_words"],
                     )
 
 
-SCHEMA = "k long, at long, size long, h long, slots array<string>, n_words long"
+SCHEMA = "k long, at long, size long, form long, h long, slots array<string>, n_words long"
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds: doc_id, item_id, n_windows, share, exact.
 
     Every window of ``WINDOW`` words of an item is looked up in all windows of all documents; items with
-    ``LEAST_WORDS`` to ``WINDOW`` - 1 words are one window, shorter ones have none, and so have null texts.
+    fewer words are one window, null and empty ones have none.  Windows are joined by their words without case
+    and, from ``LEAST_WORDS`` words on, by their template.  Windows with more placeholders than literal words say
+    little: they count where all windows of the item that have templates lie on one diagonal without
+    contradiction, and the item has ``LEAST_LITERALS`` literal words.
     Windows that lie on one diagonal of a document and an item hold together: their slots must map one to one,
     so a renamed or renumbered item is found and a text that only shares the pattern is not.  Where slots
     contradict each other, the windows that hold them go, but those whose slots are all equal stay.  The windows
@@ -149,20 +161,27 @@ def leaks(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("k"), "text").where("k is not null").distinct()
     docs = documents.select(F.col("doc_id").cast("long").alias("k"), "text").where("k is not null")
-    sizes = list(range(LEAST_WORDS, WINDOW + 1))
+    sizes = list(range(1, WINDOW + 1))
     asked = saved(items.mapInArrow(lambda b: _windows(b, sizes, None), SCHEMA))
     used = [r["size"] for r in asked.select("size").distinct().collect()]
     known = Bitmap(asked, "h")
     seen = docs.mapInArrow(lambda b: _windows(b, sorted(used), known), SCHEMA)
-    left = asked.select("h", "size", F.col("k").alias("item_id"), F.col("at").alias("i"), F.col("slots").alias("a"), "n_words")
-    right = seen.select("h", "size", F.col("k").alias("doc_id"), F.col("at").alias("j"), F.col("slots").alias("b"))
-    met = right.join(left, ["h", "size"]).where(F.size("a") == F.size("b"))
+    # rows that share an id are one item, but each has its own number of windows
+    whole = Window.partitionBy("k", "size", "n_words")
+    asked = asked.withColumn("n_templates", F.size(F.collect_set(F.when(F.col("form") != PLAIN, F.col("at"))).over(whole)))
+    left = asked.select("h", "size", "form", "n_templates", F.col("k").alias("item_id"), F.col("at").alias("i"), F.col("slots").alias("a"), "n_words")
+    right = seen.select("h", "size", "form", F.col("k").alias("doc_id"), F.col("at").alias("j"), F.col("slots").alias("b"))
+    met = right.join(left, ["h", "size", "form"]).where(F.size("a") == F.size("b"))
     pairs = F.arrays_zip("a", "b")
     diagonal = met.groupBy("doc_id", "item_id", "size", (F.col("j") - F.col("i")).alias("diagonal")).agg(
-        F.collect_set(F.struct("i", pairs.alias("pairs"))).alias("windows"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+        F.collect_set(F.struct("i", "form", pairs.alias("pairs"))).alias("windows"),
         F.max("n_words").alias("n_words"),
+        F.max("n_templates").alias("n_templates"),
     )
+    # sparse windows speak, for or against, only where the whole item is there
+    all_there = F.size(F.array_distinct(F.expr("transform(filter(windows, w -> w.form != 0), w -> w.i)"))) == F.col("n_templates")
+    slots = F.array_distinct(F.flatten(F.expr(f"transform(filter(windows, w -> all_there OR w.form != {SPARSE}), w -> w.pairs)")))
+    diagonal = diagonal.withColumn("all_there", all_there).withColumn("pairs", slots)
     against = F.expr("filter(pairs, p -> exists(pairs, q -> (p.a = q.a) != (p.b = q.b)))")
     diagonal = diagonal.withColumn("against", against).select(
         "doc_id",
@@ -172,8 +191,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST
         (F.size("against") == 0).alias("whole"),
         F.inline(
             F.expr(
-                """transform(windows, w -> struct(w.i AS i, forall(w.pairs, p -> p.a = p.b) AS same,
-                    forall(w.pairs, p -> NOT array_contains(against, p)) AS agrees))"""
+                f"""transform(windows, w -> struct(w.i AS i, w.form = {PLAIN} AS same, CASE
+                    WHEN w.form = {SPARSE} THEN all_there AND size(against) = 0
+                    ELSE forall(w.pairs, p -> NOT array_contains(against, p)) END AS agrees))"""
             )
         ),
     )

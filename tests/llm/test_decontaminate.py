@@ -99,3 +99,28 @@ def test_long_edited_and_contradicting_copies(spark, rows):
     assert rows(found, "doc_id", "item_id", "exact") == [(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True)]
     share = {r["doc_id"]: r["share"] for r in found.collect()}
     assert share[1] == pytest.approx(193 / 993) and share[2] == pytest.approx(65 / 93)
+
+
+def test_dense_slots_other_case_and_short_items(spark, rows):
+    title = "Der Kleine Prinz Und Die Rose Auf Dem Fernen Planeten Im All"
+    drill = "What is 345 times 27 minus 18?"
+    long = "Then Anna paid 5 and Bernd paid 7 and Carla paid 9 for 3 Pizzas"
+    listed = "Alice Bob Carol 12 13 14 15 16 17"
+    bench = items(spark, [(1, drill), (2, title), (3, "four words only here"), (4, long), (5, listed), (6, "Bonjour!"), (7, "")])
+    data = [
+        (1, "so now tell me: What is 512 times 43 minus 99? It is not hard."),
+        (2, "we read DER KLEINE PRINZ UND DIE ROSE AUF DEM FERNEN PLANETEN IM ALL yesterday"),
+        (3, "we read der kleine prinz und die rose auf dem fernen planeten im all yesterday"),
+        (4, "there are Four Words, only here."),
+        (5, "it went on. Then Dora paid 50 and Emil paid 70 and Frida paid 90 for 30 Cakes"),
+        (6, "it went on. Then Dora paid 50 and Dora paid 70 and Frida paid 90 for 30 Cakes"),
+        (7, "a table: Xaver Yvonne Zoe 91 92 93 94 95 96 and so on"),
+        (8, "a table: ALICE BOB CAROL 12 13 14 15 16 17 and so on"),
+        (9, "What is 512 times 512 minus 99?"),
+        (10, "What is 345 times 27 plus 18?"),
+        (11, "He said bonjour and left"),
+        (12, "only four words here"),
+    ]
+    found = rows(decontaminate.leaks(docs(spark, data), bench), "doc_id", "item_id", "exact")
+    expected = [(1, 1, False), (2, 2, True), (3, 2, True), (4, 3, True), (5, 4, False), (8, 5, True), (11, 6, True)]
+    assert found == sorted(expected, key=repr)
