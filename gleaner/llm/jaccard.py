@@ -290,6 +290,47 @@ def compare_blocks(table: pa.Table, rule: Similarity) -> pa.Table:
     return pa.table({"cluster": pa.array(found_a, pa.int64()), "node": pa.array(found_b, pa.int64())})
 
 
+def _all_links(table: pa.Table, rule: Similarity, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of all linked pairs between two blocks (or inside one), each pair once.
+
+    The payloads' first ``skip`` bytes are not part of the sets.
+    """
+    node, left = table.column("node").to_numpy(), table.column("left").to_numpy()
+    sets = [np.frombuffer(x, np.uint64, offset=skip) for x in table.column("payload").to_pylist()]
+    size, bits = np.array([len(x) for x in sets]), signatures(sets)
+    found_a, found_b = [], []
+    second = np.flatnonzero(table.column("right").to_numpy())
+    for i in np.flatnonzero(left):
+        near = second[may_link(bits[i], size[i], bits[second], size[second], rule)]
+        for j in near[~left[near] | (node[near] > node[i])]:  # inside a block every pair would come twice
+            if rule.linked(_common(sets[i], sets[j]), size[i] + size[j]):
+                found_a.append(i)
+                found_b.append(j)
+    return np.array(found_a, np.int64), np.array(found_b, np.int64)
+
+
+def compare_all(table: pa.Table, rule: Similarity) -> pa.Table:
+    """All linked pairs between two blocks of sets (or inside one): cluster (a), node (b)."""
+    node = table.column("node").to_numpy()
+    a, b = _all_links(table, rule)
+    return pa.table({"cluster": pa.array(node[a], pa.int64()), "node": pa.array(node[b], pa.int64())})
+
+
+def count_links(table: pa.Table, rule: Similarity) -> pa.Table:
+    """Copies of the sets that each set of two blocks (or of one) links with: cluster (the set), node (their number).
+
+    The payloads begin with the number of copies, eight bytes, the highest first.
+    """
+    node = table.column("node").to_numpy()
+    copies = np.array([int.from_bytes(x[:8], "big") for x in table.column("payload").to_pylist()], np.int64)
+    a, b = _all_links(table, rule, 8)
+    total = np.zeros(len(node), np.int64)
+    np.add.at(total, a, copies[b])
+    np.add.at(total, b, copies[a])
+    some = total > 0
+    return pa.table({"cluster": pa.array(node[some], pa.int64()), "node": pa.array(total[some], pa.int64())})
+
+
 def _in_blocks(
     members: DataFrame,
     payloads: DataFrame,
@@ -345,19 +386,8 @@ def _in_blocks(
     return dealt.join(payloads, "node").groupBy("pair").applyInArrow(lambda t: compare(t, rule), "cluster long, node long")
 
 
-def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataFrame:
-    """Links a, b between set hashes that join the same sets as all links of the similarity do.
-
-    1. The tile keys of all sets are sorted and packed in the tasks; keys that occur more than once are found by
-       key range, and the sets are asked again for the tiles behind them.
-    2. The sets that meet the least set of a tile (its head) in any tile are its cluster: sets that share a tile
-       share a cluster. In the tasks, bucket counts bound which pairs of a cluster may link; out come only pairs
-       that join two groups.
-    3. The groups of sets that these pairs join are compared in the tasks, block by block, by bit counts and
-       sorted arrays; again only links that join two groups come out.
-    So no link between sets that are not joined otherwise is lost, and groups of near copies do not become rows
-    of all their pairs.
-    """
+def _groups(documents: DataFrame, described: DataFrame, rule: Similarity) -> tuple[DataFrame, DataFrame]:
+    """Groups of sets that hold all links, as members of clusters, and the sets' contents: steps 1 and 2 of ``links``."""
     figures = described.agg(F.max("n_shingles").alias("largest"), F.sum("n_shingles").alias("total")).first()
     bands = rule.bands(figures["largest"] or 0)
     total = max(1, int(figures["total"] or 0))
@@ -381,11 +411,28 @@ def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataF
     contents = documents.mapInArrow(lambda b: _contents(b, rule.n, asked), "node long, payload binary")
     contents = saved(contents.join(groups, "node", "left_semi").dropDuplicates(["node"]))
     members = groups.join(sizes, "node").select(F.col("label").alias("cluster"), "node", F.col("node").alias("label"), "size")
-    found = _in_blocks(saved(members), contents, 8 * F.col("size"), rule, compare_blocks)
+    return saved(members), contents
+
+
+def links(documents: DataFrame, described: DataFrame, rule: Similarity) -> DataFrame:
+    """Links a, b between set hashes that join the same sets as all links of the similarity do.
+
+    1. The tile keys of all sets are sorted and packed in the tasks; keys that occur more than once are found by
+       key range, and the sets are asked again for the tiles behind them.
+    2. The sets that meet the least set of a tile (its head) in any tile are its cluster: sets that share a tile
+       share a cluster. In the tasks, bucket counts bound which pairs of a cluster may link; out come only pairs
+       that join two groups.
+    3. The groups of sets that these pairs join are compared in the tasks, block by block, by bit counts and
+       sorted arrays; again only links that join two groups come out.
+    So no link between sets that are not joined otherwise is lost, and groups of near copies do not become rows
+    of all their pairs.
+    """
+    members, contents = _groups(documents, described, rule)
+    found = _in_blocks(members, contents, 8 * F.col("size"), rule, compare_blocks)
     return found.select(F.col("cluster").alias("a"), F.col("node").alias("b"))
 
 
-def _labelled(df: DataFrame, rule: Similarity, id_column: str) -> DataFrame:
+def _described(df: DataFrame, rule: Similarity, id_column: str) -> tuple[DataFrame, DataFrame]:
     documents = df.select(F.col(id_column).cast("long").alias("doc_id"), "text")
     hashed = documents.withColumn("text_hash", F.xxhash64("text"))
     described = saved(
@@ -394,6 +441,11 @@ def _labelled(df: DataFrame, rule: Similarity, id_column: str) -> DataFrame:
             "doc_id long, text_hash long, n_shingles long, node long, sketch binary",
         )
     )
+    return documents, described
+
+
+def _labelled(df: DataFrame, rule: Similarity, id_column: str) -> DataFrame:
+    documents, described = _described(df, rule, id_column)
     nodes = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     labels = components(links(documents, described, rule))
     grouped = nodes.join(labels, "node", "left").select("node", "first_id", F.coalesce("label", "node").alias("label"))
@@ -429,3 +481,41 @@ def keep_first(df: DataFrame, rule: Similarity = Similarity(), id_column: str =
     gone = saved(found.select(F.col("doc_id").alias("gone_"), F.col("text_hash").alias("hash_")).distinct())
     same = (df[id_column].cast("long") == gone["gone_"]) & (F.xxhash64(df["text"]) == gone["hash_"])
     return df.join(small_side(gone), same, "left_anti")
+
+
+def similar_pairs(df: DataFrame, rule: Similarity = Similarity(), id_column: str = "doc_id") -> DataFrame:
+    """The join itself: all pairs of different sets that ``rule`` links, each once, as doc_a < doc_b.
+
+    A set goes by the smallest id of its rows (null if they have none, then as doc_b), so copies do not multiply
+    the pairs.
+    """
+    documents, described = _described(df, rule, id_column)
+    members, contents = _groups(documents, described, rule)
+    found = _in_blocks(members, contents, 8 * F.col("size"), rule, compare_all)
+    names = saved(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id")))
+    one = names.withColumnsRenamed({"node": "cluster", "first_id": "a"})
+    named = found.join(one, "cluster").join(names, "node")
+    a, b = F.col("a"), F.col("first_id")
+    turned = a.isNull() | (b < a)
+    return named.select(
+        F.when(turned, b).otherwise(a).alias("doc_a"), F.when(turned, a).otherwise(b).alias("doc_b")
+    )
+
+
+def link_counts(df: DataFrame, rule: Similarity = Similarity(), id_column: str = "doc_id") -> DataFrame:
+    """One row per row of ``df``: doc_id, n_shingles, n_links.
+
+    n_links is the number of other rows with an equal set or one that ``rule`` links; the empty set has none.
+    Partners are counted in the tasks, weighted by their copies: no pair becomes a row.
+    """
+    documents, described = _described(df, rule, id_column)
+    members, contents = _groups(documents, described, rule)
+    copies = saved(described.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies")))
+    head = F.unhex(F.lpad(F.hex("copies"), 16, "0"))
+    weighted = contents.join(copies, "node").select("node", F.concat(head, "payload").alias("payload"))
+    found = _in_blocks(members, saved(weighted), 8 * F.col("size"), rule, count_links)
+    linked = found.groupBy(F.col("cluster").alias("node")).agg(F.sum("node").alias("linked"))
+    of_node = copies.join(linked, "node", "left")
+    of_node = of_node.select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    joined = described.join(of_node, "node", "left")
+    return joined.select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -173,3 +173,22 @@ def test_links_that_come_out_differently_each_time(spark):
         F.col("id").alias("a"), F.when(F.rand() < 0.5, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("b")
     ).union(spark.createDataFrame([(0, 1)], "a long, b long"))
     assert {r["label"] for r in components(pairs).collect()} == {0}
+
+
+@pytest.mark.parametrize("block", [jaccard.BLOCK_ROWS, 5])
+def test_all_links_are_joined_and_counted(spark, rows, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
+    rule = jaccard.Similarity(3, 80, 100)
+    data = corpus(11, groups=6, copies=9)
+    data += [(1001, None), (1002, ""), (1004, "One"), (1005, "one"), (1005, "one"), (None, "one"), (1006, data[0][1])]
+    sets = [word_set(t, rule.n) for _, t in data]
+    linked = lambda a, b: rule.parts * len(a & b) >= rule.share * len(a | b)
+    counts = [(d, len(a), sum(bool(a) and linked(a, b) for b in sets) - bool(a)) for (d, _), a in zip(data, sets)]
+    first = {}
+    for (d, _), a in zip(data, sets):
+        first[a] = min(first.get(a, 1 << 60), 1 << 60 if d is None else d)
+    pairs = {(x, y) for a, x in first.items() for b, y in first.items() if x < y and a and b and linked(a, b)}
+    assert len(pairs) > len(first)  # many more than join the groups
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(jaccard.link_counts(df, rule), "doc_id", "n_shingles", "n_links") == sorted(counts, key=repr)
+    assert rows(jaccard.similar_pairs(df, rule), "doc_a", "doc_b") == sorted(pairs, key=repr)
