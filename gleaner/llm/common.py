@@ -33,6 +33,11 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+def finite_vector(x: Column) -> Column:
+    """Whether an array of doubles holds neither nulls nor non-finite components; null for a null array."""
+    return F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice holds much more than ``max_bytes`` of text; one long text is one slice."""
     if not batch.num_rows:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gleaner.llm import (
     context_mixing,
     decontaminate,
+    hard_negatives,
     jaccard,
     language,
     mixing,
@@ -19,6 +20,7 @@ from gleaner.llm import (
     token_counts,
     url_filter,
     vector_search,
+    whitening,
 )
 from gleaner.llm.common import fold
 
@@ -144,6 +146,18 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    rows = hard_negatives.integer_rows(embeddings, "vec_id", "embedding", "label")
+    return hard_negatives.mine(rows, rows.where("id % 100 = 0"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.integer_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -157,6 +171,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_vector_search,
         op9_quality,
         op10_context_mixing,
+        op11_hard_negatives,
+        op13_whitening,
     )
 }
 
@@ -179,6 +195,31 @@ WITH vectors AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+ORACLE["op11_hard_negatives"] = """
+WITH vectors AS (
+    SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM vectors a JOIN vectors c ON c.vec_id <> a.vec_id AND len(c.v) = len(a.v)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n
+  ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE["op4_jaccard_join"] = r"""
 WITH RECURSIVE docs AS (
     SELECT doc_id, regexp_extract_all(
