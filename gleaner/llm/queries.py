@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import (
@@ -16,6 +16,7 @@ from gleaner.llm import (
     language,
     mixing,
     quality,
+    secrets,
     sentences,
     token_counts,
     url_filter,
@@ -153,6 +154,22 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, rows.where("id % 100 = 0"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(documents, secrets.train(documents))
+    kinds = F.col("base_spans")["kind"]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(kinds, lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(secrets.digest("base_spans"), 256).alias("base_sha256"),
+        secrets.digest("spans").alias("spans"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.integer_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return whitening.whiten(rows, whitening.fit(rows))
@@ -172,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_context_mixing,
         op11_hard_negatives,
+        op12_secret_scan,
         op13_whitening,
     )
 }
