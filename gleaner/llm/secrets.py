@@ -21,6 +21,9 @@ ASSIGN = re.compile(
 ASSIGN_LEAST = 12
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
+ASSIGN_HINTS = ("password", "passwd", "secret", "token", "api")
+HEX_MAP = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
+HEX_RUN = b"x" * 16
 KINDS = ("assign", "access", "hex", "crf")
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
@@ -31,8 +34,8 @@ BUCKETS = 1 << 12
 ROUNDS = 40
 RATE = 0.15
 DECAY = 1e-3
-# Documents of the training sample with and without a base span, and tokens of a training window.
-SAMPLE_PER_KIND = 1000
+# Documents of the training sample, and tokens of a training window.
+SAMPLE = 2000
 WINDOW = 64
 CAUTION = 3.0
 # Characters that the field reads at once.
@@ -69,10 +72,14 @@ SPAN_FIELDS = (("kind", StringType), ("start", IntegerType), ("end", IntegerType
 
 def base_spans(text: str) -> list[Span]:
     """``(start, kind, end)`` of the base kinds in code points, by start and kind."""
-    found = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST]
-    found += [(m.start(), "access", m.end()) for m in ACCESS.finditer(text)]
+    found: list[Span] = []
+    low = text.lower()
+    if any(name in low for name in ASSIGN_HINTS):
+        found += [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST]
     # A run shorter than its least length holds no longer one, so the length may stand in the pattern.
-    found += [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
+    found += [(m.start(), "access", m.end()) for m in ACCESS.finditer(text)]
+    if HEX_RUN in text.encode().translate(HEX_MAP):
+        found += [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
@@ -146,7 +153,7 @@ class Tokens:
         return first
 
     def _sum(self, flag: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flag, dtype=np.int64)])
+        total = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
         return total[self.end] - total[self.start]
 
     def _words(self) -> tuple[np.ndarray, np.ndarray]:
@@ -246,25 +253,11 @@ class Tokens:
 
 
 def emissions(dense: np.ndarray, hashed: np.ndarray, model: dict[str, np.ndarray]) -> np.ndarray:
-    out = dense @ model["dense"]
+    out = dense @ model["dense"].astype(np.float32)
+    table = model["hashed"].astype(np.float32)
     for k in range(HASHED):
-        out += model["hashed"][hashed[:, k]]
-    return out
-
-
-def _steps(emission: np.ndarray, count: np.ndarray, transition: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Score matrices of the steps cut into lanes of one text, the steps missing in a lane being neutral."""
-    lanes = -(-count // LANE)
-    owner = np.repeat(np.arange(len(count)), count)
-    first = np.cumsum(count) - count
-    place = np.arange(len(emission)) - first[owner]
-    lane = (np.cumsum(lanes) - lanes)[owner] + place // LANE
-    neutral = np.where(np.eye(TAGS, dtype=bool), 0.0, NEVER)
-    step = np.broadcast_to(neutral, (int(lanes.sum()), LANE, TAGS, TAGS)).copy()
-    step[lane, place % LANE] = transition + emission[:, None, :]
-    opening = first[count > 0]
-    step[lane[opening], 0] = start + emission[opening][:, None, :]
-    return step, lanes, lane, place % LANE
+        out += table.take(hashed[:, k], axis=0)
+    return out.astype(np.float64)
 
 
 def viterbi(emission: np.ndarray, count: np.ndarray, transition: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -276,37 +269,62 @@ def viterbi(emission: np.ndarray, count: np.ndarray, transition: np.ndarray, sta
     """
     if not len(emission):
         return np.zeros(0, np.int8)
-    step, lanes, lane, place = _steps(emission, count, transition, start)
-    n = len(step)
-    reach = np.broadcast_to(np.where(np.eye(TAGS, dtype=bool), 0.0, NEVER), (n, TAGS, TAGS)).copy()
-    came = np.zeros((n, LANE, TAGS, TAGS), np.int8)  # entering tag, tag now: tag before
-    for t in range(LANE):
-        through = reach[:, :, :, None] + step[:, t, None, :, :]
-        came[:, t] = through.argmax(axis=2)
-        reach = through.max(axis=2)
-    # chain the lanes of each text; the k-th lanes of all texts go together
+    lanes = -(-count // LANE)
     head = np.cumsum(lanes) - lanes
-    order = np.argsort(-lanes, kind="stable")
-    live = np.searchsorted(-lanes[order], -np.arange(int(lanes.max())), side="left")
+    n = int(lanes.sum())
+    owner = np.repeat(np.arange(len(count)), lanes)
+    nth = np.arange(n) - head[owner]
+    length = np.minimum(count[owner] - nth * LANE, LANE)
+    token = (np.cumsum(count) - count)[owner] + nth * LANE
+    # longest lanes first: at each step those still going on are the first ones
+    order = np.argsort(-length, kind="stable")
+    slot = np.empty(n, np.int64)
+    slot[order] = np.arange(n)
+    going = np.searchsorted(-length[order], -np.arange(LANE), side="left")
+    at = token[order]
+    reach = np.empty((TAGS, TAGS, n))  # tag now, tag before the lane
+    opening = nth[order] == 0
+    for j in range(TAGS):
+        for i in range(TAGS):
+            reach[j, i] = np.where(opening, start[j], transition[i, j]) + emission[at, j]
+    came = np.zeros((LANE, TAGS, TAGS, n), np.int8)
+    for t in range(1, LANE):
+        m = going[t]
+        now = []
+        for j in range(TAGS):
+            best, tag = reach[0, :, :m] + transition[0, j], came[t, j, :, :m]
+            for k in range(1, TAGS):
+                through = reach[k, :, :m] + transition[k, j]
+                tag[through > best] = k
+                best = np.maximum(best, through)
+            now.append(best + emission[at[:m] + t, j])
+        for j in range(TAGS):
+            reach[j, :, :m] = now[j]
+    # chain the lanes of each text; the k-th lanes of all texts go together
+    by_length = np.argsort(-lanes, kind="stable")
+    live = np.searchsorted(-lanes[by_length], -np.arange(int(lanes.max())), side="left")
     value, entered = np.zeros((len(lanes), TAGS)), np.zeros((n, TAGS), np.int8)
     for k, m in enumerate(live):
-        texts = order[:m]
-        through = value[texts][:, :, None] + reach[head[texts] + k]
-        entered[head[texts] + k] = through.argmax(axis=1)
+        texts = by_length[:m]
+        lane = slot[head[texts] + k]
+        through = value[texts][:, :, None] + reach[:, :, lane].transpose(2, 1, 0)
+        entered[lane] = through.argmax(axis=1)
         value[texts] = through.max(axis=1)
     tag = value.argmax(axis=1).astype(np.int8)
-    leaves, enters = np.zeros(n, np.int8), np.zeros(n, np.int8)
+    now, enters = np.zeros(n, np.int8), np.zeros(n, np.int8)
     for k in range(len(live) - 1, -1, -1):
-        texts = order[: live[k]]
-        at = head[texts] + k
-        leaves[at] = tag[texts]
-        enters[at] = entered[at, tag[texts]]
-        tag[texts] = enters[at]
-    path, now, every = np.zeros((n, LANE), np.int8), leaves, np.arange(n)
+        texts = by_length[: live[k]]
+        lane = slot[head[texts] + k]
+        now[lane] = tag[texts]
+        enters[lane] = entered[lane, tag[texts]]
+        tag[texts] = enters[lane]
+    out, every = np.zeros(len(emission), np.int8), np.arange(n)
     for t in range(LANE - 1, -1, -1):
-        path[:, t] = now
-        now = came[every, t, enters, now]
-    return path[lane, place]
+        m = going[t]
+        out[at[:m] + t] = now[:m]
+        if t:
+            now[:m] = came[t, now[:m], enters[:m], every[:m]]
+    return out
 
 
 def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
@@ -388,17 +406,14 @@ def _windows(text: str, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         yield dense[at : at + WINDOW], hashed[at : at + WINDOW], y[at : at + WINDOW]
 
 
-def sample(documents: DataFrame, per_kind: int = SAMPLE_PER_KIND) -> DataFrame:
-    """At most ``per_kind`` different texts with something like a base span and as many without, the least by hash.
+def sample(documents: DataFrame, most: int = SAMPLE) -> DataFrame:
+    """At most ``most`` different texts, those of the least hashes.
 
     Null texts are left out.  Copies of a text, of whatever id, are one.
     """
-    hinted = F.col("text").rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{14}|[0-9a-f]{16}")
-    rows = documents.where("text is not null").select(F.xxhash64("text").alias("h"), hinted.alias("hinted"))
-    few = [rows.where(F.col("hinted") == h).select("h").distinct().orderBy("h").limit(per_kind) for h in (True, False)]
-    wanted = few[0].union(few[1])  # at most two times per_kind hashes are broadcast, so no other text is shuffled
-    kept = documents.select("text", F.xxhash64("text").alias("h")).join(F.broadcast(wanted), "h", "left_semi")
-    return kept.groupBy("h").agg(F.min("text").alias("text"))
+    hashed = documents.where("text is not null").select("text", F.xxhash64("text").alias("h"))
+    wanted = hashed.select("h").distinct().orderBy("h").limit(most)  # bounded, so no other text is shuffled
+    return hashed.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
 
 
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,7 +435,7 @@ def blank() -> dict[str, np.ndarray]:
     return {"dense": np.zeros((DENSE, TAGS)), "hashed": np.zeros((HASHED * BUCKETS, TAGS)), "transition": transition, "start": start}
 
 
-def train(documents: DataFrame, per_kind: int = SAMPLE_PER_KIND, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+def train(documents: DataFrame, most: int = SAMPLE, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Fit the field by maximum likelihood on windows of a bounded sample of ``documents`` (a column text).
 
     What the base kinds hold to be secret is tagged in each sampled text; two more versions of it carry an invented
@@ -428,7 +443,7 @@ def train(documents: DataFrame, per_kind: int = SAMPLE_PER_KIND, rounds: int = R
     are left to the base kinds.  Gradients are summed by task; a round moves all weights once.  Without texts of at
     least 64 tokens the blank model comes out.
     """
-    stored = saved(sample(documents, per_kind).mapInArrow(_prepared, "dense binary, hashed binary, y binary").repartition(8))
+    stored = saved(sample(documents, most).mapInArrow(_prepared, "dense binary, hashed binary, y binary").repartition(8))
     model = blank()
     shapes = {k: model[k].shape for k in ("dense", "hashed", "transition", "start")}
     sizes = [int(np.prod(s)) for s in shapes.values()]

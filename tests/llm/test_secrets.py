@@ -137,7 +137,7 @@ def prose(dice, n):
 def model(spark):
     dice = random.Random(2)
     texts = [(prose(dice, 120) + f' token = "{dice.getrandbits(160):040x}" ' * (i % 4 == 0) + prose(dice, 60),) for i in range(400)]
-    return s.train(spark.createDataFrame(texts, "text string"), per_kind=100, rounds=30)
+    return s.train(spark.createDataFrame(texts, "text string"), most=200, rounds=30)
 
 
 def test_finds_held_out_secrets(model):
