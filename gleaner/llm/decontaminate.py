@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Bitmap, hash_strings, mix64, powers, saved, slices, small_side
+from gleaner.llm.common import Bitmap, hash_strings, lean, mix64, powers, saved, slices, small_side
 
 WINDOW = 8
 LEAST_WORDS = 5  # of a template; shorter items are looked up by their words alone
@@ -162,10 +162,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     items = benchmark.select(F.col("item_id").cast("long").alias("k"), "text").where("k is not null").distinct()
     docs = documents.select(F.col("doc_id").cast("long").alias("k"), "text").where("k is not null")
     sizes = list(range(1, WINDOW + 1))
-    asked = saved(items.mapInArrow(lambda b: _windows(b, sizes, None), SCHEMA))
+    asked = saved(items.mapInArrow(lean(lambda b: _windows(b, sizes, None)), SCHEMA))
     used = [r["size"] for r in asked.select("size").distinct().collect()]
     known = Bitmap(asked, "h")
-    seen = docs.mapInArrow(lambda b: _windows(b, sorted(used), known), SCHEMA)
+    seen = docs.mapInArrow(lean(lambda b: _windows(b, sorted(used), known)), SCHEMA)
     # rows that share an id are one item, but each has its own number of windows
     whole = Window.partitionBy("k", "size", "n_words")
     asked = asked.withColumn("n_templates", F.size(F.collect_set(F.when(F.col("form") != PLAIN, F.col("at"))).over(whole)))

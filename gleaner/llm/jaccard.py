@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Bitmap, hash_strings, mix64, saved, shingle_hashes, slices, small_side, words
+from gleaner.llm.common import Bitmap, hash_strings, lean, mix64, saved, shingle_hashes, slices, small_side, words
 from gleaner.llm.components import components
 
 BLOCK_ROWS = 1024
@@ -393,10 +393,10 @@ def _groups(documents: DataFrame, described: DataFrame, rule: Similarity) -> tup
     total = max(1, int(figures["total"] or 0))
     bits = min(62, total.bit_length() + 11)
     bucket_bits = (total // PACKED_KEYS).bit_length()
-    packed = documents.mapInArrow(lambda b: _packed_keys(b, rule, bands, bits, bucket_bits), "bucket long, data binary")
+    packed = documents.mapInArrow(lean(lambda b: _packed_keys(b, rule, bands, bits, bucket_bits)), "bucket long, data binary")
     repeated = saved(packed.groupBy("bucket").applyInArrow(_repeated_keys, "key long"))
     known = Bitmap(repeated, "key")
-    tiles = saved(documents.mapInArrow(lambda b: _tiles(b, rule, bands, bits, known), "key long, node long"))
+    tiles = saved(documents.mapInArrow(lean(lambda b: _tiles(b, rule, bands, bits, known)), "key long, node long"))
     shared = tiles.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head != tail")
     met = saved(tiles.join(shared, "key").select(F.col("head").alias("cluster"), "node").distinct())
     sketches = described.select("node", F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
@@ -408,7 +408,7 @@ def _groups(documents: DataFrame, described: DataFrame, rule: Similarity) -> tup
     groups = saved(components(near.select(F.col("cluster").alias("a"), F.col("node").alias("b"))))
 
     asked = Bitmap(groups, "node")
-    contents = documents.mapInArrow(lambda b: _contents(b, rule.n, asked), "node long, payload binary")
+    contents = documents.mapInArrow(lean(lambda b: _contents(b, rule.n, asked)), "node long, payload binary")
     contents = saved(contents.join(groups, "node", "left_semi").dropDuplicates(["node"]))
     members = groups.join(sizes, "node").select(F.col("label").alias("cluster"), "node", F.col("node").alias("label"), "size")
     return saved(members), contents
@@ -437,7 +437,7 @@ def _described(df: DataFrame, rule: Similarity, id_column: str) -> tuple[DataFra
     hashed = documents.withColumn("text_hash", F.xxhash64("text"))
     described = saved(
         hashed.mapInArrow(
-            lambda b: _describe(b, rule.n),
+            lean(lambda b: _describe(b, rule.n)),
             "doc_id long, text_hash long, n_shingles long, node long, sketch binary",
         )
     )

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import slices
+from gleaner.llm.common import lean, slices
 
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_TEXT_BYTES = 16 << 10
@@ -124,6 +124,6 @@ def identify(df: DataFrame, content: dict[str, bytes], text: str = "text", narro
                     schema.fieldNames(),
                 )
 
-    return df.toDF(*names).mapInArrow(classify, schema).toDF(
+    return df.toDF(*names).mapInArrow(lean(classify), schema).toDF(
         *df.columns, "lang_pred", "lang_score", "lang_margin", "lang_rejected"
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from gleaner.llm.common import mix64, powers, saved, slices
+from gleaner.llm.common import lean, mix64, powers, saved, slices
 
 # The patterns of the base kinds, and the least length of what counts.
 ASSIGN = re.compile(
@@ -571,7 +571,7 @@ def scan(df: DataFrame, model: dict[str, np.ndarray], text: str = "text", cautio
                 extra = [pa.array([rows(f[k]) for f in found], arrow) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*piece.columns, *extra], schema.fieldNames())
 
-    return df.toDF(*names).mapInArrow(find, schema).toDF(*df.columns, "base_spans", "spans")
+    return df.toDF(*names).mapInArrow(lean(find), schema).toDF(*df.columns, "base_spans", "spans")
 
 
 def digest(spans: str) -> Column:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Bitmap, mix64, powers, saved, slices
+from gleaner.llm.common import Bitmap, lean, mix64, powers, saved, slices
 
 SPAN_WORDS = 20
 LAST = (1 << 63) - 1
@@ -194,7 +194,7 @@ def remove_repeats(df: DataFrame, least: int = SPAN_WORDS) -> DataFrame:
     """
     df = df.drop("n_sentences", "n_removed")
     source = _documents(df)
-    counted = source.mapInArrow(lambda b: _first_places(b, least), "h1 long, h2 long, low long, high long")
+    counted = source.mapInArrow(lean(lambda b: _first_places(b, least)), "h1 long, h2 long, low long, high long")
     repeated = saved(
         counted.groupBy("h1", "h2")
         .agg(F.min("low").alias("origin"), F.max("high").alias("high"))
@@ -203,7 +203,7 @@ def remove_repeats(df: DataFrame, least: int = SPAN_WORDS) -> DataFrame:
     )
     known = Bitmap(repeated, "h1")
     spans = source.mapInArrow(
-        lambda b: _repeated_spans(b, least, known),
+        lean(lambda b: _repeated_spans(b, least, known)),
         "h1 long, h2 long, k long, t long, first long, last long, local boolean",
     )
     covered = (
@@ -221,4 +221,4 @@ def remove_repeats(df: DataFrame, least: int = SPAN_WORDS) -> DataFrame:
         covered, (own == F.col("k_")) & (F.xxhash64(text) == F.col("t_")), "left"
     ).drop("k_", "t_")
     schema = plain.schema.add("n", "integer").add("r", "integer")
-    return joined.mapInArrow(lambda b: _remove(b, names, text), schema).toDF(*df.columns, "n_sentences", "n_removed")
+    return joined.mapInArrow(lean(lambda b: _remove(b, names, text)), schema).toDF(*df.columns, "n_sentences", "n_removed")
