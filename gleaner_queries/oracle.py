@@ -99,11 +99,11 @@ def chunks_recursive(size: int, overlap: int, name: str = "chunks", rows: str =
 def index(rows: str = "rows", cut=tokens) -> str:
     """Postings, term weights and corpus statistics of a ``rows(chunk_id, text)`` table."""
     return f"""words AS (SELECT chunk_id, unnest({cut('text')}) AS term FROM {rows}),
-post AS (SELECT chunk_id, term, count(*) AS tf FROM words GROUP BY ALL),
+post AS MATERIALIZED (SELECT chunk_id, term, count(*) AS tf FROM words GROUP BY ALL),
 lens AS (SELECT chunk_id, len({cut('text')}) AS dl FROM {rows}),
 stat AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM lens),
 freq AS (SELECT term, count(*) AS df FROM post GROUP BY term),
-raw AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS idf0 FROM freq, stat),
+raw AS MATERIALIZED (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS idf0 FROM freq, stat),
 weights AS (SELECT term, df, CASE WHEN idf0 < 0 THEN 0.25 * (SELECT avg(idf0) FROM raw) ELSE idf0 END AS idf
             FROM raw)"""
 
@@ -246,7 +246,20 @@ GENERATED = f"""{CONTEXT}, generated AS (
 
 DOC_CHUNKS_1000 = f"{chunks_fixed(1000, 100)}, {QUERIES}, {index('chunks')}, {scores()}"
 
+SHORT_QUERIES = """asked AS (
+  SELECT item_id AS query_id, array_to_string(string_split(text, ' ')[3:5], ' ') AS query FROM benchmark)"""
+LIVE_CHUNKS = chunks_fixed(1000, 100).replace("FROM documents WHERE", "FROM documents WHERE doc_id % 50 <> 7 AND")
+REFRESHED = f"{LIVE_CHUNKS}, {QUERIES}, {index('chunks')}"
+
 ORACLE = {
+    "bm25_pruned": f"WITH {BM25} {ROUNDED} bm25",
+    "bm25_pruned_short": f"WITH {CORPUS}, {SHORT_QUERIES}, {index()}, {scores()}, {BM25_HITS} {ROUNDED} bm25",
+    "refresh_index_bm25": f"WITH {REFRESHED}, {scores()}, {BM25_HITS} {ROUNDED} bm25",
+    "refresh_index_compacted": f"WITH {REFRESHED}, {scores()}, {BM25_HITS} {ROUNDED} bm25",
+    "refresh_index_stats": f"""WITH {REFRESHED}
+        SELECT term, df, sum(tf)::BIGINT AS ctf, round(idf, 9) AS idf FROM weights JOIN post USING (term) GROUP BY ALL""",
+    "refresh_index_semantic": f"""WITH {LIVE_CHUNKS}, {QUERIES}, {SEMANTIC.replace('FROM rows', 'FROM chunks')}
+        SELECT query_id, rank, chunk_id, round(distance, 6) AS distance FROM sem""",
     "top_k_reviews": f"WITH {COMBINED} SELECT parent_asin, combined_reviews FROM combined",
     "ranked_reviews": f"""WITH {REVIEWS}, {RANKED}
         SELECT parent_asin, title, helpful_vote, rn::INTEGER AS rn FROM ranked WHERE rn <= 10""",

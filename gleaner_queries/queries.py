@@ -12,6 +12,7 @@ from gleaner.functions import display
 from gleaner.functions.text import after_marker, strip_think, tokenise, tokenise_lower, tokeniser_without
 from gleaner.operators import (
     answers,
+    block_max,
     chunking,
     dense,
     evaluate,
@@ -25,7 +26,7 @@ from gleaner.plans import build
 from gleaner.plans import search as plan
 from gleaner.plans.sizing import spread_scan
 from gleaner.session import work_dir
-from gleaner.sources import index_store, readers, writers
+from gleaner.sources import index_store, readers, segments, writers
 from gleaner.streaming.refresh import rebuild_changed, refresh
 from gleaner_queries import tables as t
 
@@ -458,6 +459,82 @@ def hits_per_query(spark, sf):
     return guards.hits_per_query(hits, plan.MODES["bm25"])
 
 
+def _stored_blocks(spark, sf):
+    """The documents as one segment of a stored index."""
+    root = work_dir(spark)
+    rows = t.corpus_rows(spark, sf).withColumn(t.KEY, F.col("chunk_id"))
+    segments.add_segment(spark, root, rows)
+    return segments.open_segments(spark, root).block_index()
+
+
+@query
+def bm25_pruned(spark, sf):
+    """Whole benchmark texts over stored blocks of postings; blocks that cannot matter are skipped."""
+    return _rounded(block_max.pruned_search(t.query_set(spark, sf), _stored_blocks(spark, sf)))
+
+
+@query
+def bm25_pruned_short(spark, sf):
+    """Three words of each text, as users type them."""
+    few = F.array_join(F.slice(F.split("query", " "), 3, 3), " ")
+    asked = t.query_set(spark, sf).select("query_id", few.alias("query"))
+    return _rounded(block_max.pruned_search(asked, _stored_blocks(spark, sf)))
+
+
+# Refresh of a stored index
+
+
+def _refreshed(spark, sf) -> segments.Segments:
+    """An index after three drops: older texts, newer and more ones, and the rest with some documents deleted."""
+    root = work_dir(spark)
+    documents = _documents(spark, sf)
+    number = F.col("doc_id")
+    short = F.when(number % 3 == 0, F.substring("text", 1, 300)).otherwise(F.col("text"))
+    gone = number % 50 == 7
+    drops = [
+        documents.where(number % 4 != 0).withColumn("text", short),
+        documents.where(((number % 4 == 0) & (number % 3 != 0)) | ((number % 3 == 0) & (number % 2 == 0))),
+        documents.where((number % 3 == 0) & (number % 2 == 1) & ~gone),
+    ]
+    deleted = documents.where(gone).select("doc_id")
+    for drop in drops:
+        chunks = chunking.chunk_fixed(drop, 1000, 100, "doc_id", "text").select("doc_id", "chunk_id", "text")
+        index = segments.add_segment(
+            spark, root, chunks, deleted if drop is drops[-1] else None, "doc_id",
+            lambda rows: dense.embed(rows, "text", dense.hashing_embedder()),
+        )
+    return index
+
+
+@query
+def refresh_index_bm25(spark, sf):
+    """Word search over the live chunks of three drops."""
+    return _rounded(block_max.pruned_search(t.query_set(spark, sf), _refreshed(spark, sf).block_index()))
+
+
+@query
+def refresh_index_semantic(spark, sf):
+    """Nearest live chunks after the drops."""
+    asked = dense.embed(t.query_set(spark, sf), "query", dense.hashing_embedder())
+    return _rounded(dense.knn(asked, _refreshed(spark, sf).vectors()), "distance")
+
+
+@query
+def refresh_index_stats(spark, sf):
+    """What the drops added to the term statistics and took away again."""
+    index = _refreshed(spark, sf)
+    weights = block_max.idf_weights(index.terms().select("term", "df"), index.n, index.avg_idf)
+    return index.terms().join(weights, "term").select("term", "df", "ctf", F.round("idf", 9).alias("idf"))
+
+
+@query
+def refresh_index_compacted(spark, sf):
+    """The first two segments merged: the same hits."""
+    index = _refreshed(spark, sf)
+    merged = segments.compact(index, index.segments[:2])
+    return _rounded(block_max.pruned_search(t.query_set(spark, sf), merged.block_index()))
+
+
 # Vectors
 
 
