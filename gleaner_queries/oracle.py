@@ -453,6 +453,11 @@ ORACLE = {
           || 'context:' || chr(10) || 'none' || {BREAK} || 'question:' || chr(10) || text || {BREAK} || 'Reply:' AS prompt
         FROM benchmark, region""",
     "generate_answers": f"WITH {GENERATED} SELECT query_id, model, answer, error FROM generated",
+    "generate_resumed": f"""WITH {GENERATED}
+        SELECT query_id, model, CASE WHEN error IS NULL THEN answer ELSE 'again ' || length({RAG_PROMPT}) END AS answer,
+               NULL::VARCHAR AS error FROM generated LEFT JOIN contexts USING (query_id)""",
+    "embed_stored": f"""WITH {CORPUS}, {embedded('dv', 'chunk_id', 'text', 'rows')}
+        SELECT chunk_id, round(v[7], 6) AS value FROM dv UNION ALL SELECT -chunk_id - 1, round(v[7], 6) FROM dv""",
     "model_compare": f"""WITH {GENERATED}, cleaned AS (
           SELECT query_id, query, model, {after('answer', '</think>')} AS answer FROM generated)
         SELECT query_id, query, max(answer) FILTER (model = 'plain') AS "plain's response",

@@ -26,7 +26,7 @@ from gleaner.plans import build
 from gleaner.plans import search as plan
 from gleaner.plans.sizing import spread_scan
 from gleaner.session import work_dir
-from gleaner.sources import index_store, readers, segments, writers
+from gleaner.sources import index_store, readers, result_store, segments, writers
 from gleaner.streaming.refresh import rebuild_changed, refresh
 from gleaner_queries import tables as t
 
@@ -579,6 +579,17 @@ def hash_embed(spark, sf):
     ).select("chunk_id", "position", F.round("value", 6).alias("value"))
 
 
+@query
+def embed_stored(spark, sf):
+    """Every text twice: its vector is made once and found again."""
+    root = work_dir(spark)
+    rows = t.corpus_rows(spark, sf)
+    every = rows.unionByName(rows.withColumn("chunk_id", -F.col("chunk_id") - 1))
+    for _ in range(2):
+        found = result_store.embed_missing(every, "text", dense.hashing_embedder(), root)
+    return found.groupBy("chunk_id").agg(F.round(F.sum(F.element_at("embedding", 7).cast("double")), 6).alias("value"))
+
+
 @query
 def semantic_search(spark, sf):
     return _rounded(plan.semantic_hits(t.query_set(spark, sf), t.corpus(spark, sf)), "distance")
@@ -769,6 +780,17 @@ def generate_answers(spark, sf):
     return _answers(spark, sf).select("query_id", "model", "answer", "error")
 
 
+@query
+def generate_resumed(spark, sf):
+    """A second run over a store of answers sends only what failed in the first, to a generator that takes anything."""
+    root = work_dir(spark)
+    ready = plan.grounded_prompts(t.query_set(spark, sf), t.corpus(spark, sf, described=True))
+    prompts = writers.saved(answers.per_model(ready.select("query_id", "prompt", "query"), [*MODELS, *FAILING]))
+    result_store.generate_missing(prompts, _make_generator, root)
+    second = result_store.generate_missing(prompts, lambda model: lambda texts: [f"again {len(p)}" for p in texts], root)
+    return second.select("query_id", "model", "answer", "error")
+
+
 @query
 def model_compare(spark, sf):
     cleaned = answers.clean_answers(_answers(spark, sf).where(F.col("model").isin(MODELS)))
