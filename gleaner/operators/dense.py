@@ -179,14 +179,18 @@ class _Best:
 
     def add(self, ids: pa.Array, vectors: pa.Array) -> None:
         new_ids, rows = _vectors(ids, vectors)
-        if not len(rows) or not len(self.queries):
+        self.offer(np.arange(len(self.queries)), new_ids, rows)
+
+    def offer(self, asked: np.ndarray, new_ids: np.ndarray, rows: np.ndarray) -> None:
+        """Compare the queries at the given places with rows."""
+        if not len(rows) or not len(asked):
             return
         if self.cosine:
             rows = _unit(rows)
         square = (rows**2).sum(axis=1)
         # Strips of queries bound the distance matrix held at any time.
-        for start in range(0, len(self.queries), QUERY_STRIP):
-            strip = slice(start, start + QUERY_STRIP)
+        for start in range(0, len(asked), QUERY_STRIP):
+            strip = asked[start : start + QUERY_STRIP]
             dots = self.queries[strip] @ rows.T
             if self.cosine:
                 far = 1 - dots
@@ -194,7 +198,7 @@ class _Best:
                 far = np.maximum(self.square[strip, None] + square[None, :] - 2 * dots, 0)
             self._merge(strip, far, new_ids)
 
-    def _merge(self, strip: slice, far: np.ndarray, new_ids: np.ndarray) -> None:
+    def _merge(self, strip: np.ndarray, far: np.ndarray, new_ids: np.ndarray) -> None:
         both = np.hstack([self.distance[strip], far])
         keys = np.round(both, TIE_DECIMALS)
         edge = np.partition(keys, self.k - 1, axis=1)[:, self.k - 1]
@@ -210,8 +214,8 @@ class _Best:
         keep = place < self.k
         query, column, ids, place = query[keep], column[keep], ids[keep], place[keep]
         self.distance[strip] = np.inf
-        self.distance[strip][query, place] = both[query, column]
-        self.ids[strip][query, place] = ids
+        self.distance[strip[query], place] = both[query, column]
+        self.ids[strip[query], place] = ids
 
     def batches(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(query_ids), 10_000):

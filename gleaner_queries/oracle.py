@@ -383,6 +383,7 @@ ORACLE = {
         'Top ' || count(*) || ' results — BM25 mode' AS label FROM bm25 GROUP BY query_id""",
     "knn_l2": f"{KNN_L2} {KNN_ROUNDED}",
     "knn_blocks": f"{KNN_L2} {KNN_ROUNDED}",
+    "knn_stored_cells": f"{KNN_L2} {KNN_ROUNDED}",
     "knn_stored_index": f"{KNN_L2} {KNN_ROUNDED}",
     "knn_cosine": f"{knn('1 - list_cosine_similarity(a.v, b.v)')} {KNN_ROUNDED}",
     "knn_label_precision": f"""{KNN_L2}

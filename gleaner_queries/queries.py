@@ -13,6 +13,7 @@ from gleaner.functions.text import after_marker, strip_think, tokenise, tokenise
 from gleaner.operators import (
     answers,
     block_max,
+    cells,
     chunking,
     dense,
     evaluate,
@@ -571,6 +572,14 @@ def knn_stored_index(spark, sf):
     return _rounded(dense.knn(_self_queries(t.vectors(spark, sf)), stored), "distance")
 
 
+@query
+def knn_stored_cells(spark, sf):
+    """Vectors stored by cell; cells out of reach are not read."""
+    rows = t.vectors(spark, sf)
+    index = cells.build_cells(rows, work_dir(spark), 16)
+    return _rounded(cells.knn_cells(_self_queries(rows), index), "distance")
+
+
 @query
 def hash_embed(spark, sf):
     rows = dense.embed(t.corpus_rows(spark, sf), "text", dense.hashing_embedder())
