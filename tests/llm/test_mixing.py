@@ -57,6 +57,17 @@ def test_mix(spark):
     assert first.groupby(key, dropna=False)["copies"].sum().equals(again.groupby(key, dropna=False)["copies"].sum())
 
 
+def test_large_documents_do_not_land(spark):
+    """With a few documents of a hundred times the others' size, every source comes within 1 % of its target."""
+    rng = np.random.default_rng(11)
+    data = [(i, f"s{i % 6}", int(rng.integers(20, 300))) for i in range(1200)]
+    data += [(5000 + i, f"s{i % 6}", int(rng.integers(9000, 20000))) for i in range(60)]
+    df = spark.createDataFrame(data, "doc_id long, source string, size long")
+    mixed = mixing.mix(df, [3.0, 1.0, 2.0], 1.5, 2.0).toPandas()
+    for _, group in mixed.groupby("source"):
+        assert (group["copies"] * group["size"]).sum() == pytest.approx(group["target"].iloc[0], rel=0.01)
+
+
 def test_words_and_empty(spark):
     df = spark.createDataFrame([("a  b\tc\n",), ("",), (None,), ("\u00a0x y",)], "text string")
     assert [r[0] for r in df.select(mixing.word_count("text")).collect()] == [3, 0, 0, 2]
