@@ -23,7 +23,8 @@ BASE = 0x9E3779B97F4A7C15
 
 NUMBER = regex.compile(r"[+\-]?[$€£]?\d[\d.,:/]*%?")
 NUMBER_UNIT = regex.compile(r"([+\-]?[$€£]?\d[\d.,]*)(\p{L}+)")
-EDGES = regex.compile(r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$")
+HEAD = regex.compile(r"[\p{P}\p{S}]*")
+TAIL = regex.compile(r"[\p{P}\p{S}]*\Z", regex.REVERSE)  # from the end backwards: one pass, however long the word
 # Words that count as a unit after a number.
 UNITS = frozenset(
     """mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer
@@ -41,7 +42,8 @@ def classify(word: str) -> tuple[int, str]:
     """Kind of a word by its form alone, and its text without punctuation at the edges, in lower case."""
     if NUMBER.fullmatch(word.strip(".,;:!?()[]\"'")):
         return NUM, word.strip(".,;:!?()[]\"'")
-    core = EDGES.sub("", word) or word
+    core = word[HEAD.match(word).end() :]
+    core = core[: TAIL.search(core).start()] or word
     joined = NUMBER_UNIT.fullmatch(core)
     if joined and joined[2].lower() in UNITS:
         return NUM_UNIT, core.lower()

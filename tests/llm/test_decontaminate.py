@@ -1,6 +1,7 @@
 """Benchmark leaks: exact, renamed, renumbered and inconsistent copies, and edge cases."""
 
 import random
+import time
 
 import pytest
 
@@ -124,3 +125,11 @@ def test_dense_slots_other_case_and_short_items(spark, rows):
     found = rows(decontaminate.leaks(docs(spark, data), bench), "doc_id", "item_id", "exact")
     expected = [(1, 1, False), (2, 2, True), (3, 2, True), (4, 3, True), (5, 4, False), (8, 5, True), (11, 6, True)]
     assert found == sorted(expected, key=repr)
+
+
+def test_edges_of_very_long_words_are_stripped_in_one_pass():
+    started = time.monotonic()
+    assert decontaminate.classify("a" + "-" * 200_000 + "a")[0] == decontaminate.LITERAL
+    assert decontaminate.classify("-" * 200_000 + "a" + "-" * 200_000) == (decontaminate.LITERAL, "a")
+    assert decontaminate.classify("-" * 200_000)[1] == "-" * 200_000
+    assert time.monotonic() - started < 1
