@@ -210,7 +210,7 @@ def remove_repeats(df: DataFrame, least: int = SPAN_WORDS) -> DataFrame:
         spans.join(repeated, ["h1", "h2"], "left")
         .where(F.col("local") | (F.col("origin") != F.col("k")))
         .groupBy("k", "t")
-        .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+        .agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
         .withColumnsRenamed({"k": "k_", "t": "t_"})
     )
     names = [f"c{i}" for i in range(len(df.columns))]
