@@ -130,6 +130,6 @@ def test_dense_slots_other_case_and_short_items(spark, rows):
 def test_edges_of_very_long_words_are_stripped_in_one_pass():
     started = time.monotonic()
     assert decontaminate.classify("a" + "-" * 200_000 + "a")[0] == decontaminate.LITERAL
-    assert decontaminate.classify("-" * 200_000 + "a" + "-" * 200_000) == (decontaminate.LITERAL, "a")
+    assert decontaminate.classify("-" * 200_000 + "b" + "-" * 200_000) == (decontaminate.LITERAL, "b")
     assert decontaminate.classify("-" * 200_000)[1] == "-" * 200_000
     assert time.monotonic() - started < 1
