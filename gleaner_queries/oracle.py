@@ -296,6 +296,11 @@ ORACLE = {
         SELECT p_partkey AS parent_asin, left(p_name, 100) AS product_title, p_retailprice AS average_rating,
                concat_ws(' ', p_type, p_name, combined_reviews) AS document
         FROM part LEFT JOIN combined ON p_partkey = parent_asin""",
+    "stateful_top_k": f"WITH {COMBINED} SELECT parent_asin, combined_reviews FROM combined",
+    "stateful_documents": f"""WITH {COMBINED}
+        SELECT p_partkey AS parent_asin, left(p_name, 100) AS product_title, p_retailprice AS average_rating,
+               concat_ws(' ', p_type, p_name, combined_reviews) AS document
+        FROM part JOIN combined ON p_partkey = parent_asin""",
     "profile_table": """WITH joined AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))
         SELECT (SELECT count(*) FROM joined) AS row_count, * FROM (
           SELECT 'doc_id' AS column_name, 'bigint' AS column_type, count(doc_id) AS non_null FROM joined
@@ -437,6 +442,30 @@ ORACLE = {
         SELECT query_id, row_number() OVER (
                  PARTITION BY query_id ORDER BY round(rerank_score, 9) DESC, chunk_id)::INTEGER AS rank,
                first_rank, chunk_id, round(rerank_score, 9) AS rerank_score FROM again QUALIFY rank <= 5""",
+    "rerank_proximity": f"""WITH {BOTH}, {FUSED},
+        query_words AS (SELECT query_id, unnest({tokens('query')}) AS w,
+                               generate_subscripts({tokens('query')}, 1) AS i FROM asked),
+        pairs AS (SELECT x.query_id, x.w AS a, y.w AS b, count(*) AS times FROM query_words x
+                  JOIN query_words y ON x.query_id = y.query_id AND y.i = x.i + 1 AND x.w <> y.w GROUP BY ALL),
+        totals AS (SELECT query_id, sum(times) AS pairs FROM pairs GROUP BY query_id),
+        spots AS MATERIALIZED (SELECT chunk_id, unnest({tokens('text')}) AS w,
+                  generate_subscripts({tokens('text')}, 1) AS i
+                  FROM rows WHERE chunk_id IN (SELECT chunk_id FROM fused)),
+        gaps AS (SELECT f.query_id, f.chunk_id, a, b, times, min(abs(y.i - x.i)) AS gap,
+                        max((y.i = x.i + 1)::INTEGER) AS in_order
+                 FROM fused f JOIN pairs p ON f.query_id = p.query_id
+                 JOIN spots x ON x.chunk_id = f.chunk_id AND x.w = a
+                 JOIN spots y ON y.chunk_id = f.chunk_id AND y.w = b GROUP BY ALL),
+        sums AS (SELECT query_id, chunk_id, sum(times / (gap * gap)) AS near, sum(times * in_order) AS side
+                 FROM gaps GROUP BY ALL),
+        again AS (SELECT f.query_id, f.rank AS first_rank, f.chunk_id, rrf,
+                         coalesce(near / pairs, 0) AS proximity, coalesce(side / pairs, 0) AS phrases
+                  FROM fused f LEFT JOIN sums USING (query_id, chunk_id) LEFT JOIN totals USING (query_id)),
+        scored_again AS (SELECT *, rrf * (1 + proximity + phrases) AS rerank_score FROM again)
+        SELECT query_id, row_number() OVER (
+                 PARTITION BY query_id ORDER BY round(rerank_score, 9) DESC, chunk_id)::INTEGER AS rank,
+               first_rank, chunk_id, round(proximity, 9) AS proximity, round(phrases, 9) AS phrases,
+               round(rerank_score, 9) AS rerank_score FROM scored_again QUALIFY rank <= 5""",
     "order_by_rating": f"""WITH {BM25}, {DESCRIBED}
         SELECT query_id, row_number() OVER (
                  PARTITION BY query_id ORDER BY average_rating DESC NULLS LAST, chunk_id)::INTEGER AS rank,

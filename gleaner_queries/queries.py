@@ -21,6 +21,7 @@ from gleaner.operators import (
     lexical,
     products,
     profiling,
+    proximity,
     ranking,
 )
 from gleaner.plans import build
@@ -28,7 +29,8 @@ from gleaner.plans import search as plan
 from gleaner.plans.sizing import spread_scan
 from gleaner.session import work_dir
 from gleaner.sources import index_store, readers, result_store, segments, writers
-from gleaner.streaming.refresh import rebuild_changed, refresh
+from gleaner.streaming.best_reviews import follow_best_reviews, latest_best
+from gleaner.streaming.refresh import latest_documents, rebuild_changed, refresh
 from gleaner_queries import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +170,32 @@ def refresh_changed(spark, sf):
     return refresh(current, arrived, rebuilt)
 
 
+def _followed(spark, sf) -> str:
+    """Reviews in three drops, each followed by a run of its own that goes on from the stored state."""
+    root, drops = work_dir(spark), work_dir(spark)
+    reviews = t.reviews(spark, sf)
+    for number in [2, 0, 1]:
+        reviews.where(F.col("l_linenumber") % 3 == number).write.mode("append").parquet(drops)
+        stream = spark.readStream.schema(reviews.schema).parquet(drops)
+        columns = ["main_category", "title", "average_rating"]
+        follow_best_reviews(
+            spark, stream, t.products(spark, sf), root, columns=columns, order=["title"], ties=t.TIES
+        ).awaitTermination()
+    return root
+
+
+@query
+def stateful_top_k(spark, sf):
+    """The most helpful titles of each product, kept in the state store over three drops and two restarts."""
+    return latest_best(spark, _followed(spark, sf), t.KEY)
+
+
+@query
+def stateful_documents(spark, sf):
+    """The documents written by the same runs, as of the last drop that changed them."""
+    return latest_documents(spark, _followed(spark, sf), t.KEY)
+
+
 # Profiles, guards and labels
 
 
@@ -713,6 +741,17 @@ def rerank_pool(spark, sf):
     return ranked.select("query_id", "rank", "first_rank", "chunk_id", F.round("rerank_score", 9).alias("rerank_score"))
 
 
+@query
+def rerank_proximity(spark, sf):
+    """The fused pool scored again by how near a chunk holds the words that stand together in the query."""
+    queries, chunks = t.query_set(spark, sf), t.corpus_rows(spark, sf)
+    pool = writers.saved(plan.hybrid_hits(queries, t.corpus(spark, sf)))
+    near = proximity.with_proximity(pool, queries, proximity.pool_positions(pool, chunks))
+    ranked = evaluate.rerank(near, F.col("rrf") * (1 + F.col("proximity") + F.col("phrases")), K)
+    values = [F.round(c, 9).alias(c) for c in ["proximity", "phrases", "rerank_score"]]
+    return ranked.select("query_id", "rank", "first_rank", "chunk_id", *values)
+
+
 @query
 def order_by_rating(spark, sf):
     queries = t.query_set(spark, sf)
