@@ -86,10 +86,12 @@ def with_chunk_columns(
 ) -> DataFrame:
     """Look up chunk columns for hits of ``queries``, at most 2k each.
 
-    The number of queries bounds the hits, so a checked query set lets their ids be
-    broadcast and the chunk table is scanned without a shuffle.  A hit whose chunk is
-    missing stays, with nulls.
+    The hits are stored first, so that the retrieval behind them runs once for their ids
+    and for the join.  The number of queries bounds them: a checked query set lets their
+    ids be broadcast and the chunk table is scanned without a shuffle.  A hit whose chunk
+    is missing stays, with nulls.
     """
+    hits = saved(hits)
     few = queries.limit(MAX_ROWS // (2 * k) + 1).count() <= MAX_ROWS // (2 * k)
     ids = hits.select("chunk_id").distinct()
     found = chunks.select("chunk_id", *columns).join(F.broadcast(ids) if few else ids, "chunk_id", "left_semi")
