@@ -96,7 +96,7 @@ class BestRows(StatefulProcessor):
         self.best = handle.getListState("best", self.kept)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        known = [tuple(row) for row in self.best.get()] if self.best.exists() else []
+        known = [tuple(row) for row in self.best.get()]
         arrived = (tuple(row[name] for name in self.names) for row in rows)
         best = heapq.nsmallest(self.k, _both(known, arrived), key=self._order)
         if best == known:
