@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from gleaner.operators.products import META_COLUMNS, combine_reviews, documents_from_sources
-from gleaner.operators.ranking import top_k_per_group
 from gleaner.sources.writers import write_parquet
 
 # Folders, by a hash of the key, that the reviews of a drop lie in.
@@ -26,12 +25,13 @@ def rebuild_changed(
     columns: Sequence[str] = tuple(META_COLUMNS),
     order: Sequence[str] = (),
     ties: Sequence[str] = (),
+    repeated: bool = False,
 ) -> DataFrame:
     """Documents of the products named in ``changed``, from their whole data."""
     touched = changed.where(F.col(key).isNotNull()).select(key).distinct()
     kept_meta = meta.join(touched, key, "left_semi")
     kept_reviews = combine_reviews(reviews.join(touched, key, "left_semi"), key, k, ties=ties)
-    return documents_from_sources(kept_meta, kept_reviews, columns, key, order)
+    return documents_from_sources(kept_meta, kept_reviews, columns, key, order, repeated)
 
 
 def refresh(current: DataFrame, changed: DataFrame, rebuilt: DataFrame, key: str = "parent_asin") -> DataFrame:
@@ -41,9 +41,10 @@ def refresh(current: DataFrame, changed: DataFrame, rebuilt: DataFrame, key: str
 
 
 def latest_documents(spark: SparkSession, root: str, key: str = "parent_asin") -> DataFrame:
-    """The newest version of each document in a table written drop by drop."""
+    """The newest version of each document in a table written drop by drop; all its rows where the key repeats in a drop."""
     versions = spark.read.parquet(f"{root}/documents")
-    return top_k_per_group(versions, [key], [F.desc("drop")], 1, "_version").drop("_version", "drop")
+    newest = F.rank().over(Window.partitionBy(key).orderBy(F.desc("drop")))
+    return versions.withColumn("_version", newest).where("_version = 1").drop("_version", "drop")
 
 
 def follow_reviews(

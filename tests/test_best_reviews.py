@@ -91,3 +91,16 @@ def test_the_cut_of_a_batch_keeps_the_first_rows_of_each_key(spark, rows):
     as_text = F.col("title").cast("string")
     whole = combine_reviews(table.withColumn("shown", as_text), text="shown", **args)
     assert rows(combine_reviews(got.withColumn("shown", as_text), text="shown", **args)) == rows(whole)
+
+
+def test_rows_of_a_repeated_product_all_follow(spark, follow, rows):
+    follow.meta.createOrReplaceTempView("meta_once")
+    twice = spark.table("meta_once").unionByName(spark.table("meta_once").where("parent_asin = 'p'").withColumn("title", F.lit("P2")))
+    for batch in [[("p", "a", 1.0, 1)], [("p", "b", 2.0, 2)]]:
+        spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(follow.drops)
+        stream = spark.readStream.schema(SCHEMA).parquet(follow.drops)
+        follow_best_reviews(
+            spark, stream, twice, follow.root, k=3, columns=COLUMNS, ties=["line"], repeated=True
+        ).awaitTermination()
+    latest = rows(latest_documents(spark, follow.root), "product_title", "document")
+    assert latest == [("P", "P b | a"), ("P2", "P2 b | a")]
