@@ -155,3 +155,15 @@ def test_collapse_keeps_the_best_chunk(spark, rows):
     )
     got = collapse_to_product(hits)
     assert rows(got, "query_id", "rank", "chunk_id") == [(0, 1, "a#1"), (0, 2, "b#1"), (1, 1, "b#2")]
+
+
+def test_scoring_tasks_follow_the_pairs(spark, monkeypatch):
+    """Every query shares a word with every chunk: the more products, the more tasks hold them."""
+    monkeypatch.setattr(lexical, "TASK_PAIRS", 100)
+    texts, queries = ["a b"] * 50, ["a", "a b", "b a a", "c"]
+    chunks, asked = frames(spark, texts, queries)
+    index = lexical.materialised(build_index(chunks))
+    assert lexical._scoring_tasks(lexical.query_terms(asked), index) == 3  # 250 products
+    scores = bm25_scores(asked, build_index(chunks))
+    assert scores.groupBy(F.spark_partition_id()).count().count() == 3
+    assert {(r["query_id"], r["chunk_id"]) for r in scores.collect()} == {(q, c) for q in range(3) for c in range(50)}
