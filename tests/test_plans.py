@@ -2,6 +2,9 @@
 
 import pytest
 
+from gleaner.operators.dense import embed, hashing_embedder
+from gleaner.operators.lexical import build_index
+from gleaner.plans import search
 from gleaner_queries.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +57,19 @@ def test_columns_and_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(l_partkey)]" in text
     assert "l_tax" not in text.split("ReadSchema")[1]
     assert "text" not in plan(spark, "count_by_category").split("ReadSchema")[1]
+
+
+def test_equal_queries_are_searched_once(spark, rows, monkeypatch):
+    asked = spark.createDataFrame(
+        [(1, "a b"), (2, "c"), (3, "a b"), (4, None), (5, None), (None, "c"), (6, "c"), (6, "a"), (7, "a"), (7, "c")],
+        "query_id long, query string",
+    )
+    chunks = spark.createDataFrame([(i, text) for i, text in enumerate(["a b c", "a", "c c", "d"])], "chunk_id long, text string")
+    vectors = embed(chunks, "text", hashing_embedder()).select("chunk_id", "embedding")
+    corpus = search.Corpus(build_index(chunks), vectors)
+    seen = []
+    fuse = search._fused
+    monkeypatch.setattr(search, "_fused", lambda queries, *rest: seen.append(queries.count()) or fuse(queries, *rest))
+    got = search.hybrid_hits(asked, corpus)
+    assert seen == [5]  # three texts, and two of the query that asks twice
+    assert rows(got) == rows(fuse(asked, corpus, 5, False, None))
