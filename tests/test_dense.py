@@ -123,3 +123,32 @@ def test_hashing_embedder_equals_counting(spark):
         for token in texts[row["id"]].split():
             counts[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 16] += 1
         assert row["embedding"] == pytest.approx(list(counts / max(1e-9, np.linalg.norm(counts))), abs=1e-6)
+
+
+@pytest.mark.parametrize("most", [1000, 9])
+def test_small_blocks_share_a_scan_and_sets_are_stored(spark, monkeypatch, most):
+    """Blocks are cut in the task; only sets of queries beyond the limit need a scan each, stored before the next."""
+    monkeypatch.setattr(dense, "QUERY_ROWS", most)
+    vectors, names, corpus = make(spark, seed=5)
+    asked = corpus.withColumnRenamed("chunk_id", "query_id")
+    scans, stored = [], []
+    scan, save = dense._knn_scan, dense.saved
+    monkeypatch.setattr(dense, "_knn_scan", lambda rows, *rest: scans.append(rows.num_rows) or scan(rows, *rest))
+    monkeypatch.setattr(dense, "saved", lambda df: stored.append(1) or save(df))
+    got = collect(knn(asked, corpus, 5, max_query_rows=2))
+    assert got == brute_force(vectors, vectors, names, 5, "l2")
+    assert len(scans) == max(1, -(-corpus.count() // most)) and len(stored) == (len(scans) + 1 if len(scans) > 1 else 0)
+
+
+def test_far_rows_are_passed_over(monkeypatch):
+    rng = np.random.default_rng(0)
+    queries, rows = rng.normal(size=(30, 4)), rng.normal(size=(4000, 4))
+    merged = []
+    merge = dense._Best._merge
+    monkeypatch.setattr(dense._Best, "_merge", lambda self, strip, far, ids: merged.append(len(ids)) or merge(self, strip, far, ids))
+    best = dense._Best(queries, 5, "l2")
+    for start in range(0, 4000, 100):
+        best.offer(np.arange(30), np.arange(start, start + 100).astype(object), rows[start : start + 100])
+    expected = np.argsort(((queries[:, None] - rows[None]) ** 2).sum(axis=2), axis=1)[:, :5]
+    assert best.ids.tolist() == expected.tolist()
+    assert sum(merged) < 4000 / 2
