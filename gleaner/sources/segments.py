@@ -20,7 +20,9 @@ from gleaner.operators.block_max import BlockIndex, cut_blocks, live_postings
 from gleaner.operators.lexical import build_postings
 from gleaner.sources.writers import saved, write_parquet
 
+# Shards of an index: by the postings of its first drop, this many at least.
 SHARDS = 16
+SHARD_POSTINGS = 1_000_000
 # More dead chunks than this are not carried along: the segments that hold them are merged.
 MOST_DEAD = 200_000
 
@@ -157,7 +159,7 @@ def add_segment(
     key: str = "parent_asin",
     embed_chunks: Callable[[DataFrame], DataFrame] | None = None,
     tokeniser: Tokeniser = tokenise,
-    shards: int = SHARDS,
+    shards: int | None = None,
     most_dead: int = MOST_DEAD,
 ) -> Segments:
     """Commit a drop: ``chunks (chunk_id, key, text, ...)`` replace all live chunks of the keys in ``touched`` and of their own.
@@ -165,16 +167,17 @@ def add_segment(
     Written are the new chunks' own tables, and for the replaced ones a list of their ids and what their words take
     away from the statistics; no earlier segment is touched.  ``embed_chunks`` adds the vectors, as
     ``(chunk_id, embedding)``.  A key in ``touched`` without chunks is deleted.  Chunks and touched keys are read more
-    than once; null keys are kept and never replaced.
+    than once; null keys are kept and never replaced.  ``shards`` of the first drop hold for all; by default they are as
+    many as its postings need, as a shard's postings are sorted and scored in one task.
     """
     root = root.rstrip("/")
     before = open_segments(spark, root)
-    shards = before.shards if before else shards
     segment = uuid.uuid4().hex
     here = f"segment={segment}"
     write_parquet(chunks, f"{root}/chunks/{here}")
     added = spark.read.parquet(f"{root}/chunks/{here}")
     postings = saved(build_postings(added, tokeniser))
+    shards = before.shards if before else shards or max(SHARDS, -(-postings.count() // SHARD_POSTINGS))
     lengths = postings.dropDuplicates(["chunk_id"]).agg(F.sum("dl").alias("tokens")).first()
     n, tokens = added.count(), lengths["tokens"] or 0
     key_type = added.schema["chunk_id"].dataType.simpleString()

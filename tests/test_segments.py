@@ -157,3 +157,15 @@ def test_postings_are_not_shuffled(spark, zipf):
     plan = scores._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and "Exchange hashpartitioning" not in plan and "In(term" in plan
     assert scores.agg(F.count(F.lit(1))).first()[0] > 0
+
+
+def test_shards_follow_the_postings_of_the_first_drop(spark, monkeypatch):
+    monkeypatch.setattr(sg, "SHARDS", 2)
+    monkeypatch.setattr(sg, "SHARD_POSTINGS", 10)
+    root, dice = work_dir(spark), random.Random(3)
+    rows = chunks_of(dice, [f"p{i}" for i in range(20)])
+    postings = sum(len(set((text or "").split())) for _, _, text in rows)
+    index = sg.add_segment(spark, root, frame(spark, rows), key="k")
+    assert index.shards == -(-postings // 10) > 2
+    later = sg.add_segment(spark, root, frame(spark, rows[:3]), key="k")
+    assert later.shards == index.shards
