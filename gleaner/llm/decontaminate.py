@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,30 @@ def classify(word: str) -> tuple[int, str]:
     return (NAME if core[0].isupper() else UNIT if core.lower() in UNITS else LITERAL), core.lower()
 
 
+def classify_all(distinct: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """``classify`` for many words: ASCII ones without digits, nearly all of them, column by column.
+
+    Such a word is no number, and all its characters but letters are punctuation or symbols.
+    """
+    plain = pc.match_substring_regex(distinct, r"^[!-/:-~]+$")
+    easy = pc.filter(distinct, plain)
+    core = pc.ascii_trim(easy, string.punctuation)
+    core = pc.if_else(pc.equal(pc.binary_length(core), 0), easy, core)
+    lower = pc.ascii_lower(core)
+    unit = pc.is_in(lower, pa.array(sorted(UNITS), lower.type))
+    kind = np.full(len(distinct), LITERAL)
+    at = np.flatnonzero(plain.to_numpy(zero_copy_only=False))
+    kind[at[unit.to_numpy(zero_copy_only=False)]] = UNIT
+    kind[at[pc.not_equal(pc.utf8_slice_codeunits(core, 0, 1), pc.utf8_slice_codeunits(lower, 0, 1)).to_numpy(zero_copy_only=False)]] = NAME
+    others = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+    found = [classify(w) for w in distinct.take(pa.array(others)).to_pylist()]
+    kind[others] = [k for k, _ in found]
+    cores = pa.concat_arrays([lower, pa.array([c for _, c in found], lower.type)])
+    place = np.empty(len(distinct), np.int64)
+    place[np.concatenate([at, others])] = np.arange(len(distinct))
+    return kind, cores.take(pa.array(place))
+
+
 class Templates:
     """The words of a batch of texts as templates: numbers, names and units are typed placeholders.
 
@@ -64,10 +89,8 @@ class Templates:
         coded = pc.filter(flat, real).dictionary_encode()
         self.row = pc.filter(rows, real).to_numpy().astype(np.int64)
         self.code = coded.indices.to_numpy().astype(np.int64)
-        kinds = [classify(w) for w in coded.dictionary.to_pylist()]
-        kind = np.array([k for k, _ in kinds], np.int64)
-        self.core = [c for _, c in kinds]
-        literal = hash_strings(pa.array(self.core, pa.string())) if kinds else np.zeros(0, np.uint64)
+        kind, self.core = classify_all(coded.dictionary)
+        literal = hash_strings(self.core) if len(kind) else np.zeros(0, np.uint64)
         marks = hash_strings(pa.array(["", *(MARKS[k] for k in (NUM, NAME, UNIT, NUM_UNIT))]))
         self.kind, self.plain = kind[self.code], literal[self.code]
         after_number = np.zeros(len(self.row), bool)
@@ -99,7 +122,7 @@ class Templates:
     def slots(self, first: int, size: int) -> list[str]:
         """Kind and content of the placeholders of one run."""
         at = range(first, first + size)
-        return [f"{self.kind[i]}{self.core[self.code[i]]}" for i in at if self.kind[i] != LITERAL]
+        return [f"{self.kind[i]}{self.core[int(self.code[i])]}" for i in at if self.kind[i] != LITERAL]
 
 
 def _windows(

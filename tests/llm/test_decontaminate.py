@@ -29,6 +29,19 @@ def test_kinds_of_words():
     assert decontaminate.classify("%%%") == (decontaminate.LITERAL, "%%%")
 
 
+def test_most_words_are_classified_by_column(monkeypatch):
+    import pyarrow as pa
+
+    words = ["Alice,", "(km)", "km.", "%%%", "plain", "(Zoë)", "5km", "12,5%", "x\x7fy", "don't", "A", "[[a]]", "ªb", "$5", "''"]
+    expected = [decontaminate.classify(w) for w in words]
+    kind, core = decontaminate.classify_all(pa.array(words))
+    assert list(zip(kind.tolist(), core.to_pylist())) == expected
+    one_by_one, asked = decontaminate.classify, []
+    monkeypatch.setattr(decontaminate, "classify", lambda w: asked.append(w) or one_by_one(w))
+    decontaminate.Templates(pa.array([" ".join(words)]))
+    assert sorted(asked) == sorted(["(Zoë)", "5km", "12,5%", "x\x7fy", "ªb", "$5"])
+
+
 def test_slots(spark, rows):
     renamed = ITEM.replace("Alice", "Carol").replace("Bob", "Dan").replace("12", "40").replace("7", "9")
     mixed = ITEM.replace("Alice gives", "Zed gives").replace("Alice buys", "Carol buys")  # one name becomes two
