@@ -152,3 +152,30 @@ def test_far_rows_are_passed_over(monkeypatch):
     expected = np.argsort(((queries[:, None] - rows[None]) ** 2).sum(axis=2), axis=1)[:, :5]
     assert best.ids.tolist() == expected.tolist()
     assert sum(merged) < 4000 / 2
+
+
+@pytest.mark.parametrize("metric, scale", [("l2", 1.0), ("l2", 1e6), ("l2", 1e20), ("cosine", 1.0)])
+def test_only_near_pairs_are_ranked(monkeypatch, metric, scale):
+    """Once each query has k rows, its far pairs are not ranked; equal distances still go by id."""
+    rng = np.random.default_rng(3)
+    rows = rng.integers(-3, 4, size=(6000, 6)).astype(float) * scale
+    queries = rows[:300]
+    ranked = []
+    keep, merge = dense._Best._keep, dense._Best._merge
+    monkeypatch.setattr(dense._Best, "_keep", lambda self, s, query, *rest: ranked.append(len(query)) or keep(self, s, query, *rest))
+    whole = []
+    monkeypatch.setattr(dense._Best, "_merge", lambda self, s, far, ids: whole.append(far.size) or merge(self, s, far, ids))
+    best = dense._Best(queries, 5, metric)
+    for start in range(0, 6000, 1000):
+        best.offer(np.arange(300), np.arange(start, start + 1000).astype(object), rows[start : start + 1000])
+    if metric == "cosine":
+        unit = dense._unit(rows)
+        far = 1 - dense._unit(queries) @ unit.T
+    else:
+        far = ((queries[:, None] - rows[None]) ** 2).sum(axis=2)
+    far = np.round(far / (scale**2 if metric == "l2" else 1), 6)
+    if scale < 1e15:
+        assert best.ids.tolist() == np.argsort(far, axis=1, kind="stable")[:, :5].tolist()
+        assert sum(whole) == 300 * dense.FIRST_ROWS
+    else:  # no decimals left that could tie
+        assert np.round(best.distance / scale**2, 6).tolist() == np.sort(far, axis=1)[:, :5].tolist()
