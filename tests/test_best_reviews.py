@@ -104,3 +104,26 @@ def test_rows_of_a_repeated_product_all_follow(spark, follow, rows):
         ).awaitTermination()
     latest = rows(latest_documents(spark, follow.root), "product_title", "document")
     assert latest == [("P", "P b | a"), ("P2", "P2 b | a")]
+
+
+def test_products_share_states(spark, tmp_path, rows, monkeypatch):
+    """A state holds a group of products: it is called and stored once a group, however small the pieces that arrive."""
+    from gleaner.streaming import best_reviews
+
+    monkeypatch.setattr(best_reviews, "TASK_ROWS", 50)
+    drops, root = str(tmp_path / "drops"), str(tmp_path / "store")
+    meta = spark.range(300).selectExpr("id AS parent_asin", "concat('P', id) AS title", "1.0D AS average_rating")
+    reviews = spark.range(3000).selectExpr(
+        "id % 300 AS parent_asin", "IF(id % 11 = 0, NULL, concat('t', id)) AS title", "CAST(id % 13 AS DOUBLE) AS helpful_vote", "id AS line"
+    )
+    for third in range(3):
+        reviews.where(F.col("line") % 3 == third).coalesce(1).write.mode("append").parquet(drops)
+        stream = spark.readStream.schema(reviews.schema).parquet(drops)
+        query = follow_best_reviews(spark, stream, meta, root, k=3, columns=COLUMNS, ties=["line"])
+        query.awaitTermination()
+        state = query.lastProgress["stateOperators"][0]
+        assert 0 < state["numRowsTotal"] <= best_reviews.LEAST_GROUPS
+        monkeypatch.setattr(best_reviews, "GROUP_PRODUCTS", 1)  # the state keeps the groups of its first run
+    whole = combine_reviews(reviews, k=3, ties=["line"])
+    assert rows(latest_best(spark, root)) == rows(whole)
+    assert rows(latest_documents(spark, root)) == rows(documents_from_sources(meta, whole, COLUMNS))
