@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import Tokeniser, tokenise
 from gleaner.operators.lexical import EPSILON, K1, TOP_K, B, query_blocks, query_terms, score_order
 from gleaner.operators.ranking import top_k_per_group
-from gleaner.plans.sizing import broadcast_if
 from gleaner.sources.writers import saved
 
 BLOCK_POSTINGS = 128
 # Listed in the filter of the scan up to this many terms; beyond, the broadcast join alone selects them.
 PUSHED_TERMS = 2_000
-# Candidates, narrow rows, are broadcast up to this many and shuffled beyond.
+# Candidates, narrow rows, are broadcast up to this many; with more, all postings that can matter are scored in place.
 MOST_CANDIDATES = 1_000_000
 # Far above the rounding of a sum, and above the width of a tie.
 MARGIN = 1e-8
@@ -42,8 +45,23 @@ class BlockIndex:
     dead: DataFrame | None = None
 
 
-def shard_of(shards: int) -> Column:
-    return F.pmod(F.xxhash64("chunk_id"), F.lit(shards)).cast("int")
+def shard_labels(spark: SparkSession, shards: int) -> list[int]:
+    """A number for each shard that a partitioning by it sends to a partition, and a bucket, of its own.
+
+    Numbers from zero up would meet by their hash: a third of the partitions empty, several shards in others.
+    """
+    tried = 32 * shards
+    while True:
+        bucket = F.pmod(F.hash(F.col("id").cast("int")), F.lit(shards))
+        rows = spark.range(tried).groupBy(bucket.alias("bucket")).agg(F.min("id").alias("label")).orderBy("bucket").collect()
+        if len(rows) == shards:
+            return [row["label"] for row in rows]
+        tried *= 2
+
+
+def shard_of(labels: Sequence[int]) -> Column:
+    place = F.pmod(F.xxhash64("chunk_id"), F.lit(len(labels))).cast("int")
+    return F.get(F.lit(list(labels)).cast("array<int>"), place)
 
 
 def strength(tf: Column, dl: Column, avgdl: float) -> Column:
@@ -52,21 +70,69 @@ def strength(tf: Column, dl: Column, avgdl: float) -> Column:
 
 
 def cut_blocks(postings: DataFrame, shards: int, avgdl: float, size: int = BLOCK_POSTINGS) -> DataFrame:
-    """Blocks of ``(chunk_id, dl, term, tf)``, strongest postings first: one shuffle, by shard.
+    """Blocks of ``(chunk_id, dl, term, tf)``, strongest postings first: one shuffle, by shard, and one sort.
 
     A shard's postings of one term are bounded by the shard's chunks, however common the term is.
     """
-    placed = postings.withColumn("shard", shard_of(shards)).repartition(shards, "shard")
-    order = Window.partitionBy("shard", "term").orderBy(
-        F.desc(strength(F.col("tf"), F.col("dl"), avgdl)), F.asc("chunk_id")
-    )
-    numbered = placed.withColumn("block", F.floor((F.row_number().over(order) - 1) / size).cast("int"))
-    return numbered.groupBy("shard", "term", "block").agg(
-        F.count(F.lit(1)).cast("int").alias("size"),
-        F.max("tf").alias("max_tf"),
-        F.min("dl").alias("min_dl"),
-        F.collect_list(F.struct("chunk_id", "tf", "dl")).alias("postings"),
+    key = postings.schema["chunk_id"].dataType.simpleString()
+    schema = (
+        "shard int, term string, block int, size int, max_tf int, min_dl int, "
+        f"postings array<struct<chunk_id: {key}, tf: int, dl: int>>"
     )
+    shard = shard_of(shard_labels(postings.sparkSession, shards))
+    placed = postings.select(shard.alias("shard"), "term", "chunk_id", "tf", "dl").repartition(shards, "shard")
+    # the term leads, as its first bytes tell most rows apart
+    order = ["term", "shard", F.desc(strength(F.col("tf"), F.col("dl"), avgdl)), F.asc("chunk_id")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, number = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if left is None else pa.concat_batches([left, batch])
+            starts, numbers = _block_starts(rows, number, size)
+            # the last block may go on in the next batch
+            if len(starts) > 1:
+                yield _packed(rows.slice(0, starts[-1]), starts[:-1], numbers[:-1])
+            left, number = rows.slice(starts[-1]), numbers[-1]
+        if left is not None:
+            yield _packed(left, np.zeros(1, np.int32), np.array([number], np.int32))
+
+    return placed.sortWithinPartitions(*order).mapInArrow(cut, schema)
+
+
+def _block_starts(rows: pa.RecordBatch, number: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where blocks start in rows in order, and their numbers; the first row starts block ``number`` of its term."""
+    changed = np.zeros(rows.num_rows, bool)
+    changed[0] = True
+    for column in (rows.column("shard"), rows.column("term")):
+        changed[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    runs = np.flatnonzero(changed)
+    place = np.arange(rows.num_rows) - np.repeat(runs, np.diff(runs, append=rows.num_rows))
+    starts = np.flatnonzero(place % size == 0)
+    numbers = place[starts] // size
+    if len(runs) > 1:
+        numbers[starts < runs[1]] += number
+    else:
+        numbers += number
+    return starts.astype(np.int32), numbers.astype(np.int32)
+
+
+def _packed(rows: pa.RecordBatch, starts: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
+    tf, dl = rows.column("tf"), rows.column("dl")
+    offsets = pa.array(np.append(starts, rows.num_rows).astype(np.int32))
+    entries = pa.StructArray.from_arrays([rows.column("chunk_id"), tf, dl], names=["chunk_id", "tf", "dl"])
+    first = pa.array(starts)
+    columns = {
+        "shard": rows.column("shard").take(first),
+        "term": rows.column("term").take(first),
+        "block": pa.array(numbers),
+        "size": pa.array(np.diff(starts, append=rows.num_rows).astype(np.int32)),
+        "max_tf": pa.array(np.maximum.reduceat(tf.to_numpy(), starts)),
+        "min_dl": pa.array(np.minimum.reduceat(dl.to_numpy(), starts)),
+        "postings": pa.ListArray.from_arrays(offsets, entries),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def live_postings(blocks: DataFrame, dead: DataFrame | None, *columns: str) -> DataFrame:
@@ -130,33 +196,45 @@ def _plan(blocks: DataFrame, asked: DataFrame, index: BlockIndex, k: int) -> Dat
     )
 
 
+def _most(index: BlockIndex) -> Column:
+    """What a block gives one of its chunks at most."""
+    return F.greatest(F.lit(0.0), F.col("weight")) * strength(F.col("max_tf"), F.col("min_dl"), index.avgdl)
+
+
 def _essential(blocks: DataFrame, plan: DataFrame, index: BlockIndex) -> DataFrame:
     """The blocks of essential terms that can matter, once for each query."""
-    most = F.greatest(F.lit(0.0), F.col("weight")) * strength(F.col("max_tf"), F.col("min_dl"), index.avgdl)
-    return blocks.join(F.broadcast(plan.where("essential")), "term").where(most >= F.col("cut"))
+    return blocks.join(F.broadcast(plan.where("essential")), "term").where(_most(index) >= F.col("cut"))
 
 
 def _candidates(blocks: DataFrame, plan: DataFrame, index: BlockIndex) -> DataFrame:
-    """``(query_id, chunk_id, score)``: the essential terms' part, for chunks that can reach the best k with the others."""
+    """``(shard, query_id, chunk_id, score)``: the essential terms' part, for chunks that can reach the best k with the others."""
     pairs = live_postings(_essential(blocks, plan, index), index.dead, "shard", "query_id", "weight")
     part = F.col("weight") * strength(F.col("tf"), F.col("dl"), index.avgdl)
-    scores = pairs.groupBy("shard", "query_id", "chunk_id").agg(F.sum(part).alias("score")).drop("shard")
+    scores = pairs.groupBy("shard", "query_id", "chunk_id").agg(F.sum(part).alias("score"))
     others = plan.groupBy("query_id").agg(
         F.coalesce(F.max(F.when(~F.col("essential"), F.col("upto"))), F.lit(0.0)).alias("others"), F.max("reached").alias("reached")
     )
     near = scores.join(F.broadcast(others), "query_id").where(F.col("score") + F.col("others") >= F.col("reached"))
-    return saved(near.select("query_id", "chunk_id", "score"))
+    return saved(near.select("shard", "query_id", "chunk_id", "score"))
 
 
 def _other_pairs(blocks: DataFrame, plan: DataFrame, near: DataFrame, index: BlockIndex) -> DataFrame:
-    """The candidates' postings of terms that are not essential, with their weights."""
-    rest = plan.where(~F.col("essential")).select("query_id", "term", "weight")
-    listed = blocks.join(F.broadcast(rest.select("term").distinct()), "term", "left_semi")
+    """The candidates' postings of terms that are not essential, with their weights.
+
+    Postings meet the queries that ask their term, and the candidates then let through their own: each product is
+    looked up once, and the postings stay where they are read.
+    """
+    rest = plan.where(~F.col("essential")).select("query_id", "term", "weight", "cut")
+    met = blocks.join(F.broadcast(rest), "term").where(_most(index) >= F.col("cut"))
+    pairs = met.select("segment", "shard", "query_id", "weight", F.inline("postings"))
+    own = near.select("query_id", "chunk_id")
+    pairs = pairs.join(F.broadcast(own), ["query_id", "chunk_id"], "left_semi")
     # a candidate's id may also be that of an earlier, dead chunk
-    postings = live_postings(listed, index.dead, "term")
-    few = near.limit(MOST_CANDIDATES + 1).count() <= MOST_CANDIDATES
-    met = postings.join(broadcast_if(near.select("query_id", "chunk_id"), few), "chunk_id")
-    return met.join(F.broadcast(rest), ["query_id", "term"])
+    return pairs if index.dead is None else pairs.join(F.broadcast(index.dead), ["segment", "chunk_id"], "left_anti")
+
+
+def _few(near: DataFrame) -> bool:
+    return near.limit(MOST_CANDIDATES + 1).count() <= MOST_CANDIDATES
 
 
 def pruned_search(
@@ -167,17 +245,22 @@ def pruned_search(
     First the strongest blocks alone give a score that the best k reach.  A chunk among them holds an
     essential term, and each of its blocks must be able to give what the query's other terms cannot give at most;
     blocks that fail are skipped.  Chunks that, with all that the remaining terms can add, get there are
-    candidates, and only their postings of those terms - the common ones - are multiplied with queries.  Blocks are
-    stored by shard, so scores are summed where they are read; candidates and k rows a query and task are what moves.
+    candidates, and only their postings of those terms - the common ones - are multiplied with queries.  Where they are
+    too many to be broadcast, choosing costs more than it spares, and all those terms' blocks that can matter are scored.
+    Blocks are stored by shard, so scores are summed where they are read; candidates and k rows a query and task are
+    what moves.
     """
     found = []
     for wanted in query_blocks(query_terms(queries, tokeniser)):
         blocks, asked = _asked(wanted, index)
         plan = _plan(blocks, asked, index, k)
         near = _candidates(blocks, plan, index)
-        part = F.col("weight") * strength(F.col("tf"), F.col("dl"), index.avgdl)
-        more = _other_pairs(blocks, plan, near, index).select("query_id", "chunk_id", part.alias("score"))
-        scores = near.unionByName(more).groupBy("query_id", "chunk_id").agg(F.sum("score").alias("score"))
+        if _few(near):
+            part = F.col("weight") * strength(F.col("tf"), F.col("dl"), index.avgdl)
+            more = _other_pairs(blocks, plan, near, index).groupBy("shard", "query_id", "chunk_id").agg(F.sum(part).alias("score"))
+            scores = near.unionByName(more).groupBy("query_id", "chunk_id").agg(F.sum("score").alias("score"))
+        else:
+            scores = _scores(blocks, plan, index)
         found.append(top_k_per_group(scores, ["query_id"], score_order(), k))
     return reduce(DataFrame.unionByName, found).select("query_id", "rank", "chunk_id", "score")
 
@@ -191,7 +274,10 @@ def pruned_share(queries: DataFrame, index: BlockIndex, k: int = TOP_K, tokenise
         near = _candidates(blocks, plan, index)
         every = blocks.join(F.broadcast(plan), "term").select("query_id", F.col("size").alias("postings"), F.lit(0).alias("scored"))
         first = _essential(blocks, plan, index).select("query_id", F.lit(0).alias("postings"), F.col("size").alias("scored"))
-        second = _other_pairs(blocks, plan, near, index).select("query_id", F.lit(0).alias("postings"), F.lit(1).alias("scored"))
+        if _few(near):
+            second = _other_pairs(blocks, plan, near, index).select("query_id", F.lit(0).alias("postings"), F.lit(1).alias("scored"))
+        else:
+            second = every.select("query_id", F.lit(0).alias("postings"), F.col("postings").alias("scored"))
         rows = every.unionByName(first).unionByName(second)
         found.append(rows.groupBy("query_id").agg(F.sum("postings").alias("postings"), F.sum("scored").alias("scored")))
     return reduce(DataFrame.unionByName, found)

@@ -146,7 +146,7 @@ def _counted(postings: DataFrame, sign: int) -> DataFrame:
 def _write_blocks(blocks: DataFrame, root: str, segment: str, shards: int, key_type: str, stored: bool = True) -> None:
     name = _blocks_table(blocks.sparkSession, root, shards, key_type, stored)
     columns = ["shard", "term", "block", "size", "max_tf", "min_dl", "postings"]
-    placed = blocks.select(*columns, F.lit(segment).alias("segment")).repartition(shards, "shard")
+    placed = blocks.select(*columns, F.lit(segment).alias("segment"))  # cut by shard: a task writes one bucket
     writer = placed.write.mode("append").format("parquet").option("path", f"{root}/blocks")
     writer.option("compression", "zstd").partitionBy("segment").bucketBy(shards, "shard").sortBy("term").saveAsTable(name)
 

@@ -169,3 +169,53 @@ def test_shards_follow_the_postings_of_the_first_drop(spark, monkeypatch):
     assert index.shards == -(-postings // 10) > 2
     later = sg.add_segment(spark, root, frame(spark, rows[:3]), key="k")
     assert later.shards == index.shards
+
+
+@pytest.mark.parametrize("shards", [1, 16, 60])
+def test_every_shard_has_a_partition_of_its_own(spark, shards):
+    """Else some tasks sort and score several shards while others have none."""
+    rows = spark.range(shards * 40).select(
+        F.col("id").alias("chunk_id"), F.lit(1).alias("dl"), F.lit("w").alias("term"), F.lit(1).alias("tf")
+    )
+    blocks = block_max.cut_blocks(rows, shards, 1.0).select("shard", F.spark_partition_id().alias("part"), "size").collect()
+    assert len({b["shard"] for b in blocks}) == len({b["part"] for b in blocks}) == shards
+    assert sum(b["size"] for b in blocks) == shards * 40
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_blocks_go_on_over_batches(spark, monkeypatch, batch):
+    """Blocks of four: the strongest postings first, whatever rows come at a time."""
+    dice = random.Random(batch)
+    rows = [
+        (f"c{c}", dl, term, dice.randint(1, 3)) for c in range(40) for dl in [dice.randint(1, 5)] for term in "abc" if dice.random() < 0.6
+    ]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        postings = spark.createDataFrame(rows, "chunk_id string, dl int, term string, tf int")
+        blocks = block_max.cut_blocks(postings, 2, 3.0, size=4).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    listed, held = {}, []
+    for b in sorted(blocks, key=lambda b: (b["shard"], b["term"], b["block"])):
+        own = [tuple(p) for p in b["postings"]]
+        assert b["size"] == len(own) <= 4 and b["max_tf"] == max(p[1] for p in own) and b["min_dl"] == min(p[2] for p in own)
+        run = listed.setdefault((b["shard"], b["term"]), [])
+        assert b["block"] * 4 == len(run)
+        run += own
+        held += [(c, dl, b["term"], tf) for c, tf, dl in own]
+    assert sorted(held) == sorted(rows)
+    for run in listed.values():
+        assert run == sorted(run, key=lambda p: (-p[1] / (p[1] + 1.5 * (0.25 + 0.75 * p[2] / 3.0)), p[0]))
+
+
+def test_candidates_beyond_a_broadcast_are_scored_in_place(spark, zipf, monkeypatch):
+    rows, index = zipf
+    before = hits(spark, index)
+    monkeypatch.setattr(block_max, "MOST_CANDIDATES", 0)
+    assert hits(spark, index) == before == brute(rows, QUERIES, 4)
+    found = block_max.pruned_search(spark.createDataFrame(QUERIES, "query_id long, query string"), index.block_index(), 4)
+    scored = found._jdf.queryExecution().executedPlan().toString()
+    # nothing but the first rows of each query and task is shuffled
+    assert scored.count("Exchange hashpartitioning") == scored.count("Exchange hashpartitioning(query_id")
+    share = block_max.pruned_share(spark.createDataFrame(QUERIES, "query_id long, query string"), index.block_index(), 4).collect()
+    assert all(r["scored"] >= r["postings"] for r in share)
