@@ -16,15 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import Tokeniser, tokenise
-from gleaner.operators.block_max import BlockIndex, cut_blocks, live_postings
-from gleaner.operators.lexical import build_postings
+from gleaner.operators.block_max import BlockIndex, cut_bags, cut_blocks, live_postings
+from gleaner.operators.lexical import build_bags
 from gleaner.sources.writers import saved, write_parquet
 
 # Shards of an index: by the postings of its first drop, this many at least.
 SHARDS = 16
 SHARD_POSTINGS = 1_000_000
-# More dead chunks than this are not carried along: the segments that hold them are merged.
+# More dead chunks than this, and than a part of the live ones, are not carried along: segments are merged, which costs
+# as much as the whole index.  The greatest number bounds their list, which every task holds.
 MOST_DEAD = 200_000
+DEAD_PART = 4
+GREATEST_DEAD = 2_000_000
 
 VERSION = (
     "version long, segments array<string>, dead array<string>, n long, tokens long, avg_idf double, shards int, dead_rows long"
@@ -52,7 +55,7 @@ class Segments:
         return self.spark.read.option("basePath", base).parquet(*[f"{base}/segment={s}" for s in chosen])
 
     def dead(self) -> DataFrame | None:
-        """``(segment, chunk_id)`` of replaced chunks, at most ``MOST_DEAD`` rows; None if there are none."""
+        """``(segment, chunk_id)`` of replaced chunks, at most ``GREATEST_DEAD`` rows; None if there are none."""
         if not self.dead_rows:
             return None
         return self.spark.read.parquet(*[f"{self.root}/dead/list={d}" for d in self.dead_lists]).select("segment", "chunk_id")
@@ -98,7 +101,7 @@ def _blocks_table(spark: SparkSession, root: str, shards: int, key_type: str, st
     path = f"{root}/blocks".replace("'", "\\'")
     if not spark.catalog.tableExists(name):
         spark.sql(
-            f"""CREATE TABLE {name} (shard INT, term STRING, block INT, size INT, max_tf INT, min_dl INT,
+            f"""CREATE TABLE {name} (shard INT, term STRING, block INT, size INT, max_tf INT, min_dl INT, tokens BIGINT,
                 postings ARRAY<STRUCT<chunk_id: {key_type}, tf: INT, dl: INT>>, segment STRING)
                 USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (segment)
                 CLUSTERED BY (shard) SORTED BY (term) INTO {shards} BUCKETS LOCATION '{path}'"""
@@ -138,14 +141,15 @@ def _commit(index: Segments) -> Segments:
     return index
 
 
-def _counted(postings: DataFrame, sign: int) -> DataFrame:
-    count = F.count(F.lit(1)) * sign
-    return postings.groupBy("term").agg(count.alias("df"), (F.sum("tf") * sign).cast("long").alias("ctf"))
+def _tokens(bags: DataFrame) -> int:
+    """The words of the chunks; an id that repeats counts once."""
+    lengths = bags.where("dl > 0").groupBy("chunk_id").agg(F.max("dl").alias("dl"))
+    return lengths.agg(F.sum("dl").alias("tokens")).first()["tokens"] or 0
 
 
 def _write_blocks(blocks: DataFrame, root: str, segment: str, shards: int, key_type: str, stored: bool = True) -> None:
     name = _blocks_table(blocks.sparkSession, root, shards, key_type, stored)
-    columns = ["shard", "term", "block", "size", "max_tf", "min_dl", "postings"]
+    columns = ["shard", "term", "block", "size", "max_tf", "min_dl", "tokens", "postings"]
     placed = blocks.select(*columns, F.lit(segment).alias("segment"))  # cut by shard: a task writes one bucket
     writer = placed.write.mode("append").format("parquet").option("path", f"{root}/blocks")
     writer.option("compression", "zstd").partitionBy("segment").bucketBy(shards, "shard").sortBy("term").saveAsTable(name)
@@ -176,26 +180,30 @@ def add_segment(
     here = f"segment={segment}"
     write_parquet(chunks, f"{root}/chunks/{here}")
     added = spark.read.parquet(f"{root}/chunks/{here}")
-    postings = saved(build_postings(added, tokeniser))
-    shards = before.shards if before else shards or max(SHARDS, -(-postings.count() // SHARD_POSTINGS))
-    lengths = postings.dropDuplicates(["chunk_id"]).agg(F.sum("dl").alias("tokens")).first()
-    n, tokens = added.count(), lengths["tokens"] or 0
+    bags = saved(build_bags(added, tokeniser))
+    size = bags.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("terms")).alias("postings")).first()
+    n, tokens = size["n"], _tokens(bags)
+    shards = before.shards if before else shards or max(SHARDS, -(-(size["postings"] or 0) // SHARD_POSTINGS))
     key_type = added.schema["chunk_id"].dataType.simpleString()
-    _write_blocks(cut_blocks(postings, shards, tokens / max(n, 1)), root, segment, shards, key_type, before is not None)
-    terms = _counted(postings, 1)
+    _write_blocks(cut_bags(bags, shards, tokens / max(n, 1)), root, segment, shards, key_type, before is not None)
+    blocks = spark.table(_blocks_table(spark, root, shards, key_type)).where(F.col("segment") == segment)
+    counts = blocks.select("term", F.col("size").cast("long").alias("df"), F.col("tokens").alias("ctf"))
     dead_lists, dead_rows = (list(before.dead_lists), before.dead_rows) if before else ([], 0)
     if before:
         keys = added.select(key).union(touched.select(key)) if touched is not None else added.select(key)
         keys = saved(keys.where(F.col(key).isNotNull()).distinct())
         gone = saved(before.chunks().join(keys, key, "left_semi").select("segment", "chunk_id", "text"))
         write_parquet(gone.select("segment", "chunk_id"), f"{root}/dead/list={segment}")
-        lost = saved(build_postings(gone, tokeniser))
-        taken = lost.dropDuplicates(["chunk_id"]).agg(F.sum("dl").alias("tokens")).first()
+        lost = saved(build_bags(gone, tokeniser))
         fewer = gone.count()
-        n, tokens = before.n + n - fewer, before.tokens + tokens - (taken["tokens"] or 0)
-        terms = terms.unionByName(_counted(lost, -1)).groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
+        n, tokens = before.n + n - fewer, before.tokens + tokens - _tokens(lost)
+        away = lost.select(F.inline(F.arrays_zip("terms", "tfs"))).select(
+            F.col("terms").alias("term"), F.lit(-1).cast("long").alias("df"), (-F.col("tfs")).cast("long").alias("ctf")
+        )
+        counts = counts.unionByName(away)
         if fewer:
             dead_lists, dead_rows = [*dead_lists, segment], dead_rows + fewer
+    terms = counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
     write_parquet(terms, f"{root}/terms/{here}")
     if embed_chunks is not None:
         write_parquet(embed_chunks(added).select("chunk_id", "embedding"), f"{root}/vectors/{here}")
@@ -203,6 +211,7 @@ def add_segment(
     version = before.version + 1 if before else 1
     index = Segments(spark, root, version, (*earlier, segment), tuple(dead_lists), n, tokens, 0.0, shards, dead_rows)
     index = _commit(index)
+    most_dead = max(most_dead, min(index.n // DEAD_PART, GREATEST_DEAD))
     return compact(index, None, tokeniser) if index.dead_rows > most_dead else index
 
 

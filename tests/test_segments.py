@@ -219,3 +219,61 @@ def test_candidates_beyond_a_broadcast_are_scored_in_place(spark, zipf, monkeypa
     assert scored.count("Exchange hashpartitioning") == scored.count("Exchange hashpartitioning(query_id")
     share = block_max.pruned_share(spark.createDataFrame(QUERIES, "query_id long, query string"), index.block_index(), 4).collect()
     assert all(r["scored"] >= r["postings"] for r in share)
+
+
+ODD = [("a", None, "w1 w1 w2"), ("a", None, "w1 w3"), (None, "p", "w2 \u00a0w2\x1cw9 "), ("b", "p", None), ("c", "p", " "), ("d", "q", "")]
+
+
+def test_bags_hold_the_postings_of_odd_rows(spark):
+    rows = frame(spark, ODD + chunks_of(random.Random(5), [f"p{i}" for i in range(300)]))
+    bags, postings = lexical.build_bags(rows), lexical.build_postings(rows)
+    opened = bags.select("chunk_id", "dl", F.inline(F.arrays_zip("terms", "tfs")))
+    assert bags.count() == rows.count()
+    assert sorted(map(repr, opened.collect())) == sorted(
+        repr(r).replace("term=", "terms=").replace("tf=", "tfs=") for r in postings.collect()
+    )
+    plain = block_max.cut_blocks(postings, 3, 9.0, size=4)
+    cut = block_max.cut_bags(bags, 3, 9.0, size=4)
+    assert sum(b["tokens"] for b in cut.collect()) == sum(p["tf"] for p in postings.collect())
+    columns = ["shard", "term", "block", "size", "max_tf", "min_dl", "tokens"]
+    assert sorted(cut.select(columns).collect()) == sorted(plain.select(columns).collect())
+    # a row a chunk is shuffled, none a posting is sorted
+    steps = cut._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in steps and "Generate" not in steps
+
+
+def test_a_shard_gives_its_best_only(spark, zipf):
+    _, index = zipf
+    asked = lexical.query_terms(spark.createDataFrame([(1, "w30 w0"), (2, "w1")], "query_id long, query string"))
+    blocks, wanted = block_max._asked(asked, index.block_index())
+    assert block_max._scores(blocks, wanted, index.block_index(), 3).count() == 2 * 3 * index.shards
+
+
+@pytest.mark.parametrize("most", [(1, 1, 0), (4_000_000, 64, 1e9)])
+def test_scores_by_strips_and_by_matrices(spark, zipf, monkeypatch, most):
+    """A query at a time, each product by its place; and all terms as matrices."""
+    rows, index = zipf
+    for name, value in zip(("STRIP_SCORES", "STRIP_TERMS", "DENSE"), most, strict=True):
+        monkeypatch.setattr(block_max, name, value)
+    assert hits(spark, index) == brute(rows, QUERIES, 4)
+
+
+def test_an_id_that_repeats_is_scored_with_all_its_postings(spark):
+    """Its score may be above what one posting of each term can give."""
+    rows = [(f"c{i}", f"p{i}", "w0 w1 " + "w2 " * 5) for i in range(300)] + [("z", f"z{i}", "w0 w5") for i in range(4)]
+    rows += [(f"d{i}", f"d{i}", "w3") for i in range(800)]
+    index = sg.add_segment(spark, work_dir(spark), frame(spark, rows), key="k", shards=1)
+    asked = spark.createDataFrame([(1, "w0 w1")], "query_id long, query string")
+    every = sum(r["tf"] for r in lexical.build_postings(frame(spark, rows)).where("chunk_id = 'z' and term = 'w0'").collect())
+    first = block_max.pruned_search(asked, index.block_index(), 1).first()
+    assert every == 4 and first["chunk_id"] == "z"
+
+
+def test_dead_chunks_are_carried_as_long_as_they_are_few_beside_the_live(spark):
+    """Merging costs as much as the whole index: a large index is not merged at every drop."""
+    root = work_dir(spark)
+    rows = [(f"p{i}#0", f"p{i}", f"w{i % 7} w{i % 5}") for i in range(60)]
+    sg.add_segment(spark, root, frame(spark, rows), key="k", shards=2, most_dead=5)
+    index = sg.add_segment(spark, root, frame(spark, rows[:10]), key="k", most_dead=5)
+    assert len(index.segments) == 2 and index.dead_rows == 10
+    assert hits(spark, index) == brute(rows, QUERIES, 4)
