@@ -179,3 +179,13 @@ def test_only_near_pairs_are_ranked(monkeypatch, metric, scale):
         assert sum(whole) == 300 * dense.FIRST_ROWS
     else:  # no decimals left that could tie
         assert np.round(best.distance / scale**2, 6).tolist() == np.sort(far, axis=1)[:, :5].tolist()
+
+
+@pytest.mark.parametrize("dim", [16, 64])
+def test_hashing_over_batches_equals_the_expression(spark, dim):
+    texts = ["a b a", "", None, " \x1cx\u00a0y\u2003z\t", "É 漢字 é", "w " * 300] + [f"word{i} word{i % 7} x" for i in range(500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    one = {r["id"]: r["embedding"] for r in embed(df, "text", hashing_embedder(dim)).collect()}
+    made = hashing_embedder(dim).rows(df, "id", "text")
+    assert {r["id"]: r["embedding"] for r in made.collect()} == one
+    assert "MapInArrow" in made._jdf.queryExecution().executedPlan().toString()
